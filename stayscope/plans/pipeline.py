@@ -1,0 +1,59 @@
+"""From bookings and weather to the most popular stay per hotel, as one lazy plan."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stayscope.categories import STAY_CATEGORIES, StayCategory
+from stayscope.functions.stay import category_label
+from stayscope.operators.bookings import distinct_bookings, with_stay_days
+from stayscope.operators.classify import classify
+from stayscope.operators.counts import add_up, category_counts
+from stayscope.operators.enrich import enrich, join_days
+from stayscope.operators.popular import GRAINS, popular, with_popular
+from stayscope.operators.weather import MIN_TMPR, weather_means
+
+
+def pipeline(
+    bookings: DataFrame,
+    weather: DataFrame,
+    grain: str = "hotel",
+    min_tmpr: float = MIN_TMPR,
+    categories: Sequence[StayCategory] = STAY_CATEGORIES,
+) -> DataFrame:
+    """Counts per category and the most popular one, for a batch of bookings."""
+    return popular(classify(enrich(bookings, weather, min_tmpr), categories), grain, categories)
+
+
+def pipeline_counting_first(
+    bookings: DataFrame,
+    weather: DataFrame,
+    grain: str = "hotel",
+    min_tmpr: float = MIN_TMPR,
+    categories: Sequence[StayCategory] = STAY_CATEGORIES,
+) -> DataFrame:
+    """The same result, with the bookings counted per hotel-day before the join.
+
+    A hotel-day has one count row (per number of children, at that grain) and one weather
+    row per name, so the counts add up to what counting joined bookings would give.
+
+    It shuffles every booking once, to remove copies, and from there on only counts. That
+    is the cheaper way where most bookings have weather and a hotel-day has many of them;
+    ``pipeline`` is where few bookings have weather or hotel-days hold a booking or two.
+    """
+    level = GRAINS[grain]
+    counters = level.counters(categories)
+    label = category_label(F.col("duration_stay"), categories)
+    stays = (
+        with_stay_days(distinct_bookings(bookings))
+        .withColumnRenamed("srch_children_cnt", "children_cnt")
+        .withColumn("initial_state", label)
+    )
+    from_booking = [key for key in level.keys if key not in ("hotel_name", "hotel_id")]
+    per_day = category_counts(stays, ["hotel_id", "srch_ci", *from_booking], counters)
+    named_days = weather_means(weather, min_tmpr).drop("avg_tmpr")
+    counted = add_up(join_days(per_day, named_days), level.keys, list(counters))
+    return level.visible(with_popular(counted, categories))
