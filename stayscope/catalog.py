@@ -8,24 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayscope import fixtures
+from stayscope.categories import STAY_CATEGORIES
 from stayscope.operators.bookings import distinct_bookings, project_bookings, with_stay_days
 from stayscope.operators.classify import classify
 from stayscope.operators.counts import category_counts
 from stayscope.operators.enrich import enrich, enrich_with_days
 from stayscope.operators.popular import GRAINS, popular
 from stayscope.operators.weather import above_temperature, project_weather
-from stayscope.categories import STAY_CATEGORIES
 from stayscope.plans.pipeline import pipeline, pipeline_counting_first
 from stayscope.plans.stream import pipeline_stream, preferences_stream, static_days
+from stayscope.schemas import PREFERENCES
 from stayscope.session import materialize, work_dir
-from stayscope.sources.files import read_table, read_table_stream
+from stayscope.sources.files import read_table
 from stayscope.sources.topics import (
     decode_json,
     encode_json,
+    infer_json_schema,
     read_json_topic,
     read_topic_stream,
 )
-from stayscope.schemas import PREFERENCES
 from stayscope.streaming.runner import AVAILABLE_NOW, Target, run_out, run_stream
 from stayscope.streaming.sinks import ChangeTable, SnapshotTable, stamped
 from stayscope.streaming.windows import windowed_count
@@ -64,6 +65,11 @@ def batch_pipeline_counting_first(spark, sf_dir):
     return pipeline_counting_first(*_inputs(spark, sf_dir))
 
 
+def batch_pipeline_copies(spark, sf_dir):
+    bookings, weather = _inputs(spark, sf_dir)
+    return pipeline(fixtures.sent_again(bookings), weather)
+
+
 def query_project_weather(spark, sf_dir):
     return project_weather(fixtures.weather(spark, sf_dir))
 
@@ -151,8 +157,6 @@ def json_topic_parse(spark, sf_dir):
 
 
 def json_topic_infer(spark, sf_dir):
-    from stayscope.sources.topics import infer_json_schema
-
     messages = _event_messages(spark, sf_dir)
     return decode_json(messages, infer_json_schema(messages), keep=("event_id",))
 
@@ -181,9 +185,8 @@ def partition_scan(spark, sf_dir):
 
 def parquet_roundtrip(spark, sf_dir):
     path = work_dir(spark, "parquet-roundtrip")
-    result = batch_pipeline(spark, sf_dir)
-    materialize(result.limit(0), path)
-    return materialize(result, path)
+    materialize(fixtures.table(spark, sf_dir, "nation"), path)
+    return materialize(batch_pipeline(spark, sf_dir), path)
 
 
 # --- streams --------------------------------------------------------------------------
@@ -213,11 +216,14 @@ def stream_enrich(spark, sf_dir):
     return read_table(spark, f"{root}/out")
 
 
-def _popular_stream(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+def _popular_stream(spark: SparkSession, sf_dir: str, grain: str, again=False) -> DataFrame:
     root = work_dir(spark, f"stream-{grain}")
     days = _days(spark, sf_dir, root)
     table = ChangeTable(f"{root}/out", GRAINS[grain].keys)
-    result = pipeline_stream(fixtures.booking_stream(spark, sf_dir), days, grain)
+    bookings = fixtures.booking_stream(spark, sf_dir)
+    if again:
+        bookings = fixtures.sent_again(bookings)
+    result = pipeline_stream(bookings, days, grain)
     _run(result, table, root, "update")
     return GRAINS[grain].visible(table.read(spark))
 
@@ -230,6 +236,10 @@ def stream_popular_by_hotel(spark, sf_dir):
     return _popular_stream(spark, sf_dir, "hotel")
 
 
+def stream_pipeline_copies(spark, sf_dir):
+    return _popular_stream(spark, sf_dir, "hotel_children", again=True)
+
+
 def stamped_snapshot(spark, sf_dir):
     root = work_dir(spark, "stamped-snapshot")
     days = _days(spark, sf_dir, root)
@@ -383,6 +393,7 @@ HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
 QUERIES: dict[str, tuple[Query, str]] = {
     "batch_pipeline": (batch_pipeline, _sql(_HOTEL_RESULT)),
     "batch_pipeline_counting_first": (batch_pipeline_counting_first, _sql(_HOTEL_RESULT)),
+    "batch_pipeline_copies": (batch_pipeline_copies, _sql(_HOTEL_RESULT)),
     "project_weather": (query_project_weather, _sql("SELECT * FROM weather")),
     "filter_min_temperature": (
         filter_min_temperature,
@@ -442,6 +453,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "stream_scan_bookings": (stream_scan_bookings, _sql(_BOOKING_ROWS)),
     "stream_enrich": (stream_enrich, _sql("SELECT * FROM enriched")),
     "stream_pipeline": (stream_pipeline, _sql(_CHILDREN_RESULT)),
+    "stream_pipeline_copies": (stream_pipeline_copies, _sql(_CHILDREN_RESULT)),
     "stream_popular_by_hotel": (stream_popular_by_hotel, _sql(_HOTEL_RESULT)),
     "stream_via_topic": (stream_via_topic, _sql(_CHILDREN_RESULT)),
     "stamped_snapshot": (stamped_snapshot, _sql(_HOTEL_RESULT)),

@@ -34,6 +34,12 @@ def as_bookings(lineitem: DataFrame, children: Column | None = None) -> DataFram
     )
 
 
+def sent_again(bookings_: DataFrame) -> DataFrame:
+    """Every booking one to seven times, by its order line."""
+    times = F.sequence(F.lit(1), (F.col("id") % 10).cast("int"))
+    return bookings_.select("*", F.explode(times).alias("copy")).drop("copy")
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_bookings(table(spark, sf_dir, "lineitem"))
 

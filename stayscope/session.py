@@ -55,6 +55,9 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     About a quarter of a booking record (five of its twenty columns) is shuffled.
     The shuffle starts with partitions of 128 MiB and AQE merges the small ones,
     so the number may err on the high side; it never falls below the cores.
+
+    Joins broadcast what a finished stage has measured, never what the planner guesses:
+    the guess for a decoded or aggregated table can be off by orders of magnitude.
     """
     shuffled = input_bytes // 4
     partitions = max(cores, math.ceil(shuffled / (128 * MIB)))
@@ -63,6 +66,8 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * MIB),
         "spark.sql.files.maxPartitionBytes": str(256 * MIB),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.session.timeZone": "UTC",
