@@ -1,0 +1,78 @@
+import json
+
+import pytest
+from helpers import same
+from pyspark.sql import functions as F
+
+from stayscope import fixtures, pipeline
+from stayscope.plans.jobs import JobConfig, hotel_days, run_batch, start_stream, stream_sink
+from stayscope.schemas import BOOKINGS
+from stayscope.sources.topics import encode_json
+from stayscope.streaming.runner import AVAILABLE_NOW, run_out
+from stayscope.streaming.sinks import ChangeTable, DocumentIndex
+
+
+@pytest.fixture(scope="module")
+def world(spark, sf_dir, tmp_path_factory):
+    """Bookings of two years in files, weather as messages, and a configuration."""
+    root = tmp_path_factory.mktemp("job")
+    bookings = fixtures.bookings(spark, sf_dir)
+    full = bookings.select(
+        *[
+            F.col(f.name) if f.name in bookings.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in BOOKINGS
+        ]
+    )
+    for year in (1996, 1997):
+        part = full.where(F.col("srch_ci").startswith(str(year)))
+        part.repartition(3).write.parquet(f"{root}/bookings/year={year}")
+    weather = fixtures.weather(spark, sf_dir).withColumn("Id", F.col("Id").cast("double"))
+    encode_json(weather).write.text(f"{root}/topic")
+    values = {
+        "weather": {"fmt": "text", "path": f"{root}/topic"},
+        "batch_bookings": f"{root}/bookings/year=1996",
+        "batch_output": f"{root}/out/year=1996",
+        "stream_bookings": f"{root}/bookings/year=1997",
+        "stream_output": f"{root}/out/year=1997",
+        "stream_checkpoint": f"{root}/out/checkpoint",
+        "bookings_format": "parquet",
+        "files_per_trigger": 1,
+    }
+    (root / "job.json").write_text(json.dumps(values))
+    return root, JobConfig.load(str(root / "job.json"))
+
+
+def test_both_jobs_on_one_reading_of_the_topic(spark, sf_dir, world):
+    root, config = world
+    weather = fixtures.weather(spark, sf_dir)
+    days = hotel_days(spark, config)
+
+    run_batch(spark, config, days)
+    run_batch(spark, config, days)
+    batch = spark.read.parquet(config.batch_output)
+    assert len(batch.columns) == 8
+    same(batch, pipeline(spark.read.parquet(config.batch_bookings), weather))
+
+    run_out(start_stream(spark, config, days, AVAILABLE_NOW))
+    table = stream_sink(config)
+    assert isinstance(table, ChangeTable)
+    shown = table.read(spark).drop("children_cnt")
+    assert len(shown.columns) == 9
+    expected = pipeline(spark.read.parquet(config.stream_bookings), weather, "hotel_children")
+    same(shown, expected)
+
+
+def test_index_sink_is_chosen_by_format(world):
+    values = {**world[1].__dict__, "index_format": "es", "index_options": {"es.nodes": "x"}}
+    sink = stream_sink(JobConfig(**values))
+    assert isinstance(sink, DocumentIndex)
+    assert sink.fmt == "es"
+    assert sink.id_option == "es.mapping.id"
+    assert tuple(sink.keys) == ("hotel_name", "children_cnt")
+
+
+def test_unknown_settings_are_refused(tmp_path):
+    path = tmp_path / "bad.json"
+    path.write_text(json.dumps({"weather": {}, "nonsense": 1}))
+    with pytest.raises(TypeError):
+        JobConfig.load(str(path))

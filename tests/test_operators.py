@@ -1,0 +1,246 @@
+import random
+
+import pytest
+from helpers import (
+    bookings_of,
+    expected_days,
+    expected_enriched,
+    expected_popular,
+    rows_of,
+    same,
+    weather_of,
+)
+from pyspark.sql import functions as F
+
+from stayscope import (
+    classify,
+    distinct_bookings,
+    enrich,
+    pipeline,
+    pipeline_counting_first,
+    popular,
+    project_weather,
+    weather_means,
+)
+from stayscope.schemas import POPULAR_BY_CHILDREN, POPULAR_BY_HOTEL
+
+PIPELINES = [pipeline, pipeline_counting_first]
+DAY = "2017-08-24"
+
+
+def one_day(spark, *readings):
+    return weather_of(spark, [(1, DAY, degrees, name) for degrees, name in readings])
+
+
+@pytest.mark.parametrize("run", PIPELINES)
+def test_two_stays_of_four_and_five_days(spark, run):
+    # The two bookings and readings whose result is known.
+    bookings = bookings_of(
+        spark,
+        [
+            (428944, 2843268349952, "2017-08-24", "2017-08-28", 2),
+            (402119, 3393024163840, "2016-10-13", "2016-10-18", 0),
+        ],
+    )
+    weather = weather_of(
+        spark,
+        [
+            (2843268349952, "2017-08-24", 70.0, "Villa Carlotta"),
+            (3393024163840, "2016-10-13", 75.45, "Cliffs 7305 By Redawning"),
+        ],
+    )
+    result = run(bookings, weather)
+    assert not result.isStreaming
+    assert result.columns == POPULAR_BY_HOTEL.names
+    assert [f.dataType for f in result.schema] == [f.dataType for f in POPULAR_BY_HOTEL]
+    winners = {r["hotel_id"]: r["most_popular_stay_type"] for r in result.collect()}
+    assert winners == dict.fromkeys([2843268349952, 3393024163840], "standart_stay_cnt")
+
+
+@pytest.mark.parametrize("run", PIPELINES)
+def test_children_grain_has_nine_columns(spark, run):
+    bookings = bookings_of(
+        spark, [(1, 1, DAY, "2017-08-25", 0), (2, 1, DAY, "2017-08-25", 2), (3, 1, DAY, DAY, None)]
+    )
+    result = run(bookings, one_day(spark, (20.0, "A")), grain="hotel_children")
+    assert result.columns == POPULAR_BY_CHILDREN.names
+    assert rows_of(result, result.columns) == sorted(
+        [
+            ("A", 0, 0, 1, 0, 0, 0, 0, "erroneous_data_cnt"),
+            ("A", 0, 1, 0, 1, 0, 0, 0, "short_stay_cnt"),
+            ("A", 1, 0, 0, 1, 0, 0, 0, "short_stay_cnt"),
+        ],
+        key=repr,
+    )
+
+
+def test_only_readings_above_the_threshold_count(spark):
+    bookings = bookings_of(spark, [(1, 1, DAY, "2017-08-26", 0)])
+    mixed = one_day(spark, (-1.0, "A"), (0.0, "A"), (None, "A"), (0.1, "A"), (0.3, "A"))
+    assert enrich(bookings, mixed).first()["avg_tmpr"] == pytest.approx(0.2)
+    assert enrich(bookings, one_day(spark, (0.0, "A"), (-3.0, "A"), (None, "A"))).count() == 0
+    assert enrich(bookings, one_day(spark, (-1.0, "A")), min_tmpr=-2).count() == 1
+
+
+def test_copies_count_once_and_readings_do_not_fan_out(spark):
+    bookings = bookings_of(spark, [(1, 1, DAY, "2017-08-26", 0)] * 5)
+    enriched = enrich(bookings, one_day(spark, (10.0, "A"), (20.0, "A")))
+    assert rows_of(enriched, enriched.columns) == [
+        (1, DAY, "2017-08-26", 0, 1, "A", 15.0, 2)
+    ]
+
+
+@pytest.mark.parametrize("run", PIPELINES)
+def test_a_booking_counts_once_per_name_of_its_hotel_day(spark, run):
+    bookings = bookings_of(spark, [(1, 1, DAY, "2017-08-26", 0)])
+    result = run(bookings, one_day(spark, (10.0, "A"), (20.0, "B"), (30.0, None)))
+    assert rows_of(result.select("hotel_name", "standart_stay_cnt")) == [
+        ("A", 1), ("B", 1), (None, 1)
+    ]
+
+
+@pytest.mark.parametrize("run", PIPELINES)
+def test_null_keys_never_match_and_null_check_out_is_a_group(spark, run):
+    bookings = bookings_of(
+        spark,
+        [
+            (1, None, DAY, "2017-08-26", 0),
+            (2, 1, None, "2017-08-26", 0),
+            (3, 1, DAY, None, 0),
+            (3, 1, DAY, None, 0),
+            (4, 1, DAY, "2017-99-26", 0),
+        ],
+    )
+    weather = weather_of(
+        spark, [(1, DAY, 5.0, "A"), (None, DAY, 5.0, "A"), (1, None, 5.0, "A")]
+    )
+    result = run(bookings, weather)
+    assert rows_of(result, ["hotel_id", "erroneous_data_cnt", "standart_stay_cnt"]) == [(1, 2, 0)]
+
+
+def test_check_in_is_compared_as_text(spark):
+    bookings = bookings_of(spark, [(1, 1, "2017-8-24", "2017-08-26", 0)])
+    assert enrich(bookings, one_day(spark, (10.0, "A"))).count() == 0
+
+
+def test_same_named_hotels_merge_only_at_the_children_grain(spark):
+    bookings = bookings_of(
+        spark, [(1, 1, DAY, "2017-08-26", 0), (2, 2, DAY, "2017-08-26", 0)]
+    )
+    weather = weather_of(spark, [(1, DAY, 5.0, "A"), (2, DAY, 5.0, "A")])
+    preferences = classify(enrich(bookings, weather))
+    assert popular(preferences, "hotel").count() == 2
+    merged = popular(preferences, "hotel_children").collect()
+    assert [(r["standart_stay_cnt"], r["with_children_false"]) for r in merged] == [(2, 2)]
+
+
+def test_distinct_bookings_uses_the_whole_key(spark):
+    rows = [(1, 1, DAY, None, 0), (1, 1, DAY, None, 0), (1, 1, DAY, None, 1), (1, 2, DAY, None, 0)]
+    assert distinct_bookings(bookings_of(spark, rows)).count() == 3
+
+
+def test_weather_ids_from_json_become_longs(spark):
+    frame = spark.createDataFrame(
+        [(9.70663e11, DAY, 5.0, "A"), (float("nan"), DAY, 5.0, "B")],
+        "id double, wthrDate string, avgTmprC double, name string",
+    )
+    projected = project_weather(frame)
+    assert projected.columns == ["Id", "wthrDate", "avgTmprC", "hotel_name"]
+    ids = {r["hotel_name"]: r["Id"] for r in projected.collect()}
+    assert ids["A"] == 970663000000
+    assert weather_means(frame).count() == 2
+
+
+def test_classify_columns(spark):
+    bookings = bookings_of(spark, [(7, 1, DAY, "2017-09-03", 2)])
+    row = classify(enrich(bookings, one_day(spark, (10.0, "A")))).first()
+    assert row.asDict() == {
+        "hotel_name": "A",
+        "hotel_id": 1,
+        "order_id": 7,
+        "duration_stay": 10,
+        "children_cnt": 2,
+        "initial_state": "Standart extended stay",
+        "initial_state_value": " 1-2 weeks",
+    }
+
+
+def random_tables(seed, hot_share=0.0):
+    """Few hotels and days, so that copies, several readings and several names meet."""
+    rng = random.Random(seed)
+    days = [f"2017-03-{d:02d}" for d in range(1, 8)] + [None]
+    outs = [f"2017-{m:02d}-{d:02d}" for m in (2, 3, 4) for d in (1, 5, 9, 20, 28)]
+    outs += [None, "garbage"]
+    bookings = []
+    for _ in range(400):
+        if rng.random() < hot_share:
+            bookings.append((rng.randrange(200), 1, days[0], rng.choice(outs), 1))
+        else:
+            hotel = rng.choice([1, 2, 3, 4, 5, None])
+            children = rng.choice([0, 1, 2, -1, None])
+            order = rng.randrange(60)
+            bookings.append((order, hotel, rng.choice(days), rng.choice(outs), children))
+    bookings += rng.sample(bookings, 100)
+    if hot_share:
+        bookings += [bookings[0]] * 250
+    weather = [
+        (
+            rng.choice([1, 2, 3, 4, 6, None]),
+            rng.choice(days),
+            rng.choice([-5.0, 0.0, 0.5, 3.0, 12.0, None]),
+            rng.choice(["A", "B", None]),
+        )
+        for _ in range(80)
+    ]
+    return bookings, weather
+
+
+@pytest.mark.parametrize("hot_share", [0.0, 0.4])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_against_plain_python(spark, seed, hot_share):
+    booking_rows, weather_rows = random_tables(seed, hot_share)
+    bookings = bookings_of(spark, booking_rows).repartition(3)
+    weather = weather_of(spark, weather_rows)
+
+    enriched = enrich(bookings, weather)
+    expected = sorted(
+        (
+            (*key, sum(degrees) / len(degrees), expected_days(key[1], key[2]))
+            for key, degrees in expected_enriched(booking_rows, weather_rows).items()
+        ),
+        key=repr,
+    )
+    found = rows_of(enriched, enriched.columns)
+    assert [r[:6] + r[7:] for r in found] == [r[:6] + r[7:] for r in expected]
+    assert [r[6] for r in found] == pytest.approx([r[6] for r in expected])
+
+    for grain in ("hotel", "hotel_children"):
+        wanted = expected_popular(booking_rows, weather_rows, grain)
+        for run in PIPELINES:
+            result = run(bookings, weather, grain=grain)
+            assert rows_of(result, result.columns) == wanted
+
+
+def test_threshold_and_categories_are_parameters(spark):
+    from stayscope import StayCategory
+
+    own = [
+        StayCategory("none", "unknown", "none_cnt"),
+        StayCategory("any", "known", "any_cnt", 0, 1000),
+    ]
+    bookings = bookings_of(spark, [(1, 1, DAY, "2017-12-26", 0), (2, 1, DAY, None, 0)])
+    weather = one_day(spark, (10.0, "A"))
+    plain = pipeline(bookings, weather, min_tmpr=9, categories=own)
+    same(plain, pipeline_counting_first(bookings, weather, min_tmpr=9, categories=own))
+    assert plain.select("none_cnt", "any_cnt", "most_popular_stay_type").first() == (
+        1,
+        1,
+        "none_cnt",
+    )
+    assert pipeline(bookings, weather, min_tmpr=10, categories=own).count() == 0
+
+
+def test_unused_columns_of_the_bookings_do_not_matter(spark):
+    bookings = bookings_of(spark, [(1, 1, DAY, "2017-08-26", 0)] * 2)
+    wide = bookings.withColumn("site_name", F.monotonically_increasing_id())
+    assert enrich(wide, one_day(spark, (10.0, "A"))).count() == 1
