@@ -5,19 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayscope.session import MIB
+from stayscope.sources.files import read_table_stream
+
+GIB = 1024 * MIB
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table_stream(
+    spark: SparkSession, sf_dir: str, name: str, bytes_per_trigger: int | None = None
+) -> DataFrame:
     """A table as a file stream.
 
     The path is a glob because the file source takes a plain path for a folder, and a
     table may be one file or a folder of files.
     """
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}[.]parquet")
+    options = {"maxBytesPerTrigger": str(bytes_per_trigger)} if bytes_per_trigger else None
+    path = f"{sf_dir}/{name}[.]parquet"
+    return read_table_stream(spark, path, schema, options=options)
 
 
 def as_bookings(lineitem: DataFrame, children: Column | None = None) -> DataFrame:
@@ -45,7 +54,8 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def booking_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_bookings(table_stream(spark, sf_dir, "lineitem"))
+    """Bookings in micro-batches that are small enough to repeat after a failure."""
+    return as_bookings(table_stream(spark, sf_dir, "lineitem", bytes_per_trigger=256 * GIB))
 
 
 def weather(spark: SparkSession, sf_dir: str, name: Column | None = None) -> DataFrame:

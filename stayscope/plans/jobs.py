@@ -10,10 +10,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from stayscope.operators.classify import classify
-from stayscope.operators.enrich import enrich_with_days
-from stayscope.operators.popular import GRAINS, popular
+from stayscope.operators.popular import GRAINS
 from stayscope.operators.weather import MIN_TMPR
+from stayscope.plans.pipeline import count_first, join_first
 from stayscope.plans.stream import StaticDays, pipeline_stream, static_days
 from stayscope.schemas import BOOKINGS
 from stayscope.session import work_dir
@@ -71,8 +70,11 @@ def hotel_days(spark: SparkSession, config: JobConfig) -> StaticDays:
 
 
 def batch_result(spark: SparkSession, config: JobConfig, days: StaticDays) -> DataFrame:
+    """Joins first if that costs no shuffle, else counts first: a weather feed is taken
+    to cover most of the days that have bookings."""
     bookings = read_table(spark, config.batch_bookings, config.bookings_format)
-    return popular(classify(enrich_with_days(bookings, days.frame)))
+    run = join_first if days.is_broadcast else count_first
+    return run(bookings, days.frame)
 
 
 def run_batch(spark: SparkSession, config: JobConfig, days: StaticDays) -> None:

@@ -1,4 +1,13 @@
-"""From bookings and weather to the most popular stay per hotel, as one lazy plan."""
+"""From bookings and weather to the most popular stay per hotel, as one lazy plan.
+
+There are two orders of work with the same result. ``pipeline`` joins first: every booking
+is shuffled once to meet the weather (not at all if the weather can be broadcast), and what
+has weather once more to remove copies. ``pipeline_counting_first`` removes the copies
+first, counts per hotel-day, and joins the counts.
+
+Joining first is faster where few bookings have weather or where the weather is small;
+counting first is where most bookings have weather that is too large to broadcast.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +21,7 @@ from stayscope.functions.stay import category_label
 from stayscope.operators.bookings import distinct_bookings, with_stay_days
 from stayscope.operators.classify import classify
 from stayscope.operators.counts import add_up, category_counts
-from stayscope.operators.enrich import enrich, join_days
+from stayscope.operators.enrich import enrich_with_days, join_days
 from stayscope.operators.popular import GRAINS, popular, with_popular
 from stayscope.operators.weather import MIN_TMPR, weather_means
 
@@ -24,8 +33,8 @@ def pipeline(
     min_tmpr: float = MIN_TMPR,
     categories: Sequence[StayCategory] = STAY_CATEGORIES,
 ) -> DataFrame:
-    """Counts per category and the most popular one, for a batch of bookings."""
-    return popular(classify(enrich(bookings, weather, min_tmpr), categories), grain, categories)
+    """Counts per category and the most popular one."""
+    return join_first(bookings, weather_means(weather, min_tmpr), grain, categories)
 
 
 def pipeline_counting_first(
@@ -35,14 +44,31 @@ def pipeline_counting_first(
     min_tmpr: float = MIN_TMPR,
     categories: Sequence[StayCategory] = STAY_CATEGORIES,
 ) -> DataFrame:
-    """The same result, with the bookings counted per hotel-day before the join.
+    """The same as ``pipeline`` for a batch, in the other order of work."""
+    return count_first(bookings, weather_means(weather, min_tmpr), grain, categories)
 
-    A hotel-day has one count row (per number of children, at that grain) and one weather
-    row per name, so the counts add up to what counting joined bookings would give.
 
-    It shuffles every booking once, to remove copies, and from there on only counts. That
-    is the cheaper way where most bookings have weather and a hotel-day has many of them;
-    ``pipeline`` is where few bookings have weather or hotel-days hold a booking or two.
+def join_first(
+    bookings: DataFrame,
+    days: DataFrame,
+    grain: str = "hotel",
+    categories: Sequence[StayCategory] = STAY_CATEGORIES,
+) -> DataFrame:
+    """``pipeline`` for weather that ``weather_means`` has already reduced."""
+    return popular(classify(enrich_with_days(bookings, days), categories), grain, categories)
+
+
+def count_first(
+    bookings: DataFrame,
+    days: DataFrame,
+    grain: str = "hotel",
+    categories: Sequence[StayCategory] = STAY_CATEGORIES,
+) -> DataFrame:
+    """``pipeline_counting_first`` for weather that is already reduced.
+
+    A hotel-day has one count row (per number of children, at that grain) and one weather
+    row per name, so the counts add up to what counting joined bookings would give. They
+    leave every task pre-aggregated and lie where the join needs them.
     """
     level = GRAINS[grain]
     counters = level.counters(categories)
@@ -54,6 +80,5 @@ def pipeline_counting_first(
     )
     from_booking = [key for key in level.keys if key not in ("hotel_name", "hotel_id")]
     per_day = category_counts(stays, ["hotel_id", "srch_ci", *from_booking], counters)
-    named_days = weather_means(weather, min_tmpr).drop("avg_tmpr")
-    counted = add_up(join_days(per_day, named_days), level.keys, list(counters))
+    counted = add_up(join_days(per_day, days.drop("avg_tmpr")), level.keys, list(counters))
     return level.visible(with_popular(counted, categories))

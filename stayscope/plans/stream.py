@@ -20,11 +20,15 @@ MAX_BROADCAST = 64 * MIB
 
 @dataclass(frozen=True)
 class StaticDays:
-    """The weather side of a stream: reduced, written down once, and measured."""
+    """The weather side of a job: reduced, written down once, and measured."""
 
     frame: DataFrame
     join_salts: int
 
+    @property
+    def is_broadcast(self) -> bool:
+        return self.join_salts == 1
+
 
 def static_days(
     weather: DataFrame,
@@ -37,7 +41,9 @@ def static_days(
 
     Without the table each trigger would average all readings again. Its size decides
     the join once, at the start: up to ``max_broadcast`` bytes it is broadcast, beyond
-    that the bookings of a hotel-day are split over ``salts`` tasks.
+    that a stream splits the bookings of a hotel-day over ``salts`` tasks.
+
+    New weather is picked up by starting the query again from its checkpoint.
     """
     days = materialize(weather_means(weather, min_tmpr), path)
     if table_bytes(days) <= max_broadcast:

@@ -20,16 +20,31 @@ class ChangeTable:
 
     Every batch replaces its own folder, so a batch that is run again after a failure
     leaves nothing twice. Reading takes the latest row per key.
+
+    Every ``merge_every``-th folder holds the latest row of all keys, not just of the
+    changed ones; readers start at the last such folder, and older ones may be deleted.
     """
 
     path: str
     keys: Sequence[str]
+    merge_every: int = 100
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id > 0 and batch_id % self.merge_every == 0:
+            stored = self._since_merge(batch.sparkSession, batch_id - 1)
+            numbered = batch.withColumn("batch_id", F.lit(batch_id))
+            batch = self._latest(stored.unionByName(numbered))
         batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        changes = spark.read.parquet(self.path)
+        newest = spark.read.parquet(self.path).agg(F.max("batch_id")).first()[0]
+        return self._latest(self._since_merge(spark, newest or 0))
+
+    def _since_merge(self, spark: SparkSession, newest: int) -> DataFrame:
+        first = newest - newest % self.merge_every
+        return spark.read.parquet(self.path).where(F.col("batch_id").between(first, newest))
+
+    def _latest(self, changes: DataFrame) -> DataFrame:
         columns = [c for c in changes.columns if c not in (*self.keys, "batch_id")]
         # as one struct, with the batch first, the latest row is also the largest
         version = F.struct("batch_id", *columns)

@@ -4,8 +4,16 @@ import pytest
 from helpers import same
 from pyspark.sql import functions as F
 
-from stayscope import fixtures, pipeline
-from stayscope.plans.jobs import JobConfig, hotel_days, run_batch, start_stream, stream_sink
+from stayscope import fixtures, pipeline, weather_means
+from stayscope.plans.jobs import (
+    JobConfig,
+    batch_result,
+    hotel_days,
+    run_batch,
+    start_stream,
+    stream_sink,
+)
+from stayscope.plans.stream import StaticDays
 from stayscope.schemas import BOOKINGS
 from stayscope.sources.topics import encode_json
 from stayscope.streaming.runner import AVAILABLE_NOW, run_out
@@ -62,6 +70,14 @@ def test_both_jobs_on_one_reading_of_the_topic(spark, sf_dir, world):
     same(shown, expected)
 
 
+def test_counting_first_where_the_days_are_large(spark, sf_dir, world):
+    config = world[1]
+    weather = fixtures.weather(spark, sf_dir)
+    large = StaticDays(weather_means(weather), join_salts=8)
+    result = batch_result(spark, config, large)
+    same(result, pipeline(spark.read.parquet(config.batch_bookings), weather))
+
+
 def test_index_sink_is_chosen_by_format(world):
     values = {**world[1].__dict__, "index_format": "es", "index_options": {"es.nodes": "x"}}
     sink = stream_sink(JobConfig(**values))

@@ -1,4 +1,6 @@
-from helpers import finish, rows_of, same
+import re
+
+from helpers import finish, plan_of, rows_of, same
 from pyspark.sql import functions as F
 
 from stayscope.schemas import POPULAR_BY_HOTEL
@@ -41,6 +43,26 @@ def test_change_table_keeps_the_latest_row_per_key(spark, tmp_path):
     )
 
 
+def test_change_table_is_read_from_its_last_merge(spark, tmp_path):
+    changes = ChangeTable(str(tmp_path / "changes"), ["name", "children"], merge_every=3)
+    for batch_id in range(8):
+        changes(table(spark, [(f"h{batch_id % 5}", batch_id % 5, batch_id, None)]), batch_id)
+    for batch_id in (6, 7):
+        changes(table(spark, [(f"h{batch_id % 5}", batch_id % 5, batch_id, None)]), batch_id)
+    current = changes.read(spark)
+    assert rows_of(current, ["name", "n"]) == [
+        ("h0", 5), ("h1", 6), ("h2", 7), ("h3", 3), ("h4", 4)
+    ]
+    assert {f.split("batch_id=")[1][0] for f in current.inputFiles()} >= {"6", "7"}
+    assert re.search(r"PartitionFilters: .*batch_id#\w+ >= 6", plan_of(current))
+
+
+def test_change_table_without_rows(spark, tmp_path):
+    changes = ChangeTable(str(tmp_path / "changes"), ["name", "children"])
+    changes(table(spark, []), 0)
+    assert changes.read(spark).count() == 0
+
+
 def test_snapshot_table_shows_the_newest_snapshot_only(spark, tmp_path):
     snapshot = SnapshotTable(str(tmp_path / "snapshot"))
     for batch_id in range(4):

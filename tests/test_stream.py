@@ -230,6 +230,15 @@ def test_windows_come_out_once_closed_and_late_rows_are_dropped(spark, tmp_path)
     assert run() == [(0, 4), (10, 1), (5, 3)]  # the event at 2 was late
 
 
+def test_micro_batches_can_be_bounded_by_bytes(spark, inputs, days, tmp_path):
+    stream = read_table_stream(
+        spark, inputs[0], inputs[1].schema, options={"maxBytesPerTrigger": "1"}
+    )
+    result = run_popular(spark, stream, days, "hotel", tmp_path)
+    same(result, pipeline(inputs[1], inputs[2]))
+    assert len(list((tmp_path / "checkpoint" / "commits").glob("[0-9]*"))) >= 6
+
+
 def test_static_days_with_no_match(spark, inputs, tmp_path):
     nowhere = StaticDays(weather_means(weather_of(spark, [(-1, DAY, 5.0, "A")])), 1)
     result = run_popular(spark, stream_of(spark, inputs), nowhere, "hotel", tmp_path)
