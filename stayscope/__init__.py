@@ -12,7 +12,7 @@ from stayscope.operators.counts import category_counts, children_counters, stay_
 from stayscope.operators.enrich import enrich
 from stayscope.operators.popular import GRAINS, argmax_column, popular
 from stayscope.operators.weather import above_temperature, project_weather, weather_means
-from stayscope.plans.pipeline import pipeline, pipeline_counting_first
+from stayscope.plans.batch import popular_stays, popular_stays_counting_first
 
 __all__ = [
     "GRAINS",
@@ -28,8 +28,8 @@ __all__ = [
     "classify",
     "distinct_bookings",
     "enrich",
-    "pipeline",
-    "pipeline_counting_first",
+    "popular_stays",
+    "popular_stays_counting_first",
     "popular",
     "project_bookings",
     "project_weather",

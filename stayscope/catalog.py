@@ -15,8 +15,8 @@ from stayscope.operators.counts import category_counts
 from stayscope.operators.enrich import enrich, enrich_with_days
 from stayscope.operators.popular import GRAINS, popular
 from stayscope.operators.weather import above_temperature, project_weather
-from stayscope.plans.pipeline import pipeline, pipeline_counting_first
-from stayscope.plans.stream import pipeline_stream, preferences_stream, static_days
+from stayscope.plans.batch import popular_stays, popular_stays_counting_first
+from stayscope.plans.stream import popular_stays_stream, preferences_stream, static_days
 from stayscope.schemas import PREFERENCES
 from stayscope.session import materialize, work_dir
 from stayscope.sources.files import read_table
@@ -57,17 +57,17 @@ def _preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- batch ----------------------------------------------------------------------------
 
 
-def batch_pipeline(spark, sf_dir):
-    return pipeline(*_inputs(spark, sf_dir))
+def batch_popular_by_hotel(spark, sf_dir):
+    return popular_stays(*_inputs(spark, sf_dir))
 
 
-def batch_pipeline_counting_first(spark, sf_dir):
-    return pipeline_counting_first(*_inputs(spark, sf_dir))
+def batch_popular_by_hotel_counting_first(spark, sf_dir):
+    return popular_stays_counting_first(*_inputs(spark, sf_dir))
 
 
-def batch_pipeline_copies(spark, sf_dir):
+def batch_popular_by_hotel_copies(spark, sf_dir):
     bookings, weather = _inputs(spark, sf_dir)
-    return pipeline(fixtures.sent_again(bookings), weather)
+    return popular_stays(fixtures.sent_again(bookings), weather)
 
 
 def query_project_weather(spark, sf_dir):
@@ -115,19 +115,19 @@ def most_popular(spark, sf_dir):
 
 
 def popular_by_children(spark, sf_dir):
-    return pipeline(*_inputs(spark, sf_dir), grain="hotel_children")
+    return popular_stays(*_inputs(spark, sf_dir), grain="hotel_children")
 
 
 def popular_by_children_counting_first(spark, sf_dir):
-    return pipeline_counting_first(*_inputs(spark, sf_dir), grain="hotel_children")
+    return popular_stays_counting_first(*_inputs(spark, sf_dir), grain="hotel_children")
 
 
 def popular_merged_names(spark, sf_dir):
-    return pipeline(*_merged_inputs(spark, sf_dir))
+    return popular_stays(*_merged_inputs(spark, sf_dir))
 
 
 def popular_by_children_merged_names(spark, sf_dir):
-    return pipeline(*_merged_inputs(spark, sf_dir), grain="hotel_children")
+    return popular_stays(*_merged_inputs(spark, sf_dir), grain="hotel_children")
 
 
 def count_by_type(spark, sf_dir):
@@ -161,11 +161,11 @@ def json_topic_infer(spark, sf_dir):
     return decode_json(messages, infer_json_schema(messages), keep=("event_id",))
 
 
-def pipeline_from_topic(spark, sf_dir):
+def popular_from_topic(spark, sf_dir):
     """The weather as JSON messages whose schema is inferred, ids as doubles."""
     bookings, weather = _inputs(spark, sf_dir)
     messages = encode_json(weather.withColumn("Id", F.col("Id").cast("double")))
-    return pipeline(bookings, read_json_topic(messages))
+    return popular_stays(bookings, read_json_topic(messages))
 
 
 # --- files ----------------------------------------------------------------------------
@@ -186,7 +186,7 @@ def partition_scan(spark, sf_dir):
 def parquet_roundtrip(spark, sf_dir):
     path = work_dir(spark, "parquet-roundtrip")
     materialize(fixtures.table(spark, sf_dir, "nation"), path)
-    return materialize(batch_pipeline(spark, sf_dir), path)
+    return materialize(batch_popular_by_hotel(spark, sf_dir), path)
 
 
 # --- streams --------------------------------------------------------------------------
@@ -223,12 +223,12 @@ def _popular_stream(spark: SparkSession, sf_dir: str, grain: str, again=False) -
     bookings = fixtures.booking_stream(spark, sf_dir)
     if again:
         bookings = fixtures.sent_again(bookings)
-    result = pipeline_stream(bookings, days, grain)
+    result = popular_stays_stream(bookings, days, grain)
     _run(result, table, root, "update")
     return GRAINS[grain].visible(table.read(spark))
 
 
-def stream_pipeline(spark, sf_dir):
+def stream_popular_by_children(spark, sf_dir):
     return _popular_stream(spark, sf_dir, "hotel_children")
 
 
@@ -236,7 +236,7 @@ def stream_popular_by_hotel(spark, sf_dir):
     return _popular_stream(spark, sf_dir, "hotel")
 
 
-def stream_pipeline_copies(spark, sf_dir):
+def stream_popular_by_children_copies(spark, sf_dir):
     return _popular_stream(spark, sf_dir, "hotel_children", again=True)
 
 
@@ -244,7 +244,7 @@ def stamped_snapshot(spark, sf_dir):
     root = work_dir(spark, "stamped-snapshot")
     days = _days(spark, sf_dir, root)
     table = SnapshotTable(f"{root}/out")
-    result = pipeline_stream(fixtures.booking_stream(spark, sf_dir), days, "hotel")
+    result = popular_stays_stream(fixtures.booking_stream(spark, sf_dir), days, "hotel")
     _run(stamped(result), table, root, "complete")
     return table.read(spark).drop("timestamp")
 
@@ -391,9 +391,9 @@ HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
        <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND"""
 
 QUERIES: dict[str, tuple[Query, str]] = {
-    "batch_pipeline": (batch_pipeline, _sql(_HOTEL_RESULT)),
-    "batch_pipeline_counting_first": (batch_pipeline_counting_first, _sql(_HOTEL_RESULT)),
-    "batch_pipeline_copies": (batch_pipeline_copies, _sql(_HOTEL_RESULT)),
+    "batch_popular_by_hotel": (batch_popular_by_hotel, _sql(_HOTEL_RESULT)),
+    "batch_popular_by_hotel_counting_first": (batch_popular_by_hotel_counting_first, _sql(_HOTEL_RESULT)),
+    "batch_popular_by_hotel_copies": (batch_popular_by_hotel_copies, _sql(_HOTEL_RESULT)),
     "project_weather": (query_project_weather, _sql("SELECT * FROM weather")),
     "filter_min_temperature": (
         filter_min_temperature,
@@ -443,7 +443,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "encode_preferences": (encode_preferences, _sql(_ENCODED)),
     "json_topic_parse": (json_topic_parse, _PROPS),
     "json_topic_infer": (json_topic_infer, _PROPS),
-    "pipeline_from_topic": (pipeline_from_topic, _sql(_HOTEL_RESULT)),
+    "popular_from_topic": (popular_from_topic, _sql(_HOTEL_RESULT)),
     "scan_bookings": (scan_bookings, _sql(_BOOKING_ROWS)),
     "partition_scan": (
         partition_scan,
@@ -452,8 +452,8 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "parquet_roundtrip": (parquet_roundtrip, _sql(_HOTEL_RESULT)),
     "stream_scan_bookings": (stream_scan_bookings, _sql(_BOOKING_ROWS)),
     "stream_enrich": (stream_enrich, _sql("SELECT * FROM enriched")),
-    "stream_pipeline": (stream_pipeline, _sql(_CHILDREN_RESULT)),
-    "stream_pipeline_copies": (stream_pipeline_copies, _sql(_CHILDREN_RESULT)),
+    "stream_popular_by_children": (stream_popular_by_children, _sql(_CHILDREN_RESULT)),
+    "stream_popular_by_children_copies": (stream_popular_by_children_copies, _sql(_CHILDREN_RESULT)),
     "stream_popular_by_hotel": (stream_popular_by_hotel, _sql(_HOTEL_RESULT)),
     "stream_via_topic": (stream_via_topic, _sql(_CHILDREN_RESULT)),
     "stamped_snapshot": (stamped_snapshot, _sql(_HOTEL_RESULT)),

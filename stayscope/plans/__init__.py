@@ -1 +1 @@
-"""Whole pipelines."""
+"""From inputs to results: batch, stream, and whole jobs."""

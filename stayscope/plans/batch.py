@@ -1,9 +1,9 @@
 """From bookings and weather to the most popular stay per hotel, as one lazy plan.
 
-There are two orders of work with the same result. ``pipeline`` joins first: every booking
-is shuffled once to meet the weather (not at all if the weather can be broadcast), and what
-has weather once more to remove copies. ``pipeline_counting_first`` removes the copies
-first, counts per hotel-day, and joins the counts.
+There are two orders of work with the same result. ``popular_stays`` joins first: every
+booking is shuffled once to meet the weather (not at all if the weather can be broadcast),
+and what has weather once more to remove copies. ``popular_stays_counting_first`` removes
+the copies first, counts per hotel-day, and joins the counts.
 
 Joining first is faster where few bookings have weather or where the weather is small;
 counting first is where most bookings have weather that is too large to broadcast.
@@ -26,7 +26,7 @@ from stayscope.operators.popular import GRAINS, popular, with_popular
 from stayscope.operators.weather import MIN_TMPR, weather_means
 
 
-def pipeline(
+def popular_stays(
     bookings: DataFrame,
     weather: DataFrame,
     grain: str = "hotel",
@@ -37,14 +37,14 @@ def pipeline(
     return join_first(bookings, weather_means(weather, min_tmpr), grain, categories)
 
 
-def pipeline_counting_first(
+def popular_stays_counting_first(
     bookings: DataFrame,
     weather: DataFrame,
     grain: str = "hotel",
     min_tmpr: float = MIN_TMPR,
     categories: Sequence[StayCategory] = STAY_CATEGORIES,
 ) -> DataFrame:
-    """The same as ``pipeline`` for a batch, in the other order of work."""
+    """The same as ``popular_stays`` for a batch, in the other order of work."""
     return count_first(bookings, weather_means(weather, min_tmpr), grain, categories)
 
 
@@ -54,7 +54,7 @@ def join_first(
     grain: str = "hotel",
     categories: Sequence[StayCategory] = STAY_CATEGORIES,
 ) -> DataFrame:
-    """``pipeline`` for weather that ``weather_means`` has already reduced."""
+    """``popular_stays`` for weather that ``weather_means`` has already reduced."""
     return popular(classify(enrich_with_days(bookings, days), categories), grain, categories)
 
 
@@ -64,7 +64,7 @@ def count_first(
     grain: str = "hotel",
     categories: Sequence[StayCategory] = STAY_CATEGORIES,
 ) -> DataFrame:
-    """``pipeline_counting_first`` for weather that is already reduced.
+    """``popular_stays_counting_first`` for weather that is already reduced.
 
     A hotel-day has one count row (per number of children, at that grain) and one weather
     row per name, so the counts add up to what counting joined bookings would give. They

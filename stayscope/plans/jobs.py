@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stayscope.operators.popular import GRAINS
 from stayscope.operators.weather import MIN_TMPR
-from stayscope.plans.pipeline import count_first, join_first
-from stayscope.plans.stream import StaticDays, pipeline_stream, static_days
+from stayscope.plans.batch import count_first, join_first
+from stayscope.plans.stream import StaticDays, popular_stays_stream, static_days
 from stayscope.schemas import BOOKINGS
 from stayscope.session import work_dir
 from stayscope.sources.files import read_table, read_table_stream
@@ -101,7 +101,7 @@ def start_stream(
     bookings = read_table_stream(
         spark, config.stream_bookings, BOOKINGS, config.bookings_format, config.files_per_trigger
     )
-    result = pipeline_stream(bookings, days, config.grain)
+    result = popular_stays_stream(bookings, days, config.grain)
     return run_stream(result, stream_sink(config), config.stream_checkpoint, "update", trigger)
 
 

@@ -1,4 +1,4 @@
-"""The pipeline over a stream of bookings, as one stateful query or over a topic."""
+"""Popular stays over a stream of bookings, as one stateful query or over a topic."""
 
 from __future__ import annotations
 
@@ -69,7 +69,7 @@ def preferences_stream(
     return classify(enriched, categories)
 
 
-def pipeline_stream(
+def popular_stays_stream(
     bookings: DataFrame,
     days: StaticDays,
     grain: str = "hotel_children",

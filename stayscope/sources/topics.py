@@ -27,6 +27,11 @@ def kafka_options(servers: str, topic: str, **more: str) -> dict[str, str]:
     }
 
 
+def kafka_sink_options(servers: str, topic: str, **more: str) -> dict[str, str]:
+    """Options to write messages to ``topic``."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic, **more}
+
+
 def read_topic(
     spark: SparkSession, options: Mapping[str, str], fmt: str = "kafka", path: str | None = None
 ) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from helpers import same
 from pyspark.sql import functions as F
 
-from stayscope import fixtures, pipeline, weather_means
+from stayscope import fixtures, popular_stays, weather_means
 from stayscope.plans.jobs import (
     JobConfig,
     batch_result,
@@ -25,11 +25,9 @@ def world(spark, sf_dir, tmp_path_factory):
     """Bookings of two years in files, weather as messages, and a configuration."""
     root = tmp_path_factory.mktemp("job")
     bookings = fixtures.bookings(spark, sf_dir)
+    known = {name: F.col(name) for name in bookings.columns}
     full = bookings.select(
-        *[
-            F.col(f.name) if f.name in bookings.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in BOOKINGS
-        ]
+        *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in BOOKINGS]
     )
     for year in (1996, 1997):
         part = full.where(F.col("srch_ci").startswith(str(year)))
@@ -59,14 +57,14 @@ def test_both_jobs_on_one_reading_of_the_topic(spark, sf_dir, world):
     run_batch(spark, config, days)
     batch = spark.read.parquet(config.batch_output)
     assert len(batch.columns) == 8
-    same(batch, pipeline(spark.read.parquet(config.batch_bookings), weather))
+    same(batch, popular_stays(spark.read.parquet(config.batch_bookings), weather))
 
     run_out(start_stream(spark, config, days, AVAILABLE_NOW))
     table = stream_sink(config)
     assert isinstance(table, ChangeTable)
     shown = table.read(spark).drop("children_cnt")
     assert len(shown.columns) == 9
-    expected = pipeline(spark.read.parquet(config.stream_bookings), weather, "hotel_children")
+    expected = popular_stays(spark.read.parquet(config.stream_bookings), weather, "hotel_children")
     same(shown, expected)
 
 
@@ -75,7 +73,7 @@ def test_counting_first_where_the_days_are_large(spark, sf_dir, world):
     weather = fixtures.weather(spark, sf_dir)
     large = StaticDays(weather_means(weather), join_salts=8)
     result = batch_result(spark, config, large)
-    same(result, pipeline(spark.read.parquet(config.batch_bookings), weather))
+    same(result, popular_stays(spark.read.parquet(config.batch_bookings), weather))
 
 
 def test_index_sink_is_chosen_by_format(world):

@@ -16,15 +16,15 @@ from stayscope import (
     classify,
     distinct_bookings,
     enrich,
-    pipeline,
-    pipeline_counting_first,
+    popular_stays,
+    popular_stays_counting_first,
     popular,
     project_weather,
     weather_means,
 )
 from stayscope.schemas import POPULAR_BY_CHILDREN, POPULAR_BY_HOTEL
 
-PIPELINES = [pipeline, pipeline_counting_first]
+ORDERS = [popular_stays, popular_stays_counting_first]
 DAY = "2017-08-24"
 
 
@@ -32,7 +32,7 @@ def one_day(spark, *readings):
     return weather_of(spark, [(1, DAY, degrees, name) for degrees, name in readings])
 
 
-@pytest.mark.parametrize("run", PIPELINES)
+@pytest.mark.parametrize("run", ORDERS)
 def test_two_stays_of_four_and_five_days(spark, run):
     # The two bookings and readings whose result is known.
     bookings = bookings_of(
@@ -57,7 +57,7 @@ def test_two_stays_of_four_and_five_days(spark, run):
     assert winners == dict.fromkeys([2843268349952, 3393024163840], "standart_stay_cnt")
 
 
-@pytest.mark.parametrize("run", PIPELINES)
+@pytest.mark.parametrize("run", ORDERS)
 def test_children_grain_has_nine_columns(spark, run):
     bookings = bookings_of(
         spark, [(1, 1, DAY, "2017-08-25", 0), (2, 1, DAY, "2017-08-25", 2), (3, 1, DAY, DAY, None)]
@@ -90,7 +90,7 @@ def test_copies_count_once_and_readings_do_not_fan_out(spark):
     ]
 
 
-@pytest.mark.parametrize("run", PIPELINES)
+@pytest.mark.parametrize("run", ORDERS)
 def test_a_booking_counts_once_per_name_of_its_hotel_day(spark, run):
     bookings = bookings_of(spark, [(1, 1, DAY, "2017-08-26", 0)])
     result = run(bookings, one_day(spark, (10.0, "A"), (20.0, "B"), (30.0, None)))
@@ -99,7 +99,7 @@ def test_a_booking_counts_once_per_name_of_its_hotel_day(spark, run):
     ]
 
 
-@pytest.mark.parametrize("run", PIPELINES)
+@pytest.mark.parametrize("run", ORDERS)
 def test_null_keys_never_match_and_null_check_out_is_a_group(spark, run):
     bookings = bookings_of(
         spark,
@@ -216,7 +216,7 @@ def test_against_plain_python(spark, seed, hot_share):
 
     for grain in ("hotel", "hotel_children"):
         wanted = expected_popular(booking_rows, weather_rows, grain)
-        for run in PIPELINES:
+        for run in ORDERS:
             result = run(bookings, weather, grain=grain)
             assert rows_of(result, result.columns) == wanted
 
@@ -230,14 +230,14 @@ def test_threshold_and_categories_are_parameters(spark):
     ]
     bookings = bookings_of(spark, [(1, 1, DAY, "2017-12-26", 0), (2, 1, DAY, None, 0)])
     weather = one_day(spark, (10.0, "A"))
-    plain = pipeline(bookings, weather, min_tmpr=9, categories=own)
-    same(plain, pipeline_counting_first(bookings, weather, min_tmpr=9, categories=own))
+    plain = popular_stays(bookings, weather, min_tmpr=9, categories=own)
+    same(plain, popular_stays_counting_first(bookings, weather, min_tmpr=9, categories=own))
     assert plain.select("none_cnt", "any_cnt", "most_popular_stay_type").first() == (
         1,
         1,
         "none_cnt",
     )
-    assert pipeline(bookings, weather, min_tmpr=10, categories=own).count() == 0
+    assert popular_stays(bookings, weather, min_tmpr=10, categories=own).count() == 0
 
 
 def test_unused_columns_of_the_bookings_do_not_matter(spark):

@@ -8,8 +8,8 @@ from stayscope import (
     distinct_bookings,
     enrich,
     fixtures,
-    pipeline,
-    pipeline_counting_first,
+    popular_stays,
+    popular_stays_counting_first,
     weather_means,
 )
 from stayscope.catalog import QUERIES
@@ -44,10 +44,8 @@ def wide(spark, tmp_path_factory):
         "hotel_id": F.col("id") % 20,
         "srch_children_cnt": (F.col("id") % 3).cast("int"),
     }
-    columns = [
-        F.col("id") if f.name == "id" else values.get(f.name, F.lit(1)).cast(f.dataType).alias(f.name)
-        for f in BOOKINGS
-    ]
+    values["id"] = F.col("id")
+    columns = [values.get(f.name, F.lit(1)).cast(f.dataType).alias(f.name) for f in BOOKINGS]
     spark.range(5000).select(columns).write.parquet(f"{root}/bookings")
     weather = spark.range(1000).select(
         (F.col("id") % 20).alias("Id"),
@@ -69,7 +67,7 @@ def test_no_python_in_the_plan(spark, sf_dir, name):
     assert not re.search(r"Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
 
 
-@pytest.mark.parametrize("run", [pipeline, pipeline_counting_first])
+@pytest.mark.parametrize("run", [popular_stays, popular_stays_counting_first])
 def test_only_needed_columns_and_rows_are_scanned(wide, run):
     plan = plan_of(run(*wide))
     bookings, weather = sorted(re.findall(r"ReadSchema: struct<(.*)>", plan), key=len)[::-1]
@@ -87,7 +85,7 @@ def test_only_needed_columns_and_rows_are_scanned(wide, run):
 
 
 def test_mean_is_not_computed_where_it_is_not_shown(wide):
-    assert "avg(" not in plan_of(pipeline(*wide))
+    assert "avg(" not in plan_of(popular_stays(*wide))
     assert "avg(" in plan_of(enrich(*wide))
 
 
@@ -99,7 +97,7 @@ def test_copies_are_collapsed_before_they_are_shuffled(wide):
 
 def test_counting_first_shuffles_bookings_once(spark, wide):
     with settings(spark, MERGE_JOIN):
-        plan = plan_of(pipeline_counting_first(*wide), "simple")
+        plan = plan_of(popular_stays_counting_first(*wide), "simple")
     by_booking = [e for e in exchanges(plan) if "order_id" in e]
     assert len(by_booking) == 1
     # the counts by hotel-day lie where the join needs them
@@ -107,7 +105,7 @@ def test_counting_first_shuffles_bookings_once(spark, wide):
 
 
 def test_only_fast_aggregates(spark, wide):
-    for run in (pipeline, pipeline_counting_first, enrich):
+    for run in (popular_stays, popular_stays_counting_first, enrich):
         plan = plan_of(run(*wide), "simple")
         assert "SortAggregate" not in plan
         assert "ObjectHashAggregate" not in plan
@@ -150,12 +148,12 @@ def test_a_hotel_day_with_a_third_of_the_bookings_is_split(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
     }
     with settings(spark, low):
-        result = pipeline(bookings, weather)
+        result = popular_stays(bookings, weather)
         plan = final_plan(result)
         assert "SortMergeJoin(skew=true)" in plan
         counted = {r["hotel_name"]: r for r in result.collect() if r["hotel_name"] == "Hot"}
         assert counted["Hot"]["standart_stay_cnt"] == 20_000 + 1
-        again = pipeline_counting_first(bookings, weather)
+        again = popular_stays_counting_first(bookings, weather)
         assert rows_of(again) == rows_of(result)
 
 
@@ -177,7 +175,7 @@ def test_small_weather_is_broadcast_once_measured(spark):
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     }
     with settings(spark, sized_at_run_time):
-        plan = final_plan(pipeline(bookings, weather))
+        plan = final_plan(popular_stays(bookings, weather))
     assert "BroadcastHashJoin" in plan.split("Initial Plan")[0]
 
 

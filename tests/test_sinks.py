@@ -4,6 +4,7 @@ from helpers import finish, plan_of, rows_of, same
 from pyspark.sql import functions as F
 
 from stayscope.schemas import POPULAR_BY_HOTEL
+from stayscope.sources.topics import decode_json, encode_json
 from stayscope.streaming.runner import Target, run_stream
 from stayscope.streaming.sinks import (
     ChangeTable,
@@ -72,8 +73,9 @@ def test_snapshot_table_shows_the_newest_snapshot_only(spark, tmp_path):
 
 
 def test_document_ids_stand_for_their_keys(spark):
-    rows = [("A", 0, 1, "x"), ("A", 0, 2, "y"), ("A", None, 1, "x"), ("", 0, 1, "x"), (None, 0, 1, "x")]
-    ids = [r["doc_id"] for r in with_doc_id(table(spark, rows), ["name", "children"]).collect()]
+    keys = [("A", 0), ("A", 0), ("A", None), ("", 0), (None, 0)]
+    rows = table(spark, [(*key, n, "x") for n, key in enumerate(keys)])
+    ids = [r["doc_id"] for r in with_doc_id(rows, ["name", "children"]).orderBy("n").collect()]
     assert ids[0] == ids[1]
     assert len(set(ids)) == 4
 
@@ -108,6 +110,21 @@ def test_memory_table_and_handle(spark, tmp_path):
     assert not query.isActive
 
 
+def test_counts_as_messages_in_complete_mode(spark, tmp_path):
+    source = str(tmp_path / "source")
+    spark.createDataFrame([("a",), ("a",), ("b",)], "top string").write.parquet(source)
+    stream = spark.readStream.schema("top string").parquet(source)
+    encoded = encode_json(stream.groupBy("top").count())
+    target = Target("memory", name="counts_as_messages")
+    query = run_stream(encoded, target, None, "complete")
+    try:
+        query.processAllAvailable()
+        received = decode_json(spark.table("counts_as_messages"), "top string, count bigint")
+        assert rows_of(received, ["top", "count"]) == [("a", 2), ("b", 1)]
+    finally:
+        query.stop()
+
+
 def test_complete_mode_counts(spark, tmp_path):
     source = str(tmp_path / "source")
     spark.range(10).repartition(5).write.parquet(source)

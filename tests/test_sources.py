@@ -12,6 +12,7 @@ from stayscope.sources.topics import (
     encode_json,
     infer_json_schema,
     kafka_options,
+    kafka_sink_options,
     read_json_topic,
     read_topic,
     read_topic_stream,
@@ -105,6 +106,14 @@ def test_kafka_options_read_from_the_start_and_survive_expiry():
     assert options["maxOffsetsPerTrigger"] == "10"
 
 
+def test_kafka_sink_options():
+    assert kafka_sink_options("broker:9092", "counts", **{"kafka.acks": "all"}) == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "topic": "counts",
+        "kafka.acks": "all",
+    }
+
+
 def test_topic_in_files_as_batch_and_as_stream(spark, tmp_path):
     topic = str(tmp_path / "topic")
     messages_of(spark, WEATHER_TEXTS).write.text(topic)
@@ -121,9 +130,8 @@ def test_topic_in_files_as_batch_and_as_stream(spark, tmp_path):
 
 def test_binary_values_are_read_as_text(spark, tmp_path):
     topic = str(tmp_path / "topic")
-    messages_of(spark, WEATHER_TEXTS).select(F.encode("value", "UTF-8").alias("value")).write.parquet(
-        topic
-    )
+    binary = F.encode("value", "UTF-8").alias("value")
+    messages_of(spark, WEATHER_TEXTS).select(binary).write.parquet(topic)
     assert read_json_topic(read_topic(spark, {}, "parquet", topic)).count() == 2
 
 

@@ -6,12 +6,12 @@ import pytest
 from helpers import bookings_of, finish, plan_of, rows_of, same, weather_of
 from pyspark.sql import functions as F
 
-from stayscope import fixtures, pipeline, weather_means
+from stayscope import fixtures, popular_stays, weather_means
 from stayscope.operators.enrich import enrich, enrich_with_days
 from stayscope.operators.popular import GRAINS, popular
 from stayscope.plans.stream import (
     StaticDays,
-    pipeline_stream,
+    popular_stays_stream,
     preferences_stream,
     static_days,
     table_bytes,
@@ -51,7 +51,7 @@ def stream_of(spark, inputs, files_per_trigger=None):
 
 def run_popular(spark, bookings, days, grain, root, **dedup):
     table = ChangeTable(f"{root}/out", GRAINS[grain].keys)
-    result = pipeline_stream(bookings, days, grain, **dedup)
+    result = popular_stays_stream(bookings, days, grain, **dedup)
     finish(result, table, f"{root}/checkpoint", "update")
     return GRAINS[grain].visible(table.read(spark))
 
@@ -61,7 +61,7 @@ def run_popular(spark, bookings, days, grain, root, **dedup):
 def test_stream_equals_batch(spark, inputs, days, tmp_path, grain, files_per_trigger):
     stream = stream_of(spark, inputs, files_per_trigger)
     result = run_popular(spark, stream, days, grain, tmp_path)
-    same(result, pipeline(inputs[1], inputs[2], grain))
+    same(result, popular_stays(inputs[1], inputs[2], grain))
 
 
 @pytest.mark.parametrize("copy_salts", [0, 3, 8])
@@ -70,7 +70,7 @@ def test_salted_sort_merge_join_equals_batch(spark, inputs, tmp_path, copy_salts
     assert salted.join_salts == 4
     stream = stream_of(spark, inputs, 2)
     result = run_popular(spark, stream, salted, "hotel", tmp_path, copy_salts=copy_salts)
-    same(result, pipeline(inputs[1], inputs[2]))
+    same(result, popular_stays(inputs[1], inputs[2]))
 
 
 def test_salting_splits_one_hotel_day_and_one_booking(spark):
@@ -109,17 +109,17 @@ def test_restart_and_resent_files_change_nothing(spark, inputs, days, tmp_path):
         stream = read_table_stream(
             spark, str(arriving), inputs[1].schema, files_per_trigger=1
         )
-        finish(pipeline_stream(stream, days, "hotel"), table, str(tmp_path / "cp"), "update")
+        finish(popular_stays_stream(stream, days, "hotel"), table, str(tmp_path / "cp"), "update")
 
     run()
-    partial = pipeline(spark.read.parquet(str(arriving)), inputs[2])
+    partial = popular_stays(spark.read.parquet(str(arriving)), inputs[2])
     same(table.read(spark), partial)
     for file in files[3:]:
         shutil.copy(file, arriving)
     for file in files[:2]:
         shutil.copy(file, arriving / f"again-{file.name}")
     run()
-    same(table.read(spark), pipeline(inputs[1], inputs[2]))
+    same(table.read(spark), popular_stays(inputs[1], inputs[2]))
 
 
 def test_a_batch_that_runs_again_after_a_failure_counts_once(spark, inputs, days, tmp_path):
@@ -133,24 +133,24 @@ def test_a_batch_that_runs_again_after_a_failure_counts_once(spark, inputs, days
             raise RuntimeError("lost after the write")
 
     def run():
-        result = pipeline_stream(stream_of(spark, inputs, 1), days, "hotel")
-        query = run_stream(result, fail_after_writing, str(tmp_path / "cp"), "update", AVAILABLE_NOW)
-        run_out(query)
+        result = popular_stays_stream(stream_of(spark, inputs, 1), days, "hotel")
+        checkpoint = str(tmp_path / "cp")
+        run_out(run_stream(result, fail_after_writing, checkpoint, "update", AVAILABLE_NOW))
 
     with pytest.raises(Exception, match="lost after the write"):
         run()
     run()
     assert failed == [2]
-    same(table.read(spark), pipeline(inputs[1], inputs[2]))
+    same(table.read(spark), popular_stays(inputs[1], inputs[2]))
 
 
 def test_snapshot_in_complete_mode(spark, inputs, days, tmp_path):
     snapshot = SnapshotTable(str(tmp_path / "out"))
-    result = stamped(pipeline_stream(stream_of(spark, inputs, 2), days, "hotel"))
+    result = stamped(popular_stays_stream(stream_of(spark, inputs, 2), days, "hotel"))
     finish(result, snapshot, str(tmp_path / "cp"), "complete")
     stored = snapshot.read(spark)
     assert stored.select("timestamp").distinct().count() == 1
-    same(stored.drop("timestamp"), pipeline(inputs[1], inputs[2]))
+    same(stored.drop("timestamp"), popular_stays(inputs[1], inputs[2]))
 
 
 def test_two_queries_over_a_topic(spark, inputs, days, tmp_path):
@@ -163,7 +163,7 @@ def test_two_queries_over_a_topic(spark, inputs, days, tmp_path):
     counted = popular(received, "hotel_children", keep_keys=True)
     finish(counted, table, str(tmp_path / "cp2"), "update")
     result = GRAINS["hotel_children"].visible(table.read(spark))
-    same(result, pipeline(inputs[1], inputs[2], "hotel_children"))
+    same(result, popular_stays(inputs[1], inputs[2], "hotel_children"))
 
 
 def test_copies_within_the_delay_of_their_booking_time(spark, tmp_path):
@@ -180,7 +180,7 @@ def test_copies_within_the_delay_of_their_booking_time(spark, tmp_path):
     result = run_popular(
         spark, stream, days, "hotel", tmp_path, event_time="date_time", delay="2 days"
     )
-    same(result, pipeline(bookings, weather))
+    same(result, popular_stays(bookings, weather))
 
 
 def test_size_of_the_days_decides_the_join(spark, tmp_path):
@@ -235,7 +235,7 @@ def test_micro_batches_can_be_bounded_by_bytes(spark, inputs, days, tmp_path):
         spark, inputs[0], inputs[1].schema, options={"maxBytesPerTrigger": "1"}
     )
     result = run_popular(spark, stream, days, "hotel", tmp_path)
-    same(result, pipeline(inputs[1], inputs[2]))
+    same(result, popular_stays(inputs[1], inputs[2]))
     assert len(list((tmp_path / "checkpoint" / "commits").glob("[0-9]*"))) >= 6
 
 
