@@ -16,10 +16,16 @@ from stayscope.operators.enrich import enrich, enrich_with_days
 from stayscope.operators.popular import GRAINS, popular
 from stayscope.operators.weather import above_temperature, project_weather
 from stayscope.plans.batch import popular_stays, popular_stays_counting_first
-from stayscope.plans.stream import popular_stays_stream, preferences_stream, static_days
-from stayscope.schemas import PREFERENCES
+from stayscope.plans.stream import (
+    popular_stays_collapsed,
+    popular_stays_stream,
+    preferences_stream,
+    start_collapsing,
+    static_days,
+)
+from stayscope.schemas import ENRICHED, PREFERENCES
 from stayscope.session import materialize, work_dir
-from stayscope.sources.files import read_table
+from stayscope.sources.files import read_table, read_table_stream
 from stayscope.sources.topics import (
     decode_json,
     encode_json,
@@ -240,6 +246,19 @@ def stream_popular_by_children_copies(spark, sf_dir):
     return _popular_stream(spark, sf_dir, "hotel_children", again=True)
 
 
+def stream_popular_collapsed(spark, sf_dir):
+    """Two queries with files between them, for bookings with many copies."""
+    root = work_dir(spark, "stream-collapsed")
+    days = _days(spark, sf_dir, root)
+    bookings = fixtures.sent_again(fixtures.booking_stream(spark, sf_dir))
+    run_out(start_collapsing(bookings, days, f"{root}/stage", f"{root}/first", AVAILABLE_NOW))
+
+    table = ChangeTable(f"{root}/out", GRAINS["hotel"].keys)
+    enriched = read_table_stream(spark, f"{root}/stage", ENRICHED)
+    _run(popular_stays_collapsed(enriched, "hotel"), table, f"{root}/second", "update")
+    return table.read(spark)
+
+
 def stamped_snapshot(spark, sf_dir):
     root = work_dir(spark, "stamped-snapshot")
     days = _days(spark, sf_dir, root)
@@ -455,6 +474,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "stream_popular_by_children": (stream_popular_by_children, _sql(_CHILDREN_RESULT)),
     "stream_popular_by_children_copies": (stream_popular_by_children_copies, _sql(_CHILDREN_RESULT)),
     "stream_popular_by_hotel": (stream_popular_by_hotel, _sql(_HOTEL_RESULT)),
+    "stream_popular_collapsed": (stream_popular_collapsed, _sql(_HOTEL_RESULT)),
     "stream_via_topic": (stream_via_topic, _sql(_CHILDREN_RESULT)),
     "stamped_snapshot": (stamped_snapshot, _sql(_HOTEL_RESULT)),
     "windowed_count": (query_windowed_count, _WINDOWS),

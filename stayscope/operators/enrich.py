@@ -43,6 +43,7 @@ def enrich_with_days(
     of as many copies of ``days``. ``copy_salts`` is for the removal of booking copies;
     0 turns the splitting off, which halves the state. With ``event_time``, a column of
     the bookings, copies are only looked for within ``delay``, and the state stays small.
+    A query must be restarted with the ``copy_salts`` and ``event_time`` it began with.
     """
     if not bookings.isStreaming:
         return _finish(_distinct(join_days(project_bookings(bookings), days)))
@@ -55,8 +56,8 @@ def enrich_with_days(
     salted = narrow.withColumn("salt", booking_salt(max(join_salts, copy_salts, 1)))
     joined = join_days(salted, days, join_salts)
     if copy_salts > 1:
-        joined = _drop_copies(joined, [*ENRICHED_KEYS, "salt"], event_time)
-    return _finish(_drop_copies(joined, ENRICHED_KEYS, event_time))
+        joined = drop_copies(joined, [*ENRICHED_KEYS, "salt"], event_time)
+    return _finish(drop_copies(joined, ENRICHED_KEYS, event_time))
 
 
 def join_days(bookings: DataFrame, days: DataFrame, salts: int = 1) -> DataFrame:
@@ -89,8 +90,8 @@ def _distinct(joined: DataFrame) -> DataFrame:
     return distinct.select("hotel_day.*", *rest, "avg_tmpr")
 
 
-def _drop_copies(
-    joined: DataFrame, keys: Sequence[str], event_time: str | None
+def drop_copies(
+    joined: DataFrame, keys: Sequence[str] = ENRICHED_KEYS, event_time: str | None = None
 ) -> DataFrame:
     """The first row per key of a stream.
 

@@ -10,11 +10,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from stayscope.operators.enrich import COPY_SALTS
 from stayscope.operators.popular import GRAINS
 from stayscope.operators.weather import MIN_TMPR
 from stayscope.plans.batch import count_first, join_first
-from stayscope.plans.stream import StaticDays, popular_stays_stream, static_days
-from stayscope.schemas import BOOKINGS
+from stayscope.plans.stream import (
+    StaticDays,
+    popular_stays_collapsed,
+    popular_stays_stream,
+    start_collapsing,
+    static_days,
+)
+from stayscope.schemas import BOOKINGS, ENRICHED
 from stayscope.session import work_dir
 from stayscope.sources.files import read_table, read_table_stream
 from stayscope.sources.topics import read_json_topic, read_topic
@@ -37,7 +44,8 @@ class JobConfig:
     """Where the jobs read and write.
 
     The stream writes a change table at ``stream_output``, or, if ``index_format`` names
-    a deployed connector, documents to that index. Passwords and the like belong into
+    a deployed connector, documents to that index. With ``stage``, a folder, it runs as
+    two queries, the first of which collapses copies into that folder. Passwords and the like belong into
     ``index_options`` and ``weather.options`` of the caller, not into code.
     """
 
@@ -51,6 +59,9 @@ class JobConfig:
     grain: str = "hotel_children"
     min_tmpr: float = MIN_TMPR
     files_per_trigger: int | None = None
+    copy_salts: int = COPY_SALTS
+    stage: str | None = None
+    stage_checkpoint: str | None = None
     index_format: str | None = None
     index_options: Mapping[str, str] = field(default_factory=dict)
 
@@ -91,17 +102,42 @@ def stream_sink(config: JobConfig) -> BatchWriter:
     )
 
 
+def bookings_stream(spark: SparkSession, config: JobConfig) -> DataFrame:
+    return read_table_stream(
+        spark, config.stream_bookings, BOOKINGS, config.bookings_format, config.files_per_trigger
+    )
+
+
+def start_stage(
+    spark: SparkSession,
+    config: JobConfig,
+    days: StaticDays,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """The first of two queries, for a configuration with a ``stage``."""
+    bookings = bookings_stream(spark, config)
+    return start_collapsing(bookings, days, config.stage, config.stage_checkpoint, trigger)
+
+
 def start_stream(
     spark: SparkSession,
     config: JobConfig,
     days: StaticDays,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Keep the result per group at ``stream_output`` up to date; returns the query."""
-    bookings = read_table_stream(
-        spark, config.stream_bookings, BOOKINGS, config.bookings_format, config.files_per_trigger
-    )
-    result = popular_stays_stream(bookings, days, config.grain)
+    """Keep the result per group at ``stream_output`` up to date; returns the query.
+
+    With a ``stage`` this is the second query, which follows what the first puts there.
+    """
+    if config.stage is None:
+        bookings = bookings_stream(spark, config)
+        result = popular_stays_stream(
+            bookings, days, config.grain, copy_salts=config.copy_salts
+        )
+    else:
+        result = popular_stays_collapsed(
+            read_table_stream(spark, config.stage, ENRICHED), config.grain
+        )
     return run_stream(result, stream_sink(config), config.stream_checkpoint, "update", trigger)
 
 
@@ -117,7 +153,10 @@ def main(arguments: list[str] | None = None) -> None:
     if parsed.mode != "stream":
         run_batch(spark, config, days)
     if parsed.mode != "batch":
-        start_stream(spark, config, days).awaitTermination()
+        if config.stage is not None:
+            start_stage(spark, config, days)
+        start_stream(spark, config, days)
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from stayscope.categories import STAY_CATEGORIES, StayCategory
+from stayscope.operators.bookings import project_bookings
 from stayscope.operators.classify import classify
-from stayscope.operators.enrich import COPY_SALTS, enrich_with_days
+from stayscope.operators.enrich import COPY_SALTS, drop_copies, enrich_with_days
 from stayscope.operators.popular import popular
 from stayscope.operators.weather import MIN_TMPR, weather_means
+from stayscope.schemas import ENRICHED
 from stayscope.session import MIB, materialize
+from stayscope.streaming.runner import run_stream
 
 MAX_BROADCAST = 64 * MIB
 
@@ -69,6 +73,41 @@ def preferences_stream(
     return classify(enriched, categories)
 
 
+def start_collapsing(
+    bookings: DataFrame,
+    days: StaticDays,
+    path: str,
+    checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """First of two queries: micro-batches, enriched and rid of their copies, into files.
+
+    It keeps no state. Each micro-batch is enriched as a batch: copies collapse before
+    the shuffle, and AQE splits large hotel-days. That is cheaper than the salts of a
+    single query where a few bookings or hotel-days make up much of the stream.
+
+    A micro-batch that runs again after a failure appends its rows again; like copies
+    that lie in different micro-batches, they are left to ``popular_stays_collapsed``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        enrich_with_days(batch, days.frame).write.mode("append").parquet(path)
+
+    # so that the second query finds the folder, however early it starts
+    bookings.sparkSession.createDataFrame([], ENRICHED).write.mode("append").parquet(path)
+    return run_stream(project_bookings(bookings), write, checkpoint, "append", trigger)
+
+
+def popular_stays_collapsed(
+    enriched: DataFrame,
+    grain: str = "hotel_children",
+    categories: Sequence[StayCategory] = STAY_CATEGORIES,
+) -> DataFrame:
+    """Second of two queries: counts and most popular category of what the first wrote."""
+    preferences = classify(drop_copies(enriched), categories)
+    return popular(preferences, grain, categories, keep_keys=True)
+
+
 def popular_stays_stream(
     bookings: DataFrame,
     days: StaticDays,

@@ -53,6 +53,17 @@ WEATHER_MESSAGES = record(
     Geohash="string",
 )
 
+ENRICHED = record(
+    order_id="long",
+    srch_ci="string",
+    srch_co="string",
+    srch_children_cnt="integer",
+    hotel_id="long",
+    hotel_name="string",
+    avg_tmpr="double",
+    duration_stay="long",
+)
+
 # Keys of the customer-preference messages.
 PREFERENCES = record(
     hotel_name="string",

@@ -10,6 +10,7 @@ from stayscope.plans.jobs import (
     batch_result,
     hotel_days,
     run_batch,
+    start_stage,
     start_stream,
     stream_sink,
 )
@@ -68,6 +69,26 @@ def test_both_jobs_on_one_reading_of_the_topic(spark, sf_dir, world):
     same(shown, expected)
 
 
+def test_stream_in_two_queries(spark, sf_dir, world):
+    root, config = world
+    staged = JobConfig(
+        **{
+            **config.__dict__,
+            "stream_output": f"{root}/staged/out",
+            "stream_checkpoint": f"{root}/staged/checkpoint",
+            "stage": f"{root}/staged/stage",
+            "stage_checkpoint": f"{root}/staged/stage-checkpoint",
+        }
+    )
+    days = hotel_days(spark, staged)
+    run_out(start_stage(spark, staged, days, AVAILABLE_NOW))
+    run_out(start_stream(spark, staged, days, AVAILABLE_NOW))
+    shown = stream_sink(staged).read(spark).drop("children_cnt")
+    weather = fixtures.weather(spark, sf_dir)
+    bookings = spark.read.parquet(config.stream_bookings)
+    same(shown, popular_stays(bookings, weather, "hotel_children"))
+
+
 def test_counting_first_where_the_days_are_large(spark, sf_dir, world):
     config = world[1]
     weather = fixtures.weather(spark, sf_dir)

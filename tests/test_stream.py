@@ -11,12 +11,14 @@ from stayscope.operators.enrich import enrich, enrich_with_days
 from stayscope.operators.popular import GRAINS, popular
 from stayscope.plans.stream import (
     StaticDays,
+    popular_stays_collapsed,
     popular_stays_stream,
     preferences_stream,
+    start_collapsing,
     static_days,
     table_bytes,
 )
-from stayscope.schemas import PREFERENCES
+from stayscope.schemas import ENRICHED, PREFERENCES
 from stayscope.session import work_dir
 from stayscope.sources.files import read_table_stream
 from stayscope.sources.topics import decode_json, encode_json, read_topic_stream
@@ -166,6 +168,53 @@ def test_two_queries_over_a_topic(spark, inputs, days, tmp_path):
     same(result, popular_stays(inputs[1], inputs[2], "hotel_children"))
 
 
+def test_two_queries_over_collapsed_files(spark, inputs, days, tmp_path):
+    stage, checkpoint = str(tmp_path / "stage"), str(tmp_path / "cp1")
+    failed = []
+
+    class Broken:
+        """Days that fail once, in the second micro-batch."""
+
+        calls = 0
+
+        @property
+        def frame(self):
+            self.calls += 1
+            if self.calls == 2 and not failed:
+                failed.append(True)
+                raise RuntimeError("lost")
+            return days.frame
+
+    def collapse(static):
+        stream = stream_of(spark, inputs, 2)
+        run_out(start_collapsing(stream, static, stage, checkpoint, AVAILABLE_NOW))
+
+    with pytest.raises(Exception, match="lost"):
+        collapse(Broken())
+    collapse(days)
+    rows = spark.read.parquet(stage).count()
+    assert rows < enrich_with_days(inputs[1], days.frame).count() * 3
+
+    for grain in GRAINS:
+        table = ChangeTable(str(tmp_path / f"out-{grain}"), GRAINS[grain].keys)
+        enriched = read_table_stream(spark, stage, ENRICHED, files_per_trigger=3)
+        result = popular_stays_collapsed(enriched, grain)
+        finish(result, table, str(tmp_path / f"cp-{grain}"), "update")
+        shown = GRAINS[grain].visible(table.read(spark))
+        same(shown, popular_stays(inputs[1], inputs[2], grain))
+
+
+def test_second_query_may_start_first(spark, inputs, days, tmp_path):
+    empty = inputs[1].limit(0)
+    empty.write.parquet(str(tmp_path / "in"))
+    stream = read_table_stream(spark, str(tmp_path / "in"), empty.schema)
+    stage = str(tmp_path / "stage")
+    run_out(start_collapsing(stream, days, stage, str(tmp_path / "cp"), AVAILABLE_NOW))
+    schema = spark.read.parquet(stage).schema
+    assert schema == ENRICHED
+    assert schema == enrich_with_days(inputs[1], days.frame).schema
+
+
 def test_copies_within_the_delay_of_their_booking_time(spark, tmp_path):
     rows = [(i % 50, 1, DAY, "2017-08-26", 0, "2017-08-01 10:00:00") for i in range(200)]
     schema = (
