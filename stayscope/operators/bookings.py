@@ -11,8 +11,13 @@ BOOKING_KEYS = ("order_id", "srch_ci", "srch_co", "srch_children_cnt", "hotel_id
 
 
 def project_bookings(bookings: DataFrame, *more: str) -> DataFrame:
-    """The five columns that identify a booking, with ``id`` renamed to ``order_id``."""
-    return bookings.withColumnRenamed("id", "order_id").select(*BOOKING_KEYS, *more)
+    """The five columns that identify a booking, with ``id`` renamed to ``order_id``.
+
+    Ids become longs, which is free where they are longs already.
+    """
+    renamed = bookings.withColumnRenamed("id", "order_id")
+    longs = {name: F.col(name).cast("bigint").alias(name) for name in ("order_id", "hotel_id")}
+    return renamed.select(*[longs.get(name, name) for name in (*BOOKING_KEYS, *more)])
 
 
 def distinct_bookings(bookings: DataFrame) -> DataFrame:

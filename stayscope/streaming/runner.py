@@ -42,9 +42,13 @@ def run_stream(
     mode: str = "append",
     trigger: Mapping[str, object] | None = None,
     state: Mapping[str, str] = ROCKSDB,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query and return its handle; it never blocks.
 
+    ``partitions`` is the number of state partitions, which a query keeps for as long as
+    it keeps its checkpoint; the default is that of the session's shuffles.
+
     ``sink`` is a ``Target``, or a function of (batch, batch id) that is called again
     with the same id after a failure and so must replace what it wrote before.
     """
@@ -61,7 +65,8 @@ def run_stream(
     else:
         writer = writer.foreachBatch(sink)
         path = None
-    with settings(frame.sparkSession, state):
+    shuffles = {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
+    with settings(frame.sparkSession, {**state, **shuffles}):
         return writer.start(path)
 
 

@@ -240,6 +240,15 @@ def test_threshold_and_categories_are_parameters(spark):
     assert popular_stays(bookings, weather, min_tmpr=10, categories=own).count() == 0
 
 
+def test_narrow_ids_become_longs(spark):
+    narrow = bookings_of(spark, [(1, 1, DAY, "2017-08-26", 0)]).select(
+        F.col("id").cast("int"), F.col("hotel_id").cast("smallint"),
+        "srch_ci", "srch_co", "srch_children_cnt",
+    )
+    result = popular_stays(narrow, one_day(spark, (10.0, "A")))
+    assert dict(result.dtypes)["hotel_id"] == "bigint"
+
+
 def test_unused_columns_of_the_bookings_do_not_matter(spark):
     bookings = bookings_of(spark, [(1, 1, DAY, "2017-08-26", 0)] * 2)
     wide = bookings.withColumn("site_name", F.monotonically_increasing_id())

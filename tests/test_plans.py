@@ -84,6 +84,13 @@ def test_only_needed_columns_and_rows_are_scanned(wide, run):
     assert any("IsNotNull(hotel_id)" in p and "IsNotNull(srch_ci)" in p for p in pushed)
 
 
+def test_filters_on_the_result_reach_both_scans(wide):
+    plan = plan_of(enrich(*wide).where("hotel_id = 5 AND srch_ci = '2016-01-06'"))
+    pushed = re.findall(r"PushedFilters: \[(.*)\]", plan)
+    for column in ("hotel_id,5", "srch_ci,2016-01-06", "wthrDate,2016-01-06"):
+        assert any(f"EqualTo({column})" in p for p in pushed), column
+
+
 def test_mean_is_not_computed_where_it_is_not_shown(wide):
     assert "avg(" not in plan_of(popular_stays(*wide))
     assert "avg(" in plan_of(enrich(*wide))

@@ -254,6 +254,16 @@ def test_state_is_kept_by_rocksdb(spark, inputs, days, tmp_path):
     ]
 
 
+def test_number_of_state_partitions(spark, inputs, days, tmp_path):
+    table = ChangeTable(str(tmp_path / "out"), GRAINS["hotel"].keys)
+    result = popular_stays_stream(stream_of(spark, inputs), days, "hotel")
+    checkpoint = str(tmp_path / "cp")
+    run_out(run_stream(result, table, checkpoint, "update", AVAILABLE_NOW, partitions=3))
+    run_out(run_stream(result, table, checkpoint, "update", AVAILABLE_NOW, partitions=5))
+    assert len(list((tmp_path / "cp" / "state" / "0").glob("[0-9]*"))) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
 def events_of(spark, path, seconds, files=1):
     times = spark.createDataFrame([(s,) for s in seconds], "s bigint")
     frame = times.select(F.timestamp_seconds("s").alias("ts"))
