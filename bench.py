@@ -76,7 +76,7 @@ def main() -> None:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
-    queries = {name: QUERIES[name][0] for name in HEADLINE}
+    queries = {name: QUERIES[name] for name in HEADLINE}
     queries["comparison_averaging_after_the_join"] = averaging_after_the_join
     seconds(queries["batch_popular_by_hotel"], spark, sf_dir)  # start the JVM's compilers
     times = {

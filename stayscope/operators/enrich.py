@@ -42,7 +42,8 @@ def enrich_with_days(
     the bookings of a hotel-day over that many tasks of a sort-merge join, at the price
     of as many copies of ``days``. ``copy_salts`` is for the removal of booking copies;
     0 turns the splitting off, which halves the state. With ``event_time``, a column of
-    the bookings, copies are only looked for within ``delay``, and the state stays small.
+    the bookings, copies are only looked for within ``delay``, and the state stays small;
+    for bookings without a valid time that may be no longer than their micro-batch.
     A query must be restarted with the ``copy_salts`` and ``event_time`` it began with.
     """
     if not bookings.isStreaming:

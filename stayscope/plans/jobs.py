@@ -45,8 +45,8 @@ class JobConfig:
 
     The stream writes a change table at ``stream_output``, or, if ``index_format`` names
     a deployed connector, documents to that index. With ``stage``, a folder, it runs as
-    two queries, the first of which collapses copies into that folder. Passwords and the like belong into
-    ``index_options`` and ``weather.options`` of the caller, not into code.
+    two queries, the first of which collapses copies into that folder. Passwords and the
+    like belong into ``index_options`` and ``weather.options`` of the caller, not into code.
     """
 
     weather: TopicConfig

@@ -27,5 +27,5 @@ def folders(spark, sf_dir, tmp_path_factory):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_same_result_from_folders(spark, sf_dir, folders, name):
-    query, _ = QUERIES[name]
+    query = QUERIES[name]
     assert rows_of(query(spark, folders)) == rows_of(query(spark, sf_dir))

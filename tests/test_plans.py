@@ -63,7 +63,7 @@ def wide(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_in_the_plan(spark, sf_dir, name):
-    plan = plan_of(QUERIES[name][0](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     assert not re.search(r"Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
 
 
@@ -165,7 +165,7 @@ def test_a_hotel_day_with_a_third_of_the_bookings_is_split(spark):
 
 
 def test_partition_filter_reaches_the_scan(spark, sf_dir):
-    plan = plan_of(QUERIES["partition_scan"][0](spark, sf_dir))
+    plan = plan_of(QUERIES["partition_scan"](spark, sf_dir))
     assert re.search(r"PartitionFilters: \[isnotnull\(year#\w+\), \(year#\w+ = 1996\)\]", plan)
 
 
