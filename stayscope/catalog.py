@@ -24,8 +24,8 @@ from stayscope.plans.stream import (
     static_days,
 )
 from stayscope.schemas import ENRICHED, PREFERENCES
-from stayscope.session import materialize, work_dir
-from stayscope.sources.files import read_table, read_table_stream
+from stayscope.session import work_dir
+from stayscope.sources.files import read_table, read_table_stream, write_table
 from stayscope.sources.topics import (
     decode_json,
     encode_json,
@@ -185,14 +185,15 @@ def partition_scan(spark, sf_dir):
     root = work_dir(spark, "partition-scan")
     year = F.substring("srch_ci", 1, 4).cast("int")
     bookings = fixtures.bookings(spark, sf_dir).withColumn("year", year)
-    bookings.write.partitionBy("year").parquet(root)
+    write_table(bookings, root, partition_by=["year"])
     return read_table(spark, root).where(F.col("year") == PARTITION_YEAR).drop("year")
 
 
 def parquet_roundtrip(spark, sf_dir):
     path = work_dir(spark, "parquet-roundtrip")
-    materialize(fixtures.table(spark, sf_dir, "nation"), path)
-    return materialize(batch_popular_by_hotel(spark, sf_dir), path)
+    write_table(fixtures.table(spark, sf_dir, "nation"), path)
+    write_table(batch_popular_by_hotel(spark, sf_dir), path)
+    return read_table(spark, path)
 
 
 # --- streams --------------------------------------------------------------------------

@@ -23,12 +23,15 @@ from stayscope.plans.stream import (
 )
 from stayscope.schemas import BOOKINGS, ENRICHED
 from stayscope.session import work_dir
-from stayscope.sources.files import read_table, read_table_stream
+from stayscope.sources.files import read_table, read_table_stream, write_table
 from stayscope.sources.topics import read_json_topic, read_topic
 from stayscope.streaming.runner import BatchWriter, run_stream
 from stayscope.streaming.sinks import ChangeTable, DocumentIndex
 
 
+ORDERS = {"join_first": join_first, "count_first": count_first}
+
+
 @dataclass(frozen=True)
 class TopicConfig:
     """A topic of JSON messages; without ``schema`` it is inferred from all of them."""
@@ -43,6 +46,8 @@ class TopicConfig:
 class JobConfig:
     """Where the jobs read and write.
 
+    ``order`` is that of the batch, "join_first" or "count_first".
+
     The stream writes a change table at ``stream_output``, or, if ``index_format`` names
     a deployed connector, documents to that index. With ``stage``, a folder, it runs as
     two queries, the first of which collapses copies into that folder. Passwords and the
@@ -59,6 +64,7 @@ class JobConfig:
     grain: str = "hotel_children"
     min_tmpr: float = MIN_TMPR
     files_per_trigger: int | None = None
+    order: str | None = None
     copy_salts: int = COPY_SALTS
     stage: str | None = None
     stage_checkpoint: str | None = None
@@ -81,16 +87,19 @@ def hotel_days(spark: SparkSession, config: JobConfig) -> StaticDays:
 
 
 def batch_result(spark: SparkSession, config: JobConfig, days: StaticDays) -> DataFrame:
-    """Joins first if that costs no shuffle, else counts first: a weather feed is taken
-    to cover most of the days that have bookings."""
+    """The result per hotel, in the configured order of work.
+
+    Left to itself it joins first if that costs no shuffle, else counts first: a weather
+    feed is taken to cover most of the days that have bookings.
+    """
     bookings = read_table(spark, config.batch_bookings, config.bookings_format)
-    run = join_first if days.is_broadcast else count_first
-    return run(bookings, days.frame)
+    order = config.order or ("join_first" if days.is_broadcast else "count_first")
+    return ORDERS[order](bookings, days.frame)
 
 
 def run_batch(spark: SparkSession, config: JobConfig, days: StaticDays) -> None:
     """Replace the result per hotel at ``batch_output``."""
-    batch_result(spark, config, days).write.mode("overwrite").parquet(config.batch_output)
+    write_table(batch_result(spark, config, days), config.batch_output)
 
 
 def stream_sink(config: JobConfig) -> BatchWriter:

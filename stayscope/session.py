@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
+PARTITION = 64 * MIB
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
@@ -53,19 +54,22 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     """Builder settings for a run over ``input_bytes`` of booking files.
 
     About a quarter of a booking record (five of its twenty columns) is shuffled.
-    The shuffle starts with partitions of 128 MiB and AQE merges the small ones,
-    so the number may err on the high side; it never falls below the cores.
+    The shuffle starts with partitions of 64 MiB and AQE merges the small ones, so the
+    number may err on the high side; it never falls below the cores.
 
     Joins broadcast what a finished stage has measured, never what the planner guesses:
-    the guess for a decoded or aggregated table can be off by orders of magnitude.
+    the guess for a decoded or aggregated table can be off by orders of magnitude. Where
+    every measured partition of the smaller side fits a task, it is hashed there instead
+    of sorting both sides. A task needs about 300 MiB of memory for that.
     """
     shuffled = input_bytes // 4
-    partitions = max(cores, math.ceil(shuffled / (128 * MIB)))
+    partitions = max(cores, math.ceil(shuffled / PARTITION))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(PARTITION),
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * MIB),
         "spark.sql.files.maxPartitionBytes": str(256 * MIB),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -38,3 +38,22 @@ def read_table_stream(
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)
+
+
+def write_table(
+    frame: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """Replace the table at ``path``.
+
+    Rows of a partitioned table are brought together by partition first, or every task
+    would write a small file to every folder. AQE spreads a large partition over several
+    tasks, and small ones over fewer.
+    """
+    if partition_by:
+        frame = frame.hint("rebalance", *partition_by)
+    writer = frame.write.format(fmt).mode("overwrite").options(**(options or {}))
+    writer.partitionBy(*partition_by).save(path)

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from helpers import same
+from helpers import plan_of, same
 from pyspark.sql import functions as F
 
 from stayscope import fixtures, popular_stays, weather_means
@@ -89,12 +89,17 @@ def test_stream_in_two_queries(spark, sf_dir, world):
     same(shown, popular_stays(bookings, weather, "hotel_children"))
 
 
-def test_counting_first_where_the_days_are_large(spark, sf_dir, world):
-    config = world[1]
+@pytest.mark.parametrize("order", [None, "join_first", "count_first"])
+@pytest.mark.parametrize("salts", [1, 8])
+def test_order_of_work(spark, sf_dir, world, order, salts):
+    config = JobConfig(**{**world[1].__dict__, "order": order})
     weather = fixtures.weather(spark, sf_dir)
-    large = StaticDays(weather_means(weather), join_salts=8)
-    result = batch_result(spark, config, large)
+    result = batch_result(spark, config, StaticDays(weather_means(weather), salts))
     same(result, popular_stays(spark.read.parquet(config.batch_bookings), weather))
+    # only counting first groups by the day alone
+    counts_first = "keys=[hotel_id" in plan_of(result, "simple")
+    assert counts_first == ((order or ("join_first" if salts == 1 else "count_first"))
+                            == "count_first")
 
 
 def test_index_sink_is_chosen_by_format(world):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from stayscope import fixtures, project_weather
 from stayscope.schemas import BOOKINGS, PREFERENCES, WEATHER_MESSAGES
 from stayscope.session import materialize, settings, settings_for, work_dir
-from stayscope.sources.files import read_table, read_table_stream
+from stayscope.sources.files import read_table, read_table_stream, write_table
 from stayscope.sources.topics import (
     CORRUPT,
     decode_json,
@@ -165,6 +165,28 @@ def test_only_the_asked_for_partition_is_read(spark, sf_dir, tmp_path):
     assert {f.split("year=")[1][:4] for f in from_root.inputFiles()} >= {"1996"}
 
 
+def test_partitioned_tables_have_few_files(spark, sf_dir, tmp_path):
+    path = tmp_path / "by_year"
+    year = F.substring("srch_ci", 1, 4).cast("int")
+    bookings = fixtures.bookings(spark, sf_dir).withColumn("year", year).repartition(20)
+    write_table(spark.range(3).withColumn("year", F.lit(1)), str(path), partition_by=["year"])
+    write_table(bookings, str(path), partition_by=["year"])
+    years = sorted(p.name for p in path.glob("year=*"))
+    assert years[0] == "year=1995"
+    assert len(list(path.rglob("*.parquet"))) == len(years)
+    same(read_table(spark, str(path)), bookings)
+
+
+def test_a_large_partition_is_spread_over_files(spark, tmp_path):
+    path = tmp_path / "skewed"
+    rows = spark.range(200_000, numPartitions=8)
+    skewed = rows.select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5).alias("k"))
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}):
+        write_table(skewed, str(path), partition_by=["k"])
+    assert len(list((path / "k=1").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(path)).count() == 200_000
+
+
 def test_work_dir_lies_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
