@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.operators.bookings import BOOKING_KEYS, project_bookings, with_stay_days
+from stayscope.operators.grouping import group_by_whole_key
 from stayscope.operators.weather import MIN_TMPR, weather_means
 
 ENRICHED_KEYS = (*BOOKING_KEYS, "hotel_name")
@@ -80,16 +81,10 @@ def booking_salt(salts: int) -> Column:
 def _distinct(joined: DataFrame) -> DataFrame:
     """One row per enriched booking of a batch.
 
-    Hotel and day are grouped as one struct. Grouped on their own they would let Spark
-    reuse the partitioning of a sort-merge join by hotel and day; AQE could then not
-    split a hotel-day with too many bookings, and copies would not be collapsed before
-    they are shuffled. Copies share their mean; as its maximum, unlike as the first one
-    met, it does not keep filters on the result from reaching the scans.
+    Copies share their mean; as its maximum, unlike as the first one met, it does not
+    keep filters on the result from reaching the scans.
     """
-    hotel_day = F.struct("hotel_id", "srch_ci").alias("hotel_day")
-    rest = [key for key in ENRICHED_KEYS if key not in ("hotel_id", "srch_ci")]
-    distinct = joined.groupBy(hotel_day, *rest).agg(F.max("avg_tmpr").alias("avg_tmpr"))
-    return distinct.select("hotel_day.*", *rest, "avg_tmpr")
+    return group_by_whole_key(joined, ENRICHED_KEYS, F.max("avg_tmpr").alias("avg_tmpr"))
 
 
 def drop_copies(

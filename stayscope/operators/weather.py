@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayscope.operators.grouping import group_by_whole_key
+
 MIN_TMPR = 0
 
 DAY_KEYS = ("Id", "wthrDate", "hotel_name")
@@ -36,4 +38,4 @@ def weather_means(weather: DataFrame, min_tmpr: float = MIN_TMPR) -> DataFrame:
     nor changes the mean that averaging after the join would give.
     """
     readings = above_temperature(project_weather(weather), min_tmpr)
-    return readings.groupBy(*DAY_KEYS).agg(F.avg("avgTmprC").alias("avg_tmpr"))
+    return group_by_whole_key(readings, DAY_KEYS, F.avg("avgTmprC").alias("avg_tmpr"))

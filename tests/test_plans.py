@@ -122,8 +122,18 @@ def test_copies_are_removed_after_a_shuffle_of_the_whole_key(spark, wide):
     """Else AQE could not split a hotel-day that is too large for one task."""
     with settings(spark, MERGE_JOIN):
         plan = plan_of(enrich(*wide), "simple")
-    assert "SortMergeJoin" in plan
-    assert any("order_id" in e and "hotel_name" in e for e in exchanges(plan))
+    above_the_join = plan.split("SortMergeJoin")[0]
+    assert len(exchanges(above_the_join)) == 1
+    assert above_the_join.count("HashAggregate") == 2
+
+
+def test_weather_of_a_hotel_is_spread_by_day(spark, sf_dir):
+    """Also where a join by hotel comes before."""
+    with settings(spark, MERGE_JOIN):
+        plan = plan_of(weather_means(fixtures.weather(spark, sf_dir)), "simple")
+    above_the_join = plan.split("SortMergeJoin")[0]
+    assert len(exchanges(above_the_join)) == 1
+    assert above_the_join.count("HashAggregate") == 2
 
 
 def test_a_hotel_day_with_a_third_of_the_bookings_is_split(spark):
