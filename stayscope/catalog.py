@@ -24,7 +24,7 @@ from stayscope.plans.stream import (
     static_days,
 )
 from stayscope.schemas import ENRICHED, PREFERENCES
-from stayscope.session import work_dir
+from stayscope.session import settings, work_dir
 from stayscope.sources.files import read_table, read_table_stream, write_table
 from stayscope.sources.topics import (
     decode_json,
@@ -286,14 +286,16 @@ def stream_via_topic(spark, sf_dir):
 
 
 def query_windowed_count(spark, sf_dir):
+    """The events carry wall-clock times, which are read as UTC in any session."""
     root = work_dir(spark, "windowed-count")
-    events = fixtures.table_stream(spark, sf_dir, "events")
-    timed = events.select(F.col("ts").cast("timestamp").alias("ts"))
-    counted = windowed_count(timed, "ts", "1 hour", "5 seconds")
-    out = counted.select(F.col("window.start").alias("start"), F.col("count").alias("n"))
-    _run(out, Target("parquet", f"{root}/out"), root, "append")
-    written = read_table(spark, f"{root}/out")
-    return written.withColumn("start", F.col("start").cast("timestamp_ntz"))
+    with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+        events = fixtures.table_stream(spark, sf_dir, "events")
+        timed = events.select(F.col("ts").cast("timestamp").alias("ts"))
+        counted = windowed_count(timed, "ts", "1 hour", "5 seconds")
+        out = counted.select(F.col("window.start").alias("start"), F.col("count").alias("n"))
+        _run(out, Target("parquet", f"{root}/out"), root, "append")
+        written = read_table(spark, f"{root}/out")
+        return written.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 QUERIES: dict[str, Query] = {

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from stayscope.session import settings
 
 NAMES = list(contract.queries())
 
@@ -35,6 +36,20 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert found == wanted
 
 
+@pytest.mark.parametrize(
+    "session",
+    [
+        {"spark.sql.session.timeZone": "Asia/Kolkata"},
+        {"spark.sql.ansi.enabled": "false"},
+        {"spark.sql.adaptive.enabled": "false"},
+    ],
+)
+@pytest.mark.parametrize("name", ["enrich_bookings", "stream_enrich", "windowed_count"])
+def test_results_do_not_depend_on_the_session(spark, sf_dir, duck, name, session):
+    with settings(spark, session):
+        test_query_equals_sql(spark, sf_dir, duck, name)
+
+
 def test_flagship(spark):
     result = contract.entry(spark)
     assert len(result.columns) == 8
