@@ -75,10 +75,13 @@ def infer_json_schema(messages: DataFrame, column: str = "value") -> str:
     doubles, fields that are always null or differ in type become strings, and
     ``_corrupt_record`` is added if a message is malformed.
     """
-    parsed = F.try_parse_json(F.col(column))
-    found = messages.agg(
-        F.schema_of_variant_agg(parsed).alias("shape"),
-        F.count_if(F.col(column).isNotNull() & parsed.isNull()).alias("malformed"),
+    # parsed in a step of its own, as both aggregates use it
+    parsed = messages.select(
+        F.col(column).isNotNull().alias("sent"), F.try_parse_json(column).alias("json")
+    )
+    found = parsed.agg(
+        F.schema_of_variant_agg("json").alias("shape"),
+        F.count_if(F.col("sent") & F.col("json").isNull()).alias("malformed"),
     ).first()
     if not found["shape"].startswith("OBJECT<"):
         raise ValueError(f"no JSON objects to infer a schema from, only {found['shape']}")
