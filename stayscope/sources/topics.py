@@ -92,16 +92,14 @@ def infer_json_schema(messages: DataFrame, column: str = "value") -> str:
 
 
 def _as_ddl(shape: str) -> str:
-    """A variant shape as a Spark type; quoted field names are left as they are."""
-    replacements = {"OBJECT<": "STRUCT<", "VOID": "STRING", "VARIANT": "STRING"}
-
-    parts = re.split(r"(`(?:[^`]|``)*`)", shape)
-    for i in range(0, len(parts), 2):
-        part = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", parts[i])
-        for old, new in replacements.items():
-            part = part.replace(old, new)
-        parts[i] = part
-    return "".join(parts)
+    """A variant shape as a Spark type; field names are left as they are."""
+    types = {"OBJECT": "STRUCT", "VOID": "STRING", "VARIANT": "STRING", "DECIMAL": "DOUBLE"}
+    # a type stands at the start, after the colon of a field, or inside of ARRAY<>
+    found = r"(?:(?<=: )|(?<=ARRAY<)|^)(OBJECT|VOID|VARIANT|DECIMAL)(?:\(\d+,\s*\d+\))?"
+    quoted_or_not = re.split(r"(`(?:[^`]|``)*`)", shape)
+    for i in range(0, len(quoted_or_not), 2):
+        quoted_or_not[i] = re.sub(found, lambda type_: types[type_[1]], quoted_or_not[i])
+    return "".join(quoted_or_not)
 
 
 def read_json_topic(messages: DataFrame, schema: StructType | str | None = None) -> DataFrame:

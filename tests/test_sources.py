@@ -56,7 +56,8 @@ def test_inference_sees_every_message(spark):
 
 def test_inference_of_nulls_conflicts_nesting_and_odd_names(spark):
     texts = [
-        '{"n":null,"mixed":1,"deep":{"list":[1,2.5]},"OBJECT< VOID":1,"DECIMAL(1,1)":"x"}',
+        '{"n":null,"mixed":1,"deep":{"list":[1,2.5]},"OBJECT< VOID":1,"DECIMAL(1,1)":"x",'
+        '"AVOID":1.5,"VOID":[null],"OBJECT":[[{"VARIANT":{}}]]}',
         '{"n":null,"mixed":"s","deep":{"list":[]}}',
     ]
     messages = messages_of(spark, texts)
@@ -67,6 +68,9 @@ def test_inference_of_nulls_conflicts_nesting_and_odd_names(spark):
         "deep": "struct<list:array<double>>",
         "OBJECT< VOID": "bigint",
         "DECIMAL(1,1)": "string",
+        "AVOID": "double",
+        "VOID": "array<string>",
+        "OBJECT": "array<array<struct<VARIANT:struct<>>>>",
     }
     assert sorted(r["mixed"] for r in decoded.collect()) == ["1", "s"]
 
