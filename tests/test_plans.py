@@ -136,7 +136,10 @@ def test_weather_of_a_hotel_is_spread_by_day(spark, sf_dir):
     assert above_the_join.count("HashAggregate") == 2
 
 
-def test_a_hotel_day_with_a_third_of_the_bookings_is_split(spark):
+@pytest.mark.parametrize(
+    ("join", "hash_limit"), [("SortMergeJoin", "0"), ("ShuffledHashJoin", "20m")]
+)
+def test_a_hotel_day_with_a_third_of_the_bookings_is_split(spark, join, hash_limit):
     """One hot day, and a booking whose copies are another third."""
     day = "2016-05-01"
     spread = F.concat(F.lit("2016-06-"), F.lpad(F.col("id") % 28 + 1, 2, "0"))
@@ -163,11 +166,12 @@ def test_a_hotel_day_with_a_third_of_the_bookings_is_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": hash_limit,
     }
     with settings(spark, low):
         result = popular_stays(bookings, weather)
         plan = final_plan(result)
-        assert "SortMergeJoin(skew=true)" in plan
+        assert f"{join}(skew=true)" in plan
         counted = {r["hotel_name"]: r for r in result.collect() if r["hotel_name"] == "Hot"}
         assert counted["Hot"]["standart_stay_cnt"] == 20_000 + 1
         again = popular_stays_counting_first(bookings, weather)
