@@ -8,12 +8,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayscope.session import settings
+
 
 def stamped(frame: DataFrame) -> DataFrame:
     """Add the time of the batch as ``timestamp``."""
     return frame.withColumn("timestamp", F.current_timestamp())
 
 
+def _replace(batch: DataFrame, path: str) -> None:
+    """Write a batch in files of a fair size.
+
+    It comes in as many parts as there are state partitions, most of them tiny. Stateful
+    queries turn AQE off; writing their result may use it.
+    """
+    with settings(batch.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+        batch.hint("rebalance").write.mode("overwrite").parquet(path)
+
+
 @dataclass(frozen=True)
 class ChangeTable:
     """A Parquet table of the rows that changed, for queries in update mode.
@@ -34,7 +46,7 @@ class ChangeTable:
             stored = self._since_merge(batch.sparkSession, batch_id - 1)
             numbered = batch.withColumn("batch_id", F.lit(batch_id))
             batch = self._latest(stored.unionByName(numbered))
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        _replace(batch, f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         newest = spark.read.parquet(self.path).agg(F.max("batch_id")).first()[0]
@@ -64,7 +76,7 @@ class SnapshotTable:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        numbered.write.mode("overwrite").parquet(f"{self.path}/slot={batch_id % 2}")
+        _replace(numbered, f"{self.path}/slot={batch_id % 2}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         slots = spark.read.parquet(self.path)
