@@ -33,7 +33,11 @@ def popular_stays(
     min_tmpr: float = MIN_TMPR,
     categories: Sequence[StayCategory] = STAY_CATEGORIES,
 ) -> DataFrame:
-    """Counts per category and the most popular one."""
+    """Counts per category and the most popular one.
+
+    A stream of bookings gives a stream of results, for update or complete mode;
+    ``plans.stream`` has what a long-running one needs besides.
+    """
     return join_first(bookings, weather_means(weather, min_tmpr), grain, categories)
 
 
@@ -70,6 +74,8 @@ def count_first(
     row per name, so the counts add up to what counting joined bookings would give. They
     leave every task pre-aggregated and lie where the join needs them.
     """
+    if bookings.isStreaming:
+        raise ValueError("a stream of bookings can only be joined first")
     level = GRAINS[grain]
     counters = level.counters(categories)
     label = category_label(F.col("duration_stay"), categories)

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from helpers import plan_of, same
@@ -9,6 +10,7 @@ from stayscope.plans.jobs import (
     JobConfig,
     batch_result,
     hotel_days,
+    main,
     run_batch,
     start_stage,
     start_stream,
@@ -16,7 +18,7 @@ from stayscope.plans.jobs import (
 )
 from stayscope.plans.stream import StaticDays
 from stayscope.schemas import BOOKINGS
-from stayscope.sources.topics import encode_json
+from stayscope.sources.topics import encode_json, kafka_options
 from stayscope.streaming.runner import AVAILABLE_NOW, run_out
 from stayscope.streaming.sinks import ChangeTable, DocumentIndex
 
@@ -102,6 +104,24 @@ def test_order_of_work(spark, sf_dir, world, order, salts):
                             == "count_first")
 
 
+def test_command_line(spark, sf_dir, world, tmp_path):
+    values = json.loads((world[0] / "job.json").read_text())
+    values["batch_output"] = str(tmp_path / "from-command-line")
+    (tmp_path / "job.json").write_text(json.dumps(values))
+    main([str(tmp_path / "job.json"), "--mode", "batch"])
+    expected = popular_stays(
+        spark.read.parquet(values["batch_bookings"]), fixtures.weather(spark, sf_dir)
+    )
+    same(spark.read.parquet(values["batch_output"]), expected)
+
+
+def test_example_configuration():
+    config = JobConfig.load(str(Path(__file__).parent.parent / "examples" / "job.json"))
+    assert config.weather.fmt == "kafka"
+    assert config.weather.options == kafka_options("broker:9092", "hotel-weather")
+    assert config.stage and config.stage_checkpoint
+
+
 def test_index_sink_is_chosen_by_format(world):
     values = {**world[1].__dict__, "index_format": "es", "index_options": {"es.nodes": "x"}}
     sink = stream_sink(JobConfig(**values))

@@ -14,6 +14,7 @@ from stayscope.streaming.sinks import (
     with_doc_id,
 )
 
+# Two rows of a result.
 RESULT_ROWS = [
     ("Southside Motel", 68719476738, 0, 2, 0, 0, 0, "short_stay_cnt"),
     ("Royal Inn Motel", 42949672966, 0, 0, 3, 0, 0, "standart_stay_cnt"),

@@ -19,6 +19,7 @@ from stayscope.sources.topics import (
 )
 from stayscope.streaming.runner import Target
 
+# Two weather messages as they are sent.
 WEATHER_TEXTS = [
     '{"wthrDate":"2017-08-24","avgTmprF":null,"avgTmprC":null,"Id":9.70663E11,'
     '"Name":"Villa Carlotta","Country":"US","City":"Medina","Address":"Via Pirandello 81",'

@@ -6,7 +6,7 @@ import pytest
 from helpers import bookings_of, finish, plan_of, rows_of, same, weather_of
 from pyspark.sql import functions as F
 
-from stayscope import fixtures, popular_stays, weather_means
+from stayscope import fixtures, popular_stays, popular_stays_counting_first, weather_means
 from stayscope.operators.enrich import enrich, enrich_with_days
 from stayscope.operators.popular import GRAINS, popular
 from stayscope.plans.stream import (
@@ -101,6 +101,18 @@ def test_enrich_of_a_stream_and_raw_weather(spark, inputs, tmp_path):
     same(spark.read.parquet(str(tmp_path / "out")), enrich(inputs[1], inputs[2]))
 
 
+def test_one_function_for_both_kinds_of_bookings(spark, inputs, tmp_path):
+    stream = stream_of(spark, inputs)
+    result = popular_stays(stream, inputs[2], "hotel_children")
+    assert result.isStreaming
+    assert len(result.columns) == 9
+    target = Target("memory", name="popular_in_memory")
+    finish(result, target, str(tmp_path / "cp"), "complete")
+    same(spark.table("popular_in_memory"), popular_stays(inputs[1], inputs[2], "hotel_children"))
+    with pytest.raises(ValueError, match="joined first"):
+        popular_stays_counting_first(stream, inputs[2])
+
+
 def test_restart_and_resent_files_change_nothing(spark, inputs, days, tmp_path):
     files = sorted(Path(inputs[0]).glob("*.parquet"))
     arriving = tmp_path / "arriving"
