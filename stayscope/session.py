@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 PARTITION = 64 * MIB
+MAX_SCAN_TASKS = 100_000
+MAX_SHUFFLE_TASKS = 40_000
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
@@ -53,9 +55,11 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
 def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     """Builder settings for a run over ``input_bytes`` of booking files.
 
-    About a quarter of a booking record (five of its twenty columns) is shuffled.
-    The shuffle starts with partitions of 64 MiB and AQE merges the small ones, so the
-    number may err on the high side; it never falls below the cores.
+    About a quarter of a booking record (five of its twenty columns) is shuffled, in
+    partitions that start at 64 MiB; AQE merges the small ones. The driver keeps a bit
+    per pair of scan and shuffle task, so both numbers are bounded: beyond some terabytes
+    the tasks grow instead, to 1 GiB scanned and 600 MiB shuffled at 100 TB, which Spark
+    sorts and spills within a task.
 
     Joins broadcast what a finished stage has measured, never what the planner guesses:
     the guess for a decoded or aggregated table can be off by orders of magnitude. Where
@@ -63,7 +67,8 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     of sorting both sides. A task needs about 300 MiB of memory for that.
     """
     shuffled = input_bytes // 4
-    partitions = max(cores, math.ceil(shuffled / PARTITION))
+    partitions = min(math.ceil(shuffled / PARTITION), MAX_SHUFFLE_TASKS)
+    scanned = max(128 * MIB, input_bytes // MAX_SCAN_TASKS)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -72,7 +77,7 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(PARTITION),
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * MIB),
-        "spark.sql.files.maxPartitionBytes": str(256 * MIB),
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scanned),
+        "spark.sql.shuffle.partitions": str(max(cores, partitions)),
         "spark.sql.session.timeZone": "UTC",
     }

@@ -215,7 +215,11 @@ def test_settings_are_put_back(spark):
 
 
 def test_settings_grow_with_the_input():
-    small = settings_for(10**6, cores=8)["spark.sql.shuffle.partitions"]
-    large = settings_for(100 * 10**12, cores=4000)["spark.sql.shuffle.partitions"]
-    assert int(small) == 8
-    assert int(large) > 100_000
+    def tasks(input_bytes):
+        values = settings_for(input_bytes, cores=8)
+        scanned = int(values["spark.sql.files.maxPartitionBytes"])
+        return input_bytes / scanned, int(values["spark.sql.shuffle.partitions"])
+
+    assert tasks(10**6) == (pytest.approx(0, abs=0.01), 8)
+    assert tasks(10**12) == (pytest.approx(7450, abs=5), 3726)
+    assert tasks(100 * 10**12) == (pytest.approx(100_000), 40_000)
