@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 
 from stayscope.operators.grouping import group_by_whole_key
 
@@ -16,12 +17,15 @@ def project_weather(weather: DataFrame) -> DataFrame:
     """Hotel id, day, temperature and hotel name of each reading.
 
     The id is a double where a JSON reader inferred it; as a long it can be compared
-    with booking ids, exactly so below 2**53.
+    with booking ids, exactly so below 2**53. An id with a fraction is no id.
     """
+    hotel = F.col("Id")
+    if isinstance(weather.select(hotel).schema[0].dataType, FractionalType):
+        hotel = F.when(hotel == F.floor(hotel), hotel)
     return weather.select(
-        F.col("Id").try_cast("bigint").alias("Id"),
+        hotel.try_cast("bigint").alias("Id"),
         F.col("wthrDate").alias("wthrDate"),
-        F.col("avgTmprC").alias("avgTmprC"),
+        F.col("avgTmprC").try_cast("double").alias("avgTmprC"),
         F.col("Name").alias("hotel_name"),
     )
 

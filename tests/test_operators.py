@@ -141,14 +141,31 @@ def test_distinct_bookings_uses_the_whole_key(spark):
 
 def test_weather_ids_from_json_become_longs(spark):
     frame = spark.createDataFrame(
-        [(9.70663e11, DAY, 5.0, "A"), (float("nan"), DAY, 5.0, "B")],
+        [
+            (9.70663e11, DAY, 5.0, "A"),
+            (float("nan"), DAY, 5.0, "B"),
+            (1.5, DAY, 5.0, "C"),
+            (1e300, DAY, 5.0, "D"),
+            (-2.0, DAY, 5.0, "E"),
+        ],
         "id double, wthrDate string, avgTmprC double, name string",
     )
     projected = project_weather(frame)
     assert projected.columns == ["Id", "wthrDate", "avgTmprC", "hotel_name"]
     ids = {r["hotel_name"]: r["Id"] for r in projected.collect()}
-    assert ids["A"] == 970663000000
-    assert weather_means(frame).count() == 2
+    assert ids == {"A": 970663000000, "B": None, "C": None, "D": None, "E": -2}
+
+
+def test_temperatures_that_a_reader_took_for_text_or_decimals(spark):
+    texts = spark.createDataFrame(
+        [(1, DAY, "12.5", "A"), (1, DAY, "cold", "A"), (1, DAY, None, "A")],
+        "Id int, wthrDate string, avgTmprC string, Name string",
+    )
+    decimals = texts.withColumn("avgTmprC", F.lit(12.5).cast("decimal(4,2)")).limit(1)
+    for weather in (texts, decimals):
+        means = weather_means(weather)
+        assert dict(means.dtypes) | {"avg_tmpr": "double", "Id": "bigint"} == dict(means.dtypes)
+        assert [r["avg_tmpr"] for r in means.collect()] == [12.5]
 
 
 def test_classify_columns(spark):
