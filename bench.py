@@ -14,10 +14,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayscope import classify, popular, stay_days
-from stayscope import fixtures
+from stayscope import GRAINS, classify, fixtures, popular, stay_days
 from stayscope.catalog import QUERIES
-from stayscope.session import settings_for
+from stayscope.plans.stream import popular_stays_stream, static_days
+from stayscope.session import settings_for, work_dir
+from stayscope.sources.files import read_table_stream
+from stayscope.streaming.runner import AVAILABLE_NOW, run_out, run_stream
+from stayscope.streaming.sinks import ChangeTable
 
 HEADLINE = [
     "batch_popular_by_hotel",
@@ -49,6 +52,26 @@ def averaging_after_the_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return popular(classify(means.withColumn("duration_stay", days)))
 
 
+def stream_over_six_files(files_per_trigger: int | None):
+    """The stream by hotel and children, over bookings in six files."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_dir(spark, "bench-stream")
+        bookings = fixtures.bookings(spark, sf_dir)
+        bookings.repartition(6).write.parquet(f"{root}/bookings")
+        stream = read_table_stream(
+            spark, f"{root}/bookings", bookings.schema, files_per_trigger=files_per_trigger
+        )
+        days = static_days(fixtures.weather(spark, sf_dir), f"{root}/days")
+        grain = "hotel_children"
+        table = ChangeTable(f"{root}/out", GRAINS[grain].keys)
+        result = popular_stays_stream(stream, days, grain)
+        run_out(run_stream(result, table, f"{root}/checkpoint", "update", AVAILABLE_NOW))
+        return table.read(spark)
+
+    return query
+
+
 def input_bytes(sf_dir: str) -> int:
     return sum(file.stat().st_size for file in Path(sf_dir).rglob("*.parquet"))
 
@@ -78,6 +101,8 @@ def main() -> None:
 
     queries = {name: QUERIES[name] for name in HEADLINE}
     queries["comparison_averaging_after_the_join"] = averaging_after_the_join
+    queries["comparison_stream_in_one_trigger"] = stream_over_six_files(None)
+    queries["comparison_stream_in_six_triggers"] = stream_over_six_files(1)
     seconds(queries["batch_popular_by_hotel"], spark, sf_dir)  # start the JVM's compilers
     times = {
         name: round(min(seconds(query, spark, sf_dir) for _ in range(runs)), 3)
