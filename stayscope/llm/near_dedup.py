@@ -13,9 +13,9 @@ proportion to the set rather than to set times coordinates.
 
 Four coordinates make a band, forty bands a sketch: two sets at the threshold share no
 band once in four million cases. Classes that share a band are compared on their full sets. A
-bucket's members are not compared all with all: each is compared with the bucket's least
-member of another component, round after round, until no round links any more; only what
-then still shares a bucket across components is compared pair by pair.
+bucket's members are not paired all with all: in two rounds each is compared with the
+bucket's least member of another component. What then still shares a bucket across components
+is compared in blocks of bounded size, inside tasks that return links only.
 
 Definitions. Null and blank texts have an empty set and are linked with nothing. A null
 doc_id is a document like any other, but is never the least of its component unless
@@ -41,6 +41,10 @@ SHINGLE = 5
 COORDINATES = 160
 ROWS_PER_BAND = 4
 BANDS = COORDINATES // ROWS_PER_BAND
+#: Rounds that compare each member of a bucket with one other, before the rest is compared in blocks.
+STAR_ROUNDS = 2
+#: Nodes of a block of the rest.
+BLOCK = 2048
 
 
 def shingle_set(value: np.ndarray) -> np.ndarray:
@@ -131,6 +135,50 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch["a"], batch["b"], pa.array(ok, pa.bool_())], ["a", "b", "linked"])
 
 
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by (group, x, y); the links within each of these, but between different labels only."""
+    key, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            own = (row["group"], row["x"], row["y"])
+            if own != key:
+                yield from _links_within(key, rows)
+                key, rows = own, []
+            rows.append(row)
+    yield from _links_within(key, rows)
+
+
+def _links_within(key: tuple | None, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    if len(rows) < 2:
+        return
+    nodes = [r["node"] for r in rows]
+    names: dict[bytes, int] = {}
+    label = np.array([names.setdefault(r["label"], len(names)) for r in rows])
+    own = np.array([r["own"] for r in rows])
+    keys = np.array([r["bands"] for r in rows], np.int64)
+    sets = [np.frombuffer(r["elements"], U) for r in rows]
+    size = np.array([len(x) for x in sets])
+    found = []
+    for i in range(len(rows) - 1):
+        rest = slice(i + 1, None)
+        ok = (label[rest] != label[i]) & (4 * np.minimum(size[rest], size[i]) >= 3 * np.maximum(size[rest], size[i]))
+        if key[1] != key[2]:
+            ok &= own[rest] != own[i]
+        near = i + 1 + np.flatnonzero(ok)
+        near = near[(keys[near] == keys[i]).any(1)]
+        if not len(near):
+            continue
+        flat = np.concatenate([sets[j] for j in near])
+        at = np.minimum(np.searchsorted(sets[i], flat), size[i] - 1)
+        both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.cumsum(size[near]) - size[near])
+        for j in near[100 * both >= 75 * (size[near] + size[i] - both)]:
+            if label[j] != label[i]:
+                found.append((nodes[i], nodes[j]))
+                label[label == label[j]] = label[i]
+    if found:
+        yield pa.record_batch([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and k: rows that agree in doc_id and k are repeated rows."""
     text = F.col("text").cast("string")
@@ -147,7 +195,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = named.groupBy("node").agg(F.min("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
     members = fresh(rows.join(shared.select("band"), "band").select("band", "node"))
-    first = named.groupBy("node").agg(F.min(F.struct("doc_id", "k")).alias("first"), F.max("n").alias("n"))
+    first = named.groupBy("node").agg(F.min(F.struct("doc_id", "k")).alias("first"), F.max("n").alias("n"), F.min("bands").alias("bands"))
     classes = fresh(first.join(members.select("node").distinct(), "node"))
     members = fresh(members.join(classes.select("node", "n"), "node"))
     links = _linked_nodes(keyed, classes, members, fresh)
@@ -165,37 +213,45 @@ def _linked_nodes(keyed: DataFrame, classes: DataFrame, members: DataFrame, fres
     def judged(pairs: DataFrame) -> DataFrame:
         return fresh(pairs.join(one, "a").join(two, "b").mapInArrow(_confirmed, "a binary, b binary, linked boolean"))
 
-    labels, tested, least_only = None, None, True
-    while True:
+    def mixed(labels: DataFrame | None) -> DataFrame:
+        """The members of the buckets that hold several components, with their bucket's ends."""
         now = members.withColumn("label", F.col("node"))
         if labels is not None:
             now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        ends = now.groupBy("band").agg(
-            F.min(F.struct("label", "node", "n")).alias("lo"), F.max(F.struct("label", "node", "n")).alias("hi")
-        )
-        mixed = now.join(ends.filter("lo.label <> hi.label"), "band")
-        if least_only:
-            other = F.when(F.col("label") != F.col("lo.label"), F.col("lo")).otherwise(F.col("hi"))
-            pairs = mixed.select("node", "n", other.alias("o")).select("node", "n", F.col("o.node").alias("other"), F.col("o.n").alias("m"))
-        else:
-            x, y = mixed.alias("x"), mixed.alias("y")
-            across = (F.col("x.band") == F.col("y.band")) & (F.col("x.label") < F.col("y.label"))
-            pairs = x.join(y, across).select("x.node", "x.n", F.col("y.node").alias("other"), F.col("y.n").alias("m"))
-        pairs = pairs.filter("4 * least(n, m) >= 3 * greatest(n, m)")
-        pairs = pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
+        own = F.struct("label", "node", "n")
+        ends = now.groupBy("band").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
+        return now.join(ends.filter("lo.label <> hi.label"), "band")
+
+    labels = tested = None
+    for _ in range(STAR_ROUNDS):
+        other = F.when(F.col("label") != F.col("lo.label"), F.col("lo")).otherwise(F.col("hi"))
+        pairs = mixed(labels).select("node", "n", other.alias("o")).filter("4 * least(n, o.n) >= 3 * greatest(n, o.n)")
+        pairs = pairs.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = judged(pairs)
         tested = found if tested is None else tested.union(found)
-        if found.filter("linked").isEmpty():
-            if not least_only:
-                break
-            least_only = False
-            continue
         labels = components(tested.filter("linked").select("a", "b"))
-        if not least_only:
-            break
-    return labels if labels is not None else components(tested.filter("linked").select("a", "b"))
+    left = fresh(mixed(labels).select("node", "label", F.col("lo.node").alias("least")))
+    more = fresh(_residual(left, classes, sets))
+    return components(tested.filter("linked").select("a", "b").union(more))
+
+
+def _residual(left: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different components of ``left`` (node, label, least of its bucket).
+
+    Nodes that buckets connect, directly or not, make a group. A group's nodes are dealt to
+    blocks, and every two blocks meet in one task, which returns links only.
+    """
+    groups = components(left.select(F.col("node").alias("a"), F.col("least").alias("b"))).withColumnRenamed("label", "group")
+    nodes = left.groupBy("node").agg(F.first("label").alias("label")).join(groups, "node")
+    blocks = groups.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = nodes.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key = ["group", "x", "y"]
+    dealt = dealt.select("group", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "label")
+    whole = dealt.join(classes.select("node", "bands"), "node").join(sets, "node").repartition(*key).sortWithinPartitions(*key, "node")
+    return whole.select(*key, "own", "node", "label", "bands", "elements").mapInArrow(_block_links, "a binary, b binary")
 
 
 def _result(about: DataFrame, links: DataFrame) -> DataFrame:
