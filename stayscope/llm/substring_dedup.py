@@ -10,9 +10,9 @@ context inside it; the least of those of the highest round is the window's ancho
 equal windows have equal anchors at equal places.
 
 Spark then counts the anchors. Windows whose anchor occurs once are unique. The others are
-compared exactly, by a second value of all their words, among the windows of their anchor:
-one shuffle by anchor where it is rare, and counts that are combined before they are
-shuffled and joined back where it is frequent. Documents with the same words throughout
+compared exactly, by a second value of all their words, among the windows of their anchor,
+in one shuffle by anchor. A frequent anchor's windows are dealt to shares of bounded size;
+those that are alone in their share are looked up among the counts of all shares. Documents with the same words throughout
 are all repeated, and only one of them takes part in the comparison.
 
 Definitions. A window is ``WINDOW`` consecutive words of one document; it is repeated if
@@ -41,7 +41,7 @@ WINDOW = 35
 ROUNDS = 7
 #: Rounds that name runs, before they name pairs.
 RUN_ROUNDS = (0, 3)
-#: Anchors with more occurrences are counted with a combine before the shuffle.
+#: Occurrences of an anchor in one share, about.
 FREQUENT = 2000
 
 
@@ -194,37 +194,40 @@ def _found_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows whose anchor is in the row's ``rare`` or ``often``, a row for each anchor occurrence."""
+    """The windows whose anchor is in the row's ``anchors``, a row for each anchor occurrence."""
     for batch in batches:
         ids, ks = column(batch, "doc_id"), column(batch, "k")
-        listed = [(1, column(batch, "rare").to_pylist()), (2, column(batch, "often").to_pylist())]
+        listed, shares = column(batch, "anchors"), column(batch, "shares")
+        ends = np.append(0, np.cumsum(listed.value_lengths().to_numpy()))
+        listed, shares = listed.flatten().to_numpy(), shares.flatten().to_numpy()
         for begin, texts in grouped(_unpacked(batch)):
             words, value, text, first, count, name = _served(texts)
-            kind = np.zeros(len(name), np.int8)
+            share = np.zeros(len(name), np.int32)
             bounds = np.searchsorted(text, np.arange(len(texts) + 1))
             for i in range(len(texts)):
-                own = slice(bounds[i], bounds[i + 1])
-                for code, lists in listed:
-                    if lists[begin + i]:
-                        kind[own][np.isin(name[own].view(np.int64), np.array(lists[begin + i], np.int64))] = code
-            take = np.flatnonzero(kind)
+                own, asked = slice(bounds[i], bounds[i + 1]), slice(ends[begin + i], ends[begin + i + 1])
+                order = np.argsort(listed[asked])
+                known = listed[asked][order]
+                at = np.minimum(np.searchsorted(known, name[own].view(np.int64)), len(known) - 1)
+                share[own] = np.where(known[at] == name[own].view(np.int64), shares[asked][order][at], 0)
+            take = np.flatnonzero(share)
             if not len(take):
                 continue
             h = _window_values(value).view(np.int64)
             text, first, size = text[take], first[take], count[take]
-            ends = np.cumsum(size)
-            flat = h[np.repeat(first - (ends - size), size) + np.arange(ends[-1])]
+            stops = np.cumsum(size)
+            flat = h[np.repeat(first - (stops - size), size) + np.arange(stops[-1])]
             at = pa.array(begin + text)
             yield pa.record_batch(
                 [
                     ids.take(at),
                     ks.take(at),
                     pa.array(name[take].view(np.int64)),
-                    pa.array(kind[take] == 2),
+                    pa.array(share[take]),
                     pa.array((first - words.bounds[text] - text - 1).astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, stops).astype(np.int32)), pa.array(flat)),
                 ],
-                ["doc_id", "k", "anchor", "often", "first", "windows"],
+                ["doc_id", "k", "anchor", "shares", "first", "windows"],
             )
 
 
@@ -276,6 +279,19 @@ def _same(a: str, b: str) -> list:
     return [F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")), F.col(f"{a}.k") == F.col(f"{b}.k")]
 
 
+def _local(windows: DataFrame) -> DataFrame:
+    """A row for each window, with the number of equal ones in its anchor's share."""
+    share = F.pmod(F.xxhash64("doc_id", "k", "first"), F.col("shares")).cast("int").alias("share")
+    dealt = windows.select("doc_id", "k", "anchor", share, "first", "windows").repartition("anchor", "share")
+    each = dealt.select("doc_id", "k", "anchor", "share", "first", F.posexplode("windows").alias("i", "h"))
+    return each.withColumn("n", F.count("*").over(Window.partitionBy("anchor", "share", "h")))
+
+
+def _masks(repeated: DataFrame) -> DataFrame:
+    mask = F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")
+    return repeated.groupBy("anchor", "share", "doc_id", "k", "first").agg(mask).select("doc_id", "k", "first", "mask")
+
+
 def _repeats(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     """(doc_id, k, found): the repeated windows of the documents that have any."""
     spark = keyed.sparkSession
@@ -287,26 +303,24 @@ def _repeats(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     copies = fresh(
         wholes.join(equal.filter("n > 1"), ["anchor", "whole"]).select("doc_id", "k", (F.struct("doc_id", "k") != F.col("first")).alias("later"))
     )
-    counted = own.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor", (F.col("n") > FREQUENT).alias("often"))
+    shares = F.ceil(F.col("n") / FREQUENT).cast("int").alias("shares")
+    counted = own.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor", shares)
     listed = own.join(counted, "anchor").groupBy("doc_id", "k").agg(
-        F.collect_list(F.when(~F.col("often"), F.col("anchor"))).alias("rare"), F.collect_list(F.when(F.col("often"), F.col("anchor"))).alias("often")
+        F.collect_list("anchor").alias("anchors"), F.collect_list("shares").alias("shares")
     )
     listed = listed.alias("l").join(copies.filter("later").alias("c"), _same("l", "c"), "left_anti")
-    asked = texts.alias("t").join(listed.alias("l"), _same("t", "l")).select("t.doc_id", "t.k", "t.z", "l.rare", "l.often")
+    asked = texts.alias("t").join(listed.alias("l"), _same("t", "l")).select("t.doc_id", "t.k", "t.z", "l.anchors", "l.shares")
     windows = fresh(
-        asked.mapInArrow(_window_rows, "doc_id long, k long, anchor long, often boolean, first int, windows array<long>")
+        asked.mapInArrow(_window_rows, "doc_id long, k long, anchor long, shares int, first int, windows array<long>")
     )
-    each = lambda frame: frame.select("doc_id", "k", "anchor", "first", F.posexplode("windows").alias("i", "h"))
-    rare = each(windows.filter("not often").repartition("anchor"))
-    rare = rare.withColumn("n", F.count("*").over(Window.partitionBy("anchor", "h"))).filter("n > 1")
-    often = each(windows.filter("often"))
-    often = often.join(often.groupBy("anchor", "h").agg(F.count("*").alias("n")).filter("n > 1"), ["anchor", "h"])
-    masks = [
-        x.groupBy("anchor", "doc_id", "k", "first").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")).select("doc_id", "k", "first", "mask")
-        for x in (rare, often)
-    ]
+    masks = _masks(_local(windows.filter("shares = 1")).filter("n > 1"))
+    often = _local(windows.filter("shares > 1"))
+    # Unique in its share of a frequent anchor: the window may be in another share.
+    total = often.groupBy("anchor", "share", "h").agg(F.count("*").alias("n")).groupBy("anchor", "h").agg(F.sum("n").alias("n"))
+    elsewhere = often.filter("n = 1").join(total.filter("n > 1").select("anchor", "h"), ["anchor", "h"])
+    masks = masks.union(_masks(often.filter("n > 1").unionByName(elsewhere)))
     every = copies.select("doc_id", "k", F.lit(-1).alias("first"), F.lit(0).cast("long").alias("mask"))
-    return masks[0].union(masks[1]).union(every).groupBy("doc_id", "k").agg(F.collect_list(F.struct("first", "mask")).alias("found"))
+    return masks.union(every).groupBy("doc_id", "k").agg(F.collect_list(F.struct("first", "mask")).alias("found"))
 
 
 def remove_repeats(docs: DataFrame, layout: bool = False) -> DataFrame:
