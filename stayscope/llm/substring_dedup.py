@@ -43,6 +43,8 @@ ROUNDS = 7
 RUN_ROUNDS = (0, 3)
 #: Occurrences of an anchor in one share, about.
 FREQUENT = 2000
+#: Bits of a packed value that hold the symbol's place.
+PLACE = U((1 << 24) - 1)
 
 
 class Level:
@@ -103,23 +105,20 @@ def anchors(value: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarra
             continue
         first, last, rows = first[ok], last[ok], open_[ok]
         code = mix(level.name + U(depth + 1))
-        # least code in [first, last] by a table of least values of 1, 2, 4 ... symbols
+        # The least code in [first, last], and the first symbol that has it, by a table of the
+        # least of 1, 2, 4 ... symbols. The code's upper bits decide, then the place.
+        packed = (code & ~PLACE) | (np.arange(len(code), dtype=U) & PLACE)
         span = last - first + 1
         power = np.frexp(span)[1] - 1
-        least, best = code, np.empty(len(rows), U)
+        least, best = packed, np.empty(len(rows), U)
         for p in range(int(power.max()) + 1):
             if p:
                 half = 1 << (p - 1)
-                least = np.minimum(least[:-half], least[half:]) if len(least) > half else least
-            own = power == p
-            if own.any():
-                best[own] = np.minimum(least[first[own]], least[last[own] - (1 << p) + 1])
-        # the first symbol of that code at or after first
-        order = np.argsort(code, kind="stable")
-        ranks = code[order]
-        rank = np.cumsum(np.concatenate(([False], ranks[1:] != ranks[:-1]))) * len(code)
-        which = order[np.searchsorted(rank + order, rank[np.searchsorted(ranks, best)] + first)]
-        name[rows], place[rows] = best, level.lo[which]
+                least = np.minimum(least[:-half], least[half:])
+            own = np.flatnonzero(power == p)
+            best[own] = np.minimum(least[first[own]], least[last[own] - (1 << p) + 1])
+        which = first + ((best - first.astype(U)) & PLACE).astype(np.int64)
+        name[rows], place[rows] = code[which], level.lo[which]
         open_ = open_[~ok]
         if not len(open_):
             break
