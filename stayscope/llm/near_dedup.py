@@ -41,6 +41,7 @@ SHINGLE = 5
 COORDINATES = 160
 ROWS_PER_BAND = 4
 BANDS = COORDINATES // ROWS_PER_BAND
+LOW = U((1 << 52) - 1)
 #: Rounds that compare each member of a bucket with one other, before the rest is compared in blocks.
 STAR_ROUNDS = 2
 #: Nodes of a block of the rest.
@@ -65,13 +66,13 @@ def sketch(elements: np.ndarray) -> np.ndarray:
     for i in range(bins):
         h = mix(elements + U((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         place = ((h >> U(32)) * U(bins)) >> U(32)
-        value = (U(i) << U(52)) | (mix(h) >> U(12))
+        value = (U(i) << U(52)) | (h & LOW)
         np.minimum.at(out, place.astype(np.int64), value)
         if (out != none).all():
             return out
     for j in np.flatnonzero(out == none):
         h = mix(elements + U((bins + int(j) + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        out[j] = (U(bins + int(j)) << U(52)) | (mix(h).min() >> U(12))
+        out[j] = (U(bins + int(j)) << U(52)) | (h & LOW).min()
     return out
 
 
