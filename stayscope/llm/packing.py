@@ -15,9 +15,13 @@ read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,58 +30,86 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize, work_dir
-from .words import column, text_bytes
+from .bpe import shown_bytes
+from .words import Places, Stretches, column, text_bytes
 
 CAPACITY = 2048
 END_ID = 1
 #: Words a task remembers the ids of.
-REMEMBERED = 1 << 18
+REMEMBERED = 600_000
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 100_000
 
 
+#: Words of these characters only are left alone by the vocabulary's normalizer but for case, and
+#: are cut into the pieces below, which are encoded one by one. All others go to the library whole.
+_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\n\u00df-\u00f6\u00f8-\u00ff]+|\n")
+#: The pattern that _PIECE is right for (fixed value of the vocabulary).
+_KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class WordIds:
     """Ids of white-space separated words, for a tokenizer whose pieces never span white space."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        with open(path) as f:
+            spec = json.load(f)
+        self.tokenizer = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
+        self.special = tuple(x["content"] for x in spec["added_tokens"])
+        self.by_piece = _pattern(spec) == _KNOWN_PATTERN
+        self.bare = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "normalizer": None, "pre_tokenizer": None, "post_processor": None, "truncation": None, "padding": None}))
+        self.shown = dict(enumerate(shown_bytes()))
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.places, self.ids = Places(), Stretches(np.uint32)
+        self.piece_places, self.pieces = Places(), Stretches(np.uint32)
+
+    def plain(self, text: str) -> bool:
+        return self.by_piece and bool(_PLAIN.fullmatch(text)) and not ("<|" in text and any(x in text for x in self.special))
 
     def learn(self, words: list[bytes]) -> None:
-        coded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
+        texts = [w.decode() for w in words]
+        plain = np.fromiter(map(self.plain, texts), bool, len(texts))
+        size = np.zeros(len(texts), np.int64)
+        # All plain words are cut in one go; a line feed, which has no ids, ends each.
+        at = self.piece_places.of(_PIECE.findall("".join([x + "\n" for x, ok in zip(texts, plain.tolist(), strict=True) if ok]).lower()))
+        new = self.piece_places.taken()
+        coded = self.bare.encode_batch([p.encode().decode("latin-1").translate(self.shown) if p != "\n" else "" for p in new], add_special_tokens=False)
         ids = [x.ids for x in coded]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.place.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
-        self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
-        self.ids = np.concatenate((self.ids, *(np.array(x, np.uint32) for x in ids)))
-
-    def encode(self, text: bytes) -> np.ndarray:
-        """The ids of a whole text, with the closing id."""
-        words = text.split()
-        if words:
-            at = np.fromiter((self.place[w] for w in words), np.int64, len(words))
-            size = self.size[at]
-            ends = np.cumsum(size)
-            where = np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1])
-            return np.append(self.ids[where], np.uint32(END_ID))
-        return np.array([END_ID], np.uint32)
-
-    def prepare(self, texts: list[bytes]) -> None:
-        """Learns the words of some texts, in one call of the tokenizer."""
-        if len(self.place) > REMEMBERED:
+        self.pieces.add(np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32))
+        flat, ends = self.pieces.of(at)
+        if len(at):
+            size[plain] = np.diff(ends[at == self.piece_places["\n"]], prepend=0)
+        others = [x.ids for x in self.tokenizer.encode_batch([x for x, ok in zip(texts, plain.tolist(), strict=True) if not ok], add_special_tokens=False)]
+        size[~plain] = np.fromiter(map(len, others), np.int64, len(others))
+        every = np.zeros(int(size.sum()), np.uint32)
+        whose = np.repeat(plain, size)
+        every[whose] = flat
+        every[~whose] = np.fromiter(chain.from_iterable(others), np.uint32)
+        self.ids.add(size, every)
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of whole texts, with the closing id."""
+        if len(self.places) > REMEMBERED:
             self.clear()
-        new = {w for t in texts for w in t.split() if w not in self.place}
+        lists = [t.split() for t in texts]
+        at = self.places.of(list(chain.from_iterable(lists)))
+        new = self.places.taken()
         if new:
-            self.learn(list(new))
+            self.learn(new)
+        flat, ends = self.ids.of(at)
+        stops = np.append(0, ends)[np.cumsum([0, *map(len, lists)])]
+        return [np.append(flat[a:b], np.uint32(END_ID)) for a, b in zip(stops, stops[1:], strict=False)]
+
+
+def _pattern(spec: dict) -> str | None:
+    """The pattern by which a vocabulary's first pre-tokenizer cuts."""
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    return steps[0].get("pattern", {}).get("Regex")
 
 
 @lru_cache(maxsize=2)
@@ -87,15 +119,14 @@ def _word_ids(path: str) -> WordIds:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     coder = _word_ids(path)
+    gc.disable()  # the remembered ids are many small lists without cycles, which it would walk again and again
     for batch in batches:
         texts = [x or b"" for x in text_bytes(batch)]
         step = 256
         for begin in range(0, len(texts), step):
             some = texts[begin : begin + step]
-            coder.prepare(some)
             doc, start, crc, total, parts = [], [], [], [], []
-            for i, text in enumerate(some, begin):
-                ids = coder.encode(text)
+            for i, ids in enumerate(coder.encode(some), begin):
                 for at in range(0, len(ids), capacity):
                     part = ids[at : at + capacity]
                     doc.append(i)

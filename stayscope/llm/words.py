@@ -91,6 +91,45 @@ def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return column(batch, name).cast(pa.binary()).to_pylist()
 
 
+class Places(dict):
+    """Numbers for keys in the order in which they are first asked for; ``new`` collects those."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key):
+        place = self[key] = len(self)
+        self.new.append(key)
+        return place
+
+    def of(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+    def taken(self) -> list:
+        """The keys asked for since the last call."""
+        new, self.new = self.new, []
+        return new
+
+
+class Stretches:
+    """Arrays of different lengths, one after the other, by number."""
+
+    def __init__(self, kind):
+        self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, kind)
+
+    def add(self, size: np.ndarray, flat: np.ndarray) -> None:
+        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.flat = np.concatenate((self.flat, flat))
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The arrays of some numbers, joined, and where each of them ends."""
+        size = self.size[at]
+        ends = np.cumsum(size)
+        return self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
 def sequence_hash(value: np.ndarray, bounds: np.ndarray, seed: int) -> np.ndarray:
     """For each stretch of ``value`` between two bounds a 64-bit value of its elements in order."""
     n = np.diff(bounds)
