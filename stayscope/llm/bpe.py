@@ -20,6 +20,7 @@ documents like any other.
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,17 +32,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import column
+from .words import Places, Stretches, column
 
 #: The pattern that cuts texts into pieces for this kind of vocabulary (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK = 32_768
 LONG = 512
 #: Pieces a task remembers the ids of.
-REMEMBERED = 1 << 18
+REMEMBERED = 600_000
 
 
-def _alphabet() -> list[str]:
+def shown_bytes() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = [b for b in range(256) if b not in shown]
@@ -57,19 +58,21 @@ class Coder:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         spec |= {"added_tokens": [], "pre_tokenizer": None, "post_processor": None, "truncation": None, "padding": None}
         self.bare = Tokenizer.from_str(json.dumps(spec))
-        chars = _alphabet()
+        chars = shown_bytes()
         self.shown = dict(enumerate(chars))
         byte = {c: b for b, c in enumerate(chars)}
         vocab = spec["model"]["vocab"] | self.special
         self.bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.bytes[i] = token.encode() if token in self.special else bytes(byte[c] for c in token)
+        self.table = Stretches(np.uint8)
+        self.table.add(np.fromiter(map(len, self.bytes), np.int64, len(self.bytes)), np.frombuffer(b"".join(self.bytes), np.uint8))
         self.cut = regex.compile(PATTERN)
         self.specials = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, list[int]] = {}
+        self.places, self.known = Places(), Stretches(np.int32)
 
     def of_bytes(self, raw: bytes) -> list[int]:
         """BPE of some bytes as one piece."""
@@ -95,39 +98,60 @@ class Coder:
     def pieces(self, text: str) -> list[str]:
         return self.cut.findall(text)
 
-    def learn(self, pieces: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
+    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, joined, and where each piece's end. New pieces go through the tokenizer in one call."""
+        if len(self.places) > REMEMBERED:
             self.clear()
-        new = [p for p in set(pieces) if p not in self.known]
-        raw = [p.encode() for p in new]
-        short = [(p, r) for p, r in zip(new, raw, strict=True) if len(r) <= LONG]
-        coded = self.bare.encode_batch([r.decode("latin-1").translate(self.shown) for _, r in short], add_special_tokens=False)
-        self.known.update((p, x.ids) for (p, _), x in zip(short, coded, strict=True))
-        self.known.update((p, self.tree(r)) for p, r in zip(new, raw, strict=True) if len(r) > LONG)
-
-    def ids(self, pieces: list[str]) -> list[int]:
-        self.learn(pieces)
-        known, out = self.known, []
-        for p in pieces:
-            out += known[p]
+        at = self.places.of(pieces)
+        new = [p.encode() for p in self.places.taken()]
+        if new:
+            coded = iter(self.bare.encode_batch([r.decode("latin-1").translate(self.shown) for r in new if len(r) <= LONG], add_special_tokens=False))
+            ids = [next(coded).ids if len(r) <= LONG else self.tree(r) for r in new]
+            self.known.add(np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.int32))
+        return self.known.of(at)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of some texts."""
+        cut: list[list[str]] = []
+        tokens: list[tuple[int, int, int]] = []  # text, pieces before, special id
+        for i, text in enumerate(texts):
+            if self.specials and any(t in text for t in self.special):
+                own: list[str] = []
+                for part in self.specials.split(text):
+                    if part in self.special:
+                        tokens.append((i, len(own), self.special[part]))
+                    else:
+                        own += self.pieces(part)
+                cut.append(own)
+            else:
+                cut.append(self.pieces(text))
+        flat, ends = self.ids(list(chain.from_iterable(cut)))
+        ends = np.append(0, ends)
+        begins = np.cumsum([0, *map(len, cut)])
+        out = [flat[a:b] for a, b in zip(ends[begins], ends[begins[1:]], strict=False)]
+        for i in {t[0] for t in tokens}:
+            own = [(n, t) for j, n, t in tokens if j == i]
+            where = [ends[begins[i] + n] - ends[begins[i]] for n, _ in own]
+            out[i] = np.insert(out[i], where, [t for _, t in own])
         return out
 
     def encode(self, text: str) -> list[int]:
-        if self.specials is None or not any(x in text for x in self.special):
-            return self.ids(self.pieces(text))
-        out: list[int] = []
-        for part in self.specials.split(text):
-            out += [self.special[part]] if part in self.special else self.ids(self.pieces(part))
-        return out
+        return self.encode_all([text])[0].tolist()
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of joined lists of ids, given where each ends."""
+        flat, stops = self.table.of(ids)
+        stops = np.append(0, stops)[np.append(0, ends)]
+        raw = flat.tobytes()
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(stops.tolist(), stops[1:].tolist(), strict=False)]
 
     def decode(self, ids: list[int]) -> str:
-        table = self.bytes
-        return b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+        return self.decode_all(np.array(ids, np.int64), np.array([len(ids)]))[0]
 
     def part(self, text: str) -> Part:
         pieces = self.pieces(text)
-        self.learn(pieces)
-        return Part(pieces, [self.known[p] for p in pieces])
+        flat, ends = self.ids(pieces)
+        return Part(pieces, [x.tolist() for x in np.split(flat, ends[:-1])] if pieces else [])
 
     def joined(self, left: Part, right: Part) -> Part:
         """The pieces and ids of two neighbouring parts of a text."""
@@ -159,8 +183,7 @@ class Coder:
                     if taken and len(p) > LONG and p == a[-1] + b[0]:
                         ids.append(self.join(left.ids[-1], right.ids[0]))
                     else:
-                        self.learn([p])
-                        ids.append(self.known[p])
+                        ids.append(self.ids([p])[0].tolist())
                 n = len(left.pieces) - len(a)
                 return Part(left.pieces[:n] + found + right.pieces[taken:], left.ids[:n] + ids + right.ids[taken:])
             back, ahead = back * 2, ahead * 2
@@ -184,6 +207,11 @@ def coder(path: str) -> Coder:
     return Coder(path)
 
 
+def _id_arrays(lists: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int32)))
+
+
 def _id_lists(lists: list[list[int]]) -> pa.Array:
     ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
     flat = np.fromiter(chain.from_iterable(lists), np.int32, int(ends[-1]))
@@ -192,11 +220,12 @@ def _id_lists(lists: list[list[int]]) -> pa.Array:
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     code = coder(path)
+    gc.disable()  # what is remembered has no cycles
     for batch in batches:
         for begin in range(0, batch.num_rows, 64):
             some = batch.slice(begin, 64)
-            lists = [code.encode(x or "") for x in column(some, "text").to_pylist()]
-            yield pa.record_batch([column(some, "row"), _id_lists(lists)], ["row", "ids"])
+            lists = code.encode_all([x or "" for x in column(some, "text").to_pylist()])
+            yield pa.record_batch([column(some, "row"), _id_arrays(lists)], ["row", "ids"])
 
 
 def _chunk_ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -279,7 +308,8 @@ def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
         for begin in range(0, batch.num_rows, 64):
             some = batch.slice(begin, 64)
             ids = column(some, "ids")
-            texts = pa.array([code.decode(x or []) for x in ids.to_pylist()], pa.string())
+            ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy())
+            texts = pa.array(code.decode_all(ids.flatten().to_numpy().astype(np.int64), ends), pa.string())
             yield pa.record_batch([column(some, "row"), ids, texts], ["row", "ids", "decoded"])
 
 
