@@ -36,7 +36,7 @@ from .words import Places, Stretches, column, text_bytes
 CAPACITY = 2048
 END_ID = 1
 #: Words a task remembers the ids of.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 100_000
 
