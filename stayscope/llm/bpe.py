@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import gc
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -36,10 +37,13 @@ from .words import Places, Stretches, column
 
 #: The pattern that cuts texts into pieces for this kind of vocabulary (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts in Latin-1, whose letters, numbers and white space are these (fixed values).
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+LATIN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 CHUNK = 32_768
 LONG = 512
 #: Pieces a task remembers the ids of.
-REMEMBERED = 600_000
+REMEMBERED = 800_000
 
 
 def shown_bytes() -> list[str]:
@@ -67,7 +71,8 @@ class Coder:
             self.bytes[i] = token.encode() if token in self.special else bytes(byte[c] for c in token)
         self.table = Stretches(np.uint8)
         self.table.add(np.fromiter(map(len, self.bytes), np.int64, len(self.bytes)), np.frombuffer(b"".join(self.bytes), np.uint8))
-        self.cut = regex.compile(PATTERN)
+        self.cut, self.latin = regex.compile(PATTERN), re.compile(LATIN)
+        self.beyond_latin = re.compile(r"[^\x00-\xff]").search
         self.specials = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.clear()
 
@@ -96,7 +101,7 @@ class Coder:
         return self.join(self.tree(raw[:half]), self.tree(raw[half:]))
 
     def pieces(self, text: str) -> list[str]:
-        return self.cut.findall(text)
+        return (self.cut if self.beyond_latin(text) else self.latin).findall(text)
 
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces, joined, and where each piece's end. New pieces go through the tokenizer in one call."""
@@ -218,14 +223,26 @@ def _id_lists(lists: list[list[int]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _coded(row: pa.Array, lists: list[np.ndarray], code: Coder, decoded: bool) -> pa.RecordBatch:
+    ids = _id_arrays(lists)
+    if not decoded:
+        return pa.record_batch([row, ids], ["row", "ids"])
+    return pa.record_batch([row, ids, _texts(ids, code)], ["row", "ids", "decoded"])
+
+
+def _texts(ids: pa.Array, code: Coder) -> pa.Array:
+    ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy())
+    return pa.array(code.decode_all(ids.flatten().to_numpy().astype(np.int64), ends), pa.string())
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, decoded: bool) -> Iterator[pa.RecordBatch]:
     code = coder(path)
     gc.disable()  # what is remembered has no cycles
     for batch in batches:
         for begin in range(0, batch.num_rows, 64):
             some = batch.slice(begin, 64)
             lists = code.encode_all([x or "" for x in column(some, "text").to_pylist()])
-            yield pa.record_batch([column(some, "row"), _id_arrays(lists)], ["row", "ids"])
+            yield _coded(column(some, "row"), lists, code, decoded)
 
 
 def _chunk_ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -252,7 +269,7 @@ def _cut(values, sizes: list[int]) -> list:
     return [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
-def _whole(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _whole(batches: Iterator[pa.RecordBatch], path: str, decoded: bool) -> Iterator[pa.RecordBatch]:
     code = coder(path)
     for batch in batches:
         for i in range(batch.num_rows):
@@ -267,16 +284,19 @@ def _whole(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
             out: list[int] = []
             for s in sorted({*segments, *between}):
                 out += [between[s]] if s in between else code.all_joined(segments[s])
-            yield pa.record_batch([column(row, "row"), _id_lists([out])], ["row", "ids"])
+            yield _coded(column(row, "row"), [np.array(out, np.int32)], code, decoded)
+
 
+def encode(docs: DataFrame, tokenizer: str, chunk: int = CHUNK, decoded: bool = False) -> DataFrame:
+    """``row`` (the columns of ``docs`` without text) and ids, an array of the whole text's ids.
 
-def encode(docs: DataFrame, tokenizer: str, chunk: int = CHUNK) -> DataFrame:
-    """``row`` (the columns of ``docs`` without text) and ids, an array of the whole text's ids."""
+    decoded: also the text that the ids decode to, as ``decode`` gives it, in the same pass.
+    """
     row = F.struct(*(docs[c] for c in docs.columns if c != "text"))
     whole = docs.select(row.alias("row"), F.col("text").cast("string").alias("text"))
-    kind = f"row {whole.schema['row'].dataType.simpleString()}, ids array<int>"
+    kind = f"row {whole.schema['row'].dataType.simpleString()}, ids array<int>" + ", decoded string" * decoded
     long_text = F.coalesce(F.length("text"), F.lit(0)) > chunk
-    short = whole.filter(~long_text).mapInArrow(lambda b: _encoded(b, tokenizer), kind)
+    short = whole.filter(~long_text).mapInArrow(lambda b: _encoded(b, tokenizer, decoded), kind)
 
     with_id = whole.filter(long_text).withColumn("rid", F.monotonically_increasing_id())
     special = "|".join(regex.escape(x) for x in sorted(_specials(tokenizer), key=len, reverse=True))
@@ -294,7 +314,7 @@ def encode(docs: DataFrame, tokenizer: str, chunk: int = CHUNK) -> DataFrame:
     every = coded.unionByName(marks.select("*", empty.alias("sizes"), empty.alias("counts"), empty.alias("ids")))
     lists = every.groupBy("rid").agg(F.collect_list(F.struct("segment", "place", "chunk", "sizes", "counts", "ids")).alias("chunks"))
     joined = lists.join(with_id.select("rid", "row"), "rid").select("row", "chunks")
-    return short.unionByName(joined.mapInArrow(lambda b: _whole(b, tokenizer), kind))
+    return short.unionByName(joined.mapInArrow(lambda b: _whole(b, tokenizer, decoded), kind))
 
 
 def _specials(path: str) -> list[str]:
@@ -308,9 +328,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
         for begin in range(0, batch.num_rows, 64):
             some = batch.slice(begin, 64)
             ids = column(some, "ids")
-            ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy())
-            texts = pa.array(code.decode_all(ids.flatten().to_numpy().astype(np.int64), ends), pa.string())
-            yield pa.record_batch([column(some, "row"), ids, texts], ["row", "ids", "decoded"])
+            yield pa.record_batch([column(some, "row"), ids, _texts(ids, code)], ["row", "ids", "decoded"])
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:

@@ -54,7 +54,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    both = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents", "doc_id", "text"), path), path)
+    both = bpe.encode(_table(spark, sf_dir, "documents", "doc_id", "text"), path, decoded=True)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select(
         "row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
