@@ -35,8 +35,8 @@ from .words import Places, Stretches, column, text_bytes
 
 CAPACITY = 2048
 END_ID = 1
-#: Words a task remembers the ids of.
-REMEMBERED = 1_000_000
+#: Words and pieces of words a task remembers the ids of. Words are soon put together again from pieces.
+REMEMBERED, PIECES = 300_000, 700_000
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 100_000
 
@@ -63,15 +63,20 @@ class WordIds:
         self.bare = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "normalizer": None, "pre_tokenizer": None, "post_processor": None, "truncation": None, "padding": None}))
         self.shown = dict(enumerate(shown_bytes()))
         self.clear()
+        self.clear_pieces()
 
     def clear(self) -> None:
         self.places, self.ids = Places(), Stretches(np.uint32)
+
+    def clear_pieces(self) -> None:
         self.piece_places, self.pieces = Places(), Stretches(np.uint32)
 
     def plain(self, text: str) -> bool:
         return self.by_piece and bool(_PLAIN.fullmatch(text)) and not ("<|" in text and any(x in text for x in self.special))
 
     def learn(self, words: list[bytes]) -> None:
+        if len(self.piece_places) > PIECES:
+            self.clear_pieces()
         texts = [w.decode() for w in words]
         plain = np.fromiter(map(self.plain, texts), bool, len(texts))
         size = np.zeros(len(texts), np.int64)

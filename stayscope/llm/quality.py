@@ -118,7 +118,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def _evidence(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [model.ratio(features(texts)) for _, texts in grouped(text_bytes(batch))]
+        texts = text_bytes(batch) if "text" in batch.schema.names else column(batch, "row").field("text").cast(pa.binary()).to_pylist()
+        rows = [model.ratio(features(some)) for _, some in grouped(texts)]
         ratio = np.concatenate(rows) if rows else np.zeros(0)
         names = [n for n in batch.schema.names if n != "text"]
         yield pa.record_batch([*(column(batch, n) for n in names), pa.array(ratio)], [*names, "evidence"])
@@ -166,7 +167,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     folder = lambda: work_dir(docs.sparkSession, "quality")
     pooled = materialize(brief.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(posterior).alias("s")), folder())
     rates = materialize(sites(pooled), folder())
-    whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *site, text)
+    whole = docs.withColumn("text", text).select(F.struct(*docs.columns).alias("row"), *site)
     kind = whole.schema["row"].dataType.simpleString()
     scored = whole.mapInArrow(lambda b: _evidence(b, model), f"row {kind}, host string, path string, evidence double").alias("d")
     same = F.col("d.host").eqNullSafe(F.col("r.host")) & F.col("d.path").eqNullSafe(F.col("r.path"))
