@@ -33,6 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, work_dir
 from .words import Places, Stretches, column
 
 #: The pattern that cuts texts into pieces for this kind of vocabulary (fixed value).
@@ -298,7 +299,9 @@ def encode(docs: DataFrame, tokenizer: str, chunk: int = CHUNK, decoded: bool =
     long_text = F.coalesce(F.length("text"), F.lit(0)) > chunk
     short = whole.filter(~long_text).mapInArrow(lambda b: _encoded(b, tokenizer, decoded), kind)
 
-    with_id = whole.filter(long_text).withColumn("rid", F.monotonically_increasing_id())
+    # Written down, as the numbers are used more than once.
+    numbered = whole.filter(long_text).withColumn("rid", F.monotonically_increasing_id())
+    with_id = materialize(numbered, work_dir(docs.sparkSession, "long-texts"))
     special = "|".join(regex.escape(x) for x in sorted(_specials(tokenizer), key=len, reverse=True))
     # Texts at even places, special tokens at odd ones.
     texts = F.split("text", special) if special else F.array("text")

@@ -159,7 +159,8 @@ def _judged(batches: Iterator[pa.RecordBatch], lists: dict[str, list[Filter]]) -
 
 def _by_join(split: DataFrame, rules: DataFrame) -> DataFrame:
     """The same for lists that are too long for a filter that is sent to every executor."""
-    rows = split.withColumn("id", F.monotonically_increasing_id())
+    # Written down, as the numbers are used twice.
+    rows = materialize(split.withColumn("id", F.monotonically_increasing_id()), work_dir(split.sparkSession, "urls"))
     keys = rows.select("id", F.explode("keys").alias("key")).select("id", "key.host", "key.path")
     fit = keys.join(rules, ["host", "path"]).select("id", F.struct(F.length(F.concat("host", "path")), F.length("host"), "verdict", F.concat("host", "path").alias("rule")).alias("fit"))
     best = fit.groupBy("id").agg(F.max("fit").alias("fit"))
