@@ -1,0 +1,224 @@
+"""Page text, url rules, searches and the classifier."""
+
+from __future__ import annotations
+
+import html
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stayscope.llm import ann, html_extraction, quality, topk, url_filter
+from stayscope.llm.layouts import labelled_pages
+
+
+def test_articles_of_the_pages(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    wanted = {}
+    for r in pages.collect():
+        article = re.search(r"<article>(.*?)(</article>|\Z)", r["html"], re.S)[1]
+        blocks = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", article).replace("<br>", " "))
+        blocks = [" ".join(html.unescape(x).split()) for x in blocks]
+        wanted[r["page_id"]] = "\n".join(x for x in blocks if x)
+    assert {r["row"]["page_id"]: r["text"] for r in html_extraction.extract(pages).collect()} == wanted
+
+
+def test_layouts_held_out(spark):
+    """A model of every second layout reads the others."""
+    found = {}
+    for page in labelled_pages()[::2]:
+        own = html_extraction.Page(page)
+        for k, v in html_extraction.counts(own, own.labels()).items():
+            found[k] = found.get(k, 0) + v
+    model = html_extraction.Model(found)
+    right = total = 0
+    for page in labelled_pages()[1::2]:
+        content = re.sub("<y0>.*?</y0>", "", re.search("<y1>(.*)</y1>", page)[1])
+        wanted = [" ".join(x.split()) for x in re.split(r"<[^>]*>", content)]
+        text = model.text(re.sub("</?y[01]>", "", page))
+        right += text == "\n".join(x for x in wanted if x)
+        total += 1
+    assert right / total >= 0.75
+
+
+def test_marginals_are_those_of_all_assignments():
+    own = html_extraction.Page("<body><div class=menu><a href=x>m</a></div><article><p>long text</p><footer>f</footer></article></body>")
+    model = html_extraction.Model({("own", "tag article", 1): 5, ("own", "tag footer", 0): 7, ("own", "hint menu", 0): 3, ("all", "", 0): 9, ("all", "", 1): 8, ("pair", "1", 1): 6})
+    n = len(own.tag)
+    weight = np.zeros(n)
+    for bits in range(2**n):
+        x = [bits >> i & 1 for i in range(n)]
+        p = 1.0
+        for i in range(n):
+            odds = sum(model.own[f][1] - model.own[f][0] for f in own.features(i) if f in model.own)
+            p *= 1 / (1 + np.exp(-odds if x[i] else odds))
+            if i:
+                up = own.parent[i]
+                p *= model.pair[2 if own.tag[up] in html_extraction.ROOTS else x[up]][x[i]]
+        weight += p * np.array([*x])
+        if not bits:
+            total = 0.0
+        total += p
+    assert np.allclose(model.marginals(own), weight / total)
+
+
+def test_odd_pages(spark):
+    sources = [None, "", "   ", "<article><p>a &amp; b &lt;c&gt;&nbsp; d", "<p>x<p>y<article><!-- <p>no</p> --><p>One<br>two<script>p>q</script></article", "<" * 50, "<article>" + "<div>" * 3000 + "deep</article>"]
+    pages = spark.createDataFrame([(i, "u", s, "clash") for i, s in enumerate([*sources, sources[3]])], "page_id long, url string, html string, text string")
+    found = {r["row"]["page_id"]: r["text"] for r in html_extraction.extract(pages).collect()}
+    assert len(found) == len(sources) + 1
+    assert found[0] == found[1] == found[2] == ""
+    assert found[3] == found[7] == "a & b <c> d"
+    assert "One two" in found[4] and "no" not in found[4] and "q" not in found[4]
+    assert html_extraction.extract(pages.limit(0)).collect() == []
+
+
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def judged(url, rules):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fits = [(len(h + p), len(h), v, h + p) for v, h, p in rules if host and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=None)
+    return host, path, best and best[3], best[2] if best else "allow"
+
+
+def some_urls():
+    rng = random.Random(4)
+    urls = [None, "", "no scheme", "http://", "://x.org", "http://ORG/", "http://a.ORG/es/1", "http://example.org/es/", "http://myexample.org/es/1"]
+    urls += ["http://x.com/de/?q", "http://x.com/de", "http://x.com/fr/a#b", "http://x.com?/de/", "http://é.example.org/en/12", "http://a..com/de/1\n2", "http://x.com:80/de/"]
+    for _ in range(500):
+        urls.append(f"http://{rng.choice(['', 'www.', 'a.b.'])}{rng.choice(['example.org', 'x.org', 'y.com', 'z.net'])}/{rng.choice(['es/', 'en/1', 'fr/', 'de/', ''])}{rng.randrange(200)}")
+    return urls
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_urls(spark, monkeypatch, joined):
+    if joined:
+        monkeypatch.setattr(url_filter, "MOST_BYTES", 1)
+    many = RULES + [(random.Random(i).choice(["allow", "block"]), f"h{i}.net", f"/{i % 7}") for i in range(300)]
+    for rules in (RULES, many, []):
+        urls = some_urls() + [f"https://q.h{i}.net/{i % 5}/x" for i in range(0, 400, 3)]
+        pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate([*urls, urls[9]])], "page_id long, url string, host string").repartition(4)
+        given = spark.createDataFrame(rules, "verdict string, host string, path string")
+        found = {r["row"]["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(pages, given).collect()}
+        assert found == {i: judged(u, rules) for i, u in enumerate([*urls, urls[9]])}
+    assert url_filter.filter_urls(pages.limit(0)).collect() == []
+
+
+def test_cascade_is_exact(spark):
+    keys = spark.range(20_000).select(F.xxhash64("id").alias("h1"), F.xxhash64(F.lit(7), "id").alias("h2"), "id")
+    listed, others = keys.filter("id % 50 = 3").drop("id"), keys.filter("id % 50 <> 3").drop("id")
+    levels = url_filter.cascade(listed, others)
+    assert len(levels) > 2
+    for frame, wanted in ((listed, True), (others, False)):
+        h1, h2 = (np.array(x, np.int64).view(np.uint64) for x in zip(*frame.collect(), strict=True))
+        assert (url_filter.member(levels, h1, h2) == wanted).all()
+
+
+def vectors(seed, n=700, dims=12):
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dims))
+    x[: n // 3] = x[0] + 0.05 * x[: n // 3]  # a third lies in one place
+    x[10:30] = x[min(10, n - 1)]
+    return x.astype(np.float32)
+
+
+ODD = [(10_000, None), (10_020, [None] * 12), (10_040, [float("nan")] * 12), (10_060, []), (None, [1.0] * 12), (10_080, [float("inf")] * 12), (10_100, [1.0, 2.0])]
+
+
+def as_frame(spark, x):
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)] + [(3, [float(v) for v in x[3]])] + ODD
+    return spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, rank int").repartition(5)
+
+
+@pytest.mark.parametrize("blocks", [(100, 3), (topk.DATA_BLOCK, topk.QUERY_BLOCK)])
+def test_exact_topk(spark, monkeypatch, blocks):
+    monkeypatch.setattr(topk, "DATA_BLOCK", blocks[0])
+    monkeypatch.setattr(topk, "QUERY_BLOCK", blocks[1])
+    x = vectors(1)
+    found = topk.exact_topk(as_frame(spark, x), F.col("id") % 20 == 0).collect()
+    z, ids = np.floor(x.astype(float) * 1024), np.arange(len(x))
+    wanted = set()
+    for q in range(0, len(x), 20):
+        score = z @ z[q]
+        best = [i for i in np.lexsort((ids, -score)) if i != q][:10]
+        wanted |= {(q, r + 1, int(i), int(score[i])) for r, i in enumerate(best)}
+    assert {tuple(r) for r in found} == wanted
+    few = topk.exact_topk(as_frame(spark, x[:4]), F.col("id") == 0).collect()
+    assert len(few) == 3
+    assert topk.exact_topk(as_frame(spark, x).limit(0), F.col("id") == 0).collect() == []
+
+
+def test_cover_tree_prunes(spark):
+    x = np.floor(1024 * vectors(2, 3000, 6).astype(float))
+    near = x[:40]
+    search = topk.Search(near, np.arange(40), x, np.arange(3000), 3).run()
+    assert search.pairs < 0.8 * 40 * 3000
+
+
+def test_nearest(spark):
+    x = vectors(3, 3000, 16)
+    found = ann.nearest(as_frame(spark, x), F.col("id") % 20 == 0).collect()
+    ids, rows = np.arange(len(x)), {}
+    for r in found:
+        rows.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    recall = []
+    for q in range(0, len(x), 20):
+        score = x.astype(float) @ x[q].astype(float)
+        own = sorted(rows[q])
+        assert [r for r, _, _ in own] == list(range(1, 21))
+        assert all(abs(s - score[i]) < 1e-9 and i != q for _, i, s in own)
+        assert all((-a[2], a[1]) < (-b[2], b[1]) for a, b in zip(own, own[1:], strict=False))
+        best = [i for i in np.lexsort((ids, -score)) if i != q][:20]
+        recall.append(len({i for _, i, _ in own} & {int(i) for i in best}) / 20)
+    assert np.mean(recall) >= 0.9
+
+
+def test_nearest_of_few(spark):
+    x = vectors(4, 9)
+    found = ann.nearest(as_frame(spark, x), F.col("id") % 20 == 0)
+    assert sorted(r["vec_id"] for r in found.collect() if r["query_id"] == 0) == list(range(1, 9))
+    zero = spark.createDataFrame([(0, [0.0, 0.0]), (20, [1.0, 0.0]), (1, [-1.0, 0.0])], "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in ann.nearest(zero, F.col("id") % 20 == 0).collect()] == [(20, 1, 1, -1.0)]
+    assert ann.nearest(zero.limit(0), F.col("id") == 0).collect() == []
+
+
+def test_quality_of_documents_held_out(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    fitted, rest = labels.filter("doc_id % 2 = 0"), labels.filter("doc_id % 2 = 1")
+    found = quality.classify(documents, fitted).select("row.doc_id", "keep").join(rest, "doc_id").collect()
+    right = [r["keep"] == (r["quality"] == 1) for r in found]
+    assert np.mean(right) > 0.97
+    assert all(r["keep"] for r in found if r["quality"] == 1 and not r["toxic"])
+
+
+def test_sparse_sites_lean_on_their_host(spark):
+    pooled = spark.createDataFrame(
+        [("good", "a", 1000, 950.0), ("good", "b", 1, 0.0), ("bad", "a", 1000, 50.0), ("bad", None, 1, 1.0), (None, None, 400, 200.0)],
+        "host string, path string, n long, s double",
+    )
+    rate = {(r["host"], r["path"]): r["rate"] for r in quality.sites(pooled).collect()}
+    assert rate["good", "a"] > 0.9 > rate["bad", "a"] < 0.1
+    assert rate["good", "b"] > 0.4 and rate["bad", None] < 0.6
+    assert len(rate) == 5
+
+
+def test_quality_without_labels_and_odd_rows(spark):
+    rows = [(1, "fine words here", "s", "en", 1), (None, None, None, None, 2), (2, "", "s", None, 3), (2, "", "s", None, 3), (3, "### $$$ " * 3000, "t", "en", 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, evidence int")
+    labels = spark.createDataFrame([(1, 1), (None, 0), (9, 0), (3, None)], "doc_id long, quality int")
+    for some in (labels, labels.limit(0)):
+        found = quality.classify(frame, some).collect()
+        assert len(found) == len(rows) and all(r["keep"] for r in found)
+    both = spark.createDataFrame([(1, 1), (3, 0), (3, 1)], "doc_id long, quality int")
+    assert {r["row"]["doc_id"] for r in quality.classify(frame, both).collect() if not r["keep"]} >= {3}
+    assert quality.classify(frame.limit(0), both).collect() == []

@@ -1,0 +1,141 @@
+"""Packing and byte-level BPE against the tokenizers library."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+from itertools import product
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from stayscope.llm import bpe, packing
+
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+PARTS = ["a", "B", " ", "  ", "\n", "'s", "'S", "'", "!", "1", "é", "É", "ß", "²", "ª", "µ", "\x1c", "\x85", " ", " ", "日本", "the", "ING"]
+PARTS += ["<|endoftext|>", "<|startoftext|>", "<|", "́", "\t", "😀", "　", "\x00", "İ", "Σ", "ς", "--", "ÿ", "×", "\x7f", "'re"]
+
+
+def random_texts(seed, n, longest=40):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(PARTS, k=rng.randint(0, longest))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def library():
+    found = {}
+    for path in (BYTES, WORDS):
+        found[path] = Tokenizer.from_file(path)
+        found[path].no_truncation()
+        found[path].no_padding()
+    return found
+
+
+def test_bpe_of_any_text(library):
+    code, exact = bpe.Coder(BYTES), library[BYTES]
+    for text in random_texts(1, 3000):
+        ids = exact.encode(text, add_special_tokens=False).ids
+        assert code.encode(text) == ids
+        assert code.decode(ids) == exact.decode(ids, skip_special_tokens=False)
+
+
+def test_parts_of_texts_join(library):
+    code, exact, rng = bpe.Coder(BYTES), library[BYTES], random.Random(2)
+    for text in random_texts(2, 1500):
+        text = text.replace("<|endoftext|>", "")
+        size = rng.randint(1, 9)
+        parts = [code.part(text[i : i + size]) for i in range(0, len(text), size)]
+        assert code.all_joined(parts) == exact.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("letters", ["ab", "etaoinshr", "aé日x", "0123456789", "=", "-_=+"])
+def test_pieces_without_a_place_to_cut(library, letters):
+    code, exact, rng = bpe.Coder(BYTES), library[BYTES], random.Random(3)
+    for n in (511, 513, 2000, 9000):
+        text = "".join(rng.choices(letters, k=n))
+        whole = exact.encode(text, add_special_tokens=False).ids
+        assert code.encode(text) == whole
+        if len(code.pieces(text)) == 1:
+            assert code.tree(text.encode()) == whole
+
+
+def test_encoded_documents(spark, library):
+    rows = list(enumerate([None, "", "short", "ab <|endoftext|>" * 50 + "zz" * 700, "<|endoftext|>" * 40, "x" * 5000, *random_texts(4, 60, 200)]))
+    rows += [(1, "again"), (1, "again"), (None, "y " * 300)]
+    frame = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, ids string")
+    wanted = Counter((i, tuple(library[BYTES].encode(t or "", add_special_tokens=False).ids), t or "") for i, t in rows)
+    for chunk in (20, bpe.CHUNK):
+        apart = bpe.decode(bpe.encode(frame, BYTES, chunk=chunk), BYTES)
+        for found in (apart, bpe.encode(frame, BYTES, chunk=chunk, decoded=True)):
+            assert Counter((r["row"]["doc_id"], tuple(r["ids"]), r["decoded"]) for r in found.collect()) == wanted
+    assert bpe.encode(frame.limit(0), BYTES).collect() == []
+
+
+def test_ids_of_words(library):
+    code, exact = packing.WordIds(WORDS), library[WORDS]
+    texts = random_texts(5, 4000, 30)
+    for begin in range(0, len(texts), 100):
+        some = texts[begin : begin + 100]
+        for text, ids in zip(some, code.encode([t.encode() for t in some]), strict=True):
+            assert ids.tolist() == [*exact.encode(text, add_special_tokens=False).ids, packing.END_ID]
+
+
+def test_fullest_multiset_is_the_best():
+    rng = random.Random(6)
+    for _ in range(200):
+        counts = {rng.randint(1, 30): rng.randint(1, 4) for _ in range(rng.randint(1, 4))}
+        capacity = rng.randint(0, 60)
+        used = packing.fullest(counts, capacity)
+        assert all(n <= counts[k] for k, n in used.items())
+        best = max(s for c in product(*(range(n + 1) for n in counts.values())) if (s := sum(k * n for k, n in zip(counts, c, strict=True))) <= capacity)
+        assert sum(k * n for k, n in used.items()) == best
+
+
+def test_plan_uses_every_piece_once():
+    rng = random.Random(7)
+    counts = {rng.randint(1, 2048): rng.randint(1, 50) for _ in range(300)}
+    patterns = packing.plan(counts, 2048)
+    total = Counter()
+    for times, used in patterns:
+        assert sum(k * n for k, n in used.items()) <= 2048
+        total.update({k: times * n for k, n in used.items()})
+    assert total == counts
+    assert packing.plan({}, 2048) == []
+
+
+@pytest.mark.parametrize("numbered", [3, packing.NUMBERED])
+def test_packed_documents(spark, library, monkeypatch, numbered):
+    monkeypatch.setattr(packing, "NUMBERED", numbered)
+    rng = random.Random(8)
+    texts = [None, "", *(" ".join(rng.choices(["alpha", "beta,", "Gamma", "é"], k=rng.choice([1, 7, 80, 900]))) for _ in range(120))]
+    rows = [*enumerate(texts), (None, "no id"), (3, texts[3]), (3, texts[3])]
+    frame = spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id long, text string, length int, number int").repartition(6)
+    pieces = packing.pack(frame, WORDS, capacity=256, with_ids=True)
+    found = pieces.collect()
+    ids = Counter((i, tuple([*library[WORDS].encode(t or "", add_special_tokens=False).ids, 1])) for i, t in rows)
+    used, cut = {}, Counter()
+    for r in found:
+        assert r["length"] == len(r["ids"]) <= 256
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        cut[r["doc_id"], r["start"], tuple(r["ids"]), r["doc_tokens"]] += 1
+    assert cut == Counter({p: 0 for p in cut}) + sum(
+        (Counter({(i, s, whole[s : s + 256], len(whole)): n for s in range(0, len(whole), 256)}) for (i, whole), n in ids.items()), Counter()
+    )
+    for places in used.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 256
+    total = sum(r["length"] for r in found)
+    assert len(used) <= total / 256 * 1.05 + 1
+    packed = {r["sequence_id"]: r["ids"] for r in packing.sequences(pieces).collect()}
+    assert {k: len(v) for k, v in packed.items()} == {k: sum(n for _, n in v) for k, v in used.items()}
+
+
+def test_no_documents(spark):
+    assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), WORDS).collect() == []
