@@ -34,32 +34,31 @@ def enrich_with_days(
     days: DataFrame,
     join_salts: int = 1,
     copy_salts: int = COPY_SALTS,
-    event_time: str | None = None,
-    delay: str = "1 day",
+    copies_within: str | None = None,
 ) -> DataFrame:
     """``enrich`` for weather that ``weather_means`` has already reduced.
 
     The other arguments are for streams, where AQE does not help. ``join_salts`` splits
     the bookings of a hotel-day over that many tasks of a sort-merge join, at the price
     of as many copies of ``days``. ``copy_salts`` is for the removal of booking copies;
-    0 turns the splitting off, which halves the state. With ``event_time``, a column of
-    the bookings, copies are only looked for within ``delay``, and the state stays small;
-    for bookings without a valid time that may be no longer than their micro-batch.
-    A query must be restarted with the ``copy_salts`` and ``event_time`` it began with.
+    0 turns the splitting off, which halves the state. With ``copies_within``, a time like
+    "1 day", a copy is only recognised if it arrives so soon after the first, and the
+    state stays small. Arrival is the time of the micro-batch, so no booking is ever late,
+    however old it is; the price is that a copy sent again after that time counts again.
+    A query must be restarted with the ``copy_salts`` and ``copies_within`` it began with.
     """
     if not bookings.isStreaming:
         return _finish(_distinct(join_days(project_bookings(bookings), days)))
 
-    keep = [event_time] if event_time else []
-    narrow = project_bookings(bookings, *keep)
-    if event_time:
-        at = F.col(event_time).try_cast("timestamp")
-        narrow = narrow.withColumn(event_time, at).withWatermark(event_time, delay)
+    # Null keys match no day; dropped before the salt, whose place in the plan stops filters.
+    narrow = project_bookings(bookings).where("hotel_id IS NOT NULL AND srch_ci IS NOT NULL")
+    if copies_within:
+        narrow = narrow.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", copies_within)
     salted = narrow.withColumn("salt", booking_salt(max(join_salts, copy_salts, 1)))
     joined = join_days(salted, days, join_salts)
     if copy_salts > 1:
-        joined = drop_copies(joined, [*ENRICHED_KEYS, "salt"], event_time)
-    return _finish(drop_copies(joined, ENRICHED_KEYS, event_time))
+        joined = drop_copies(joined, [*ENRICHED_KEYS, "salt"], bool(copies_within))
+    return _finish(drop_copies(joined, ENRICHED_KEYS, bool(copies_within)))
 
 
 def join_days(bookings: DataFrame, days: DataFrame, salts: int = 1) -> DataFrame:
@@ -88,14 +87,14 @@ def _distinct(joined: DataFrame) -> DataFrame:
 
 
 def drop_copies(
-    joined: DataFrame, keys: Sequence[str] = ENRICHED_KEYS, event_time: str | None = None
+    joined: DataFrame, keys: Sequence[str] = ENRICHED_KEYS, within_watermark: bool = False
 ) -> DataFrame:
     """The first row per key of a stream.
 
     A stream sends all copies of a key to one task. With a salt among the keys they go
     to several, and only what those let pass meets at the next, unsalted removal.
     """
-    if event_time:
+    if within_watermark:
         return joined.dropDuplicatesWithinWatermark(list(keys))
     return joined.dropDuplicates(list(keys))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import FractionalType
+from pyspark.sql.types import FractionalType, StringType
 
 from stayscope.operators.grouping import group_by_whole_key
 
@@ -17,13 +17,19 @@ def project_weather(weather: DataFrame) -> DataFrame:
     """Hotel id, day, temperature and hotel name of each reading.
 
     The id is a double where a JSON reader inferred it; as a long it can be compared
-    with booking ids, exactly so below 2**53. An id with a fraction is no id.
+    with booking ids, exactly so below 2**53. An id with a fraction is no id. Where messages
+    differ in its type it is text, in which a number may be written with an exponent.
     """
     hotel = F.col("Id")
-    if isinstance(weather.select(hotel).schema[0].dataType, FractionalType):
+    kind = weather.select(hotel).schema[0].dataType
+    if isinstance(kind, FractionalType):
         hotel = F.when(hotel == F.floor(hotel), hotel)
+    number = hotel.try_cast("bigint")
+    if isinstance(kind, StringType):
+        real = hotel.try_cast("double")
+        number = F.coalesce(number, F.when(real == F.floor(real), real).try_cast("bigint"))
     return weather.select(
-        hotel.try_cast("bigint").alias("Id"),
+        number.alias("Id"),
         F.col("wthrDate").alias("wthrDate"),
         F.col("avgTmprC").try_cast("double").alias("avgTmprC"),
         F.col("Name").alias("hotel_name"),

@@ -73,12 +73,14 @@ def infer_json_schema(messages: DataFrame, column: str = "value") -> str:
 
     One distributed aggregate; only the schema reaches the driver. Fractions become
     doubles, fields that are always null or differ in type become strings, and
-    ``_corrupt_record`` is added if a message is malformed.
+    ``_corrupt_record`` is added if a message is malformed or no object.
     """
-    # parsed in a step of its own, as both aggregates use it
+    # parsed in a step of its own, as both aggregates use it; only objects have fields
     parsed = messages.select(
         F.col(column).isNotNull().alias("sent"), F.try_parse_json(column).alias("json")
     )
+    is_object = F.schema_of_variant("json").startswith("OBJECT<")
+    parsed = parsed.select("sent", F.when(is_object, F.col("json")).alias("json"))
     found = parsed.agg(
         F.schema_of_variant_agg("json").alias("shape"),
         F.count_if(F.col("sent") & F.col("json").isNull()).alias("malformed"),
