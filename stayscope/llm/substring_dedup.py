@@ -11,9 +11,10 @@ equal windows have equal anchors at equal places.
 
 Spark then counts the anchors. Windows whose anchor occurs once are unique. The others are
 compared exactly, by a second value of all their words, among the windows of their anchor,
-in one shuffle by anchor. A frequent anchor's windows are dealt to shares of bounded size;
-those that are alone in their share are looked up among the counts of all shares. Documents with the same words throughout
-are all repeated, and only one of them takes part in the comparison.
+in one shuffle by anchor. The places of a frequent anchor are dealt to shares of bounded
+size. Each share hands on its different windows, as lists by a part of their values, and
+learns which of them other shares have too. Documents with the same words throughout are
+all repeated, and only one of them takes part in the comparison.
 
 Definitions. A window is ``WINDOW`` consecutive words of one document; it is repeated if
 its words also start elsewhere, overlapping places in the same document included. Every
@@ -278,14 +279,68 @@ def _same(a: str, b: str) -> list:
     return [F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")), F.col(f"{a}.k") == F.col(f"{b}.k")]
 
 
+def _dealt(windows: DataFrame) -> DataFrame:
+    share = F.pmod(F.xxhash64("doc_id", "k", "first"), F.col("shares")).cast("int").alias("share")
+    return windows.select("doc_id", "k", "anchor", share, "shares", "first", "windows")
+
+
 def _local(windows: DataFrame) -> DataFrame:
     """A row for each window, with the number of equal ones in its anchor's share."""
-    share = F.pmod(F.xxhash64("doc_id", "k", "first"), F.col("shares")).cast("int").alias("share")
-    dealt = windows.select("doc_id", "k", "anchor", share, "first", "windows").repartition("anchor", "share")
+    dealt = _dealt(windows).repartition("anchor", "share")
     each = dealt.select("doc_id", "k", "anchor", "share", "first", F.posexplode("windows").alias("i", "h"))
     return each.withColumn("n", F.count("*").over(Window.partitionBy("anchor", "share", "h")))
 
 
+def _values(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of all rows, and how many each row has."""
+    lists = table.column("windows").combine_chunks()
+    return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+
+
+def _lists(anchor: pa.Scalar, label: np.ndarray, h: np.ndarray) -> dict[str, pa.Array]:
+    """A row for each label, with its values."""
+    order = np.argsort(label, kind="stable")
+    labels, begin = np.unique(label[order], return_index=True)
+    windows = pa.ListArray.from_arrays(pa.array(np.append(begin, len(h)).astype(np.int32)), pa.array(h[order]))
+    return {"anchor": pa.array([anchor.as_py()] * len(labels), pa.int64()), "label": pa.array(labels, pa.int32()), "windows": windows}
+
+
+def _different(key: tuple, table: pa.Table) -> pa.Table:
+    """The different windows of a share, in as many buckets as the anchor has shares."""
+    h = np.unique(_values(table)[0])
+    rows = _lists(key[0], h.view(U) % U(table.column("shares")[0].as_py()), h)
+    share = pa.array([key[1].as_py()] * len(rows["label"]), pa.int32())
+    return pa.table({"anchor": rows["anchor"], "share": share, "bucket": rows["label"], "windows": rows["windows"]})
+
+
+def _shared(key: tuple, table: pa.Table) -> pa.Table:
+    """For each share the windows of a bucket that another share has too."""
+    h, size = _values(table)
+    _, at, n = np.unique(h, return_inverse=True, return_counts=True)
+    several = n[at] > 1
+    rows = _lists(key[0], np.repeat(table.column("share").to_numpy(), size)[several], h[several])
+    return pa.table({"anchor": rows["anchor"], "share": rows["label"], "windows": rows["windows"]})
+
+
+def _compared(occurrences: pa.Table, elsewhere: pa.Table) -> pa.Table:
+    """The repeated windows of a share, by occurrence of the anchor."""
+    h, size = _values(occurrences)
+    _, at, n = np.unique(h, return_inverse=True, return_counts=True)
+    again = (n[at] > 1) | np.isin(h, _values(elsewhere)[0])
+    first = np.cumsum(size) - size
+    place = np.arange(len(h)) - np.repeat(first, size)
+    mask = np.bitwise_or.reduceat(again.astype(np.int64) << place, first) if len(first) else np.zeros(0, np.int64)
+    return occurrences.select(["doc_id", "k", "first"]).append_column("mask", pa.array(mask)).filter(pa.array(mask != 0))
+
+
+def _often(windows: DataFrame) -> DataFrame:
+    """The repeated windows of frequent anchors; a group holds a share, or a bucket's different windows."""
+    shares = _dealt(windows).groupBy("anchor", "share")
+    different = shares.applyInArrow(_different, "anchor long, share int, bucket int, windows array<long>")
+    shared = different.groupBy("anchor", "bucket").applyInArrow(_shared, "anchor long, share int, windows array<long>")
+    return shares.cogroup(shared.groupBy("anchor", "share")).applyInArrow(_compared, "doc_id long, k long, first int, mask long")
+
+
 def _masks(repeated: DataFrame) -> DataFrame:
     mask = F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")
     return repeated.groupBy("anchor", "share", "doc_id", "k", "first").agg(mask).select("doc_id", "k", "first", "mask")
@@ -313,11 +368,7 @@ def _repeats(keyed: DataFrame, texts: DataFrame) -> DataFrame:
         asked.mapInArrow(_window_rows, "doc_id long, k long, anchor long, shares int, first int, windows array<long>")
     )
     masks = _masks(_local(windows.filter("shares = 1")).filter("n > 1"))
-    often = _local(windows.filter("shares > 1"))
-    # Unique in its share of a frequent anchor: the window may be in another share.
-    total = often.groupBy("anchor", "share", "h").agg(F.count("*").alias("n")).groupBy("anchor", "h").agg(F.sum("n").alias("n"))
-    elsewhere = often.filter("n = 1").join(total.filter("n > 1").select("anchor", "h"), ["anchor", "h"])
-    masks = masks.union(_masks(often.filter("n > 1").unionByName(elsewhere)))
+    masks = masks.union(_often(windows.filter("shares > 1")))
     every = copies.select("doc_id", "k", F.lit(-1).alias("first"), F.lit(0).cast("long").alias("mask"))
     return masks.union(every).groupBy("doc_id", "k").agg(F.collect_list(F.struct("first", "mask")).alias("found"))
 
