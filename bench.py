@@ -14,8 +14,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayscope import GRAINS, classify, fixtures, popular, stay_days
+from stayscope import GRAINS, classify, fixtures, popular
 from stayscope.catalog import QUERIES
+from stayscope.operators.bookings import project_bookings, with_stay_days
+from stayscope.operators.enrich import ENRICHED_KEYS, join_days
+from stayscope.operators.weather import above_temperature, project_weather
 from stayscope.plans.stream import popular_stays_stream, static_days
 from stayscope.session import settings_for, work_dir
 from stayscope.sources.files import read_table_stream
@@ -35,6 +38,7 @@ HEADLINE = [
     "stream_enrich",
     "stream_popular_by_children",
     "stream_popular_by_hotel",
+    "stream_popular_collapsed",
     "stream_via_topic",
     "windowed_count",
 ]
@@ -42,14 +46,10 @@ HEADLINE = [
 
 def averaging_after_the_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship in its plainest form, for comparison: join all, then average."""
-    bookings = fixtures.bookings(spark, sf_dir).withColumnRenamed("id", "order_id")
-    weather = fixtures.weather(spark, sf_dir).withColumnRenamed("Name", "hotel_name")
-    same_day = (F.col("Id") == F.col("hotel_id")) & (F.col("wthrDate") == F.col("srch_ci"))
-    keys = ["order_id", "srch_ci", "srch_co", "srch_children_cnt", "hotel_id", "hotel_name"]
-    joined = bookings.join(weather, same_day).where(F.col("avgTmprC") > 0)
-    means = joined.groupBy(*keys).agg(F.avg("avgTmprC").alias("avg_tmpr"))
-    days = stay_days(F.col("srch_ci"), F.col("srch_co"))
-    return popular(classify(means.withColumn("duration_stay", days)))
+    readings = above_temperature(project_weather(fixtures.weather(spark, sf_dir)))
+    joined = join_days(project_bookings(fixtures.bookings(spark, sf_dir)), readings)
+    means = joined.groupBy(*ENRICHED_KEYS).agg(F.avg("avgTmprC").alias("avg_tmpr"))
+    return popular(classify(with_stay_days(means)))
 
 
 def stream_over_six_files(files_per_trigger: int | None):

@@ -12,7 +12,7 @@ from stayscope.categories import STAY_CATEGORIES
 from stayscope.operators.bookings import distinct_bookings, project_bookings, with_stay_days
 from stayscope.operators.classify import classify
 from stayscope.operators.counts import category_counts
-from stayscope.operators.enrich import enrich, enrich_with_days
+from stayscope.operators.enrich import COPY_SALTS, enrich, enrich_with_days
 from stayscope.operators.popular import GRAINS, popular
 from stayscope.operators.weather import above_temperature, project_weather
 from stayscope.plans.batch import popular_stays, popular_stays_counting_first
@@ -23,7 +23,7 @@ from stayscope.plans.stream import (
     start_collapsing,
     static_days,
 )
-from stayscope.schemas import ENRICHED, PREFERENCES
+from stayscope.schemas import ENRICHED, POPULAR_BY_HOTEL, PREFERENCES
 from stayscope.session import settings, work_dir
 from stayscope.sources.files import read_table, read_table_stream, write_table
 from stayscope.sources.topics import (
@@ -41,6 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PARTITION_YEAR = 1996
 WARM = 20
+SLICES = 4
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -230,7 +231,8 @@ def _popular_stream(spark: SparkSession, sf_dir: str, grain: str, again=False) -
     bookings = fixtures.booking_stream(spark, sf_dir)
     if again:
         bookings = fixtures.sent_again(bookings)
-    result = popular_stays_stream(bookings, days, grain)
+    # with many copies of a booking, they are split before they are removed
+    result = popular_stays_stream(bookings, days, grain, copy_salts=COPY_SALTS if again else 0)
     _run(result, table, root, "update")
     return GRAINS[grain].visible(table.read(spark))
 
@@ -260,6 +262,43 @@ def stream_popular_collapsed(spark, sf_dir):
     return table.read(spark)
 
 
+def _popular_resumed(spark: SparkSession, sf_dir: str, label: str, **dedup) -> DataFrame:
+    """A stream that is stopped after the newer half of the check-in days has arrived.
+
+    The older half comes after it, each in several micro-batches, with copies everywhere.
+    """
+    root = work_dir(spark, label)
+    days = _days(spark, sf_dir, root)
+    table = ChangeTable(f"{root}/out", GRAINS["hotel"].keys)
+    bookings = fixtures.sent_again(fixtures.bookings(spark, sf_dir))
+    newer = F.col("srch_ci") >= str(PARTITION_YEAR)
+    for half in (newer, ~newer):
+        arrived = bookings.where(half).repartition(2, "hotel_id")
+        arrived.write.mode("append").parquet(f"{root}/in")
+        stream = read_table_stream(spark, f"{root}/in", bookings.schema, files_per_trigger=1)
+        _run(popular_stays_stream(stream, days, "hotel", **dedup), table, root, "update")
+    return table.read(spark)
+
+
+def stream_restart(spark, sf_dir):
+    return _popular_resumed(spark, sf_dir, "stream-restart")
+
+
+def stream_late_bookings(spark, sf_dir):
+    """With a bound on the memory of copies, no booking is too old to be counted."""
+    return _popular_resumed(spark, sf_dir, "stream-late", copies_within="1 day")
+
+
+def topic_complete(spark, sf_dir):
+    """The whole result as messages, sent anew by every micro-batch."""
+    root = work_dir(spark, "topic-complete")
+    days = _days(spark, sf_dir, root)
+    topic = SnapshotTable(f"{root}/out")
+    result = popular_stays_stream(fixtures.booking_stream(spark, sf_dir), days, "hotel")
+    _run(encode_json(result), topic, root, "complete")
+    return decode_json(topic.read(spark), POPULAR_BY_HOTEL)
+
+
 def stamped_snapshot(spark, sf_dir):
     root = work_dir(spark, "stamped-snapshot")
     days = _days(spark, sf_dir, root)
@@ -285,17 +324,42 @@ def stream_via_topic(spark, sf_dir):
     return GRAINS[grain].visible(table.read(spark))
 
 
+def _windows(events: DataFrame, root: str) -> None:
+    """Count events by the hour, as far as the windows are closed."""
+    timed = events.select(F.col("ts").cast("timestamp").alias("ts"))
+    counted = windowed_count(timed, "ts", "1 hour", "5 seconds")
+    out = counted.select(F.col("window.start").alias("start"), F.col("count").alias("n"))
+    _run(out, Target("parquet", f"{root}/out"), root, "append")
+
+
+def _closed_windows(spark: SparkSession, root: str) -> DataFrame:
+    written = read_table(spark, f"{root}/out")
+    return written.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
 def query_windowed_count(spark, sf_dir):
     """The events carry wall-clock times, which are read as UTC in any session."""
     root = work_dir(spark, "windowed-count")
     with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
-        events = fixtures.table_stream(spark, sf_dir, "events")
-        timed = events.select(F.col("ts").cast("timestamp").alias("ts"))
-        counted = windowed_count(timed, "ts", "1 hour", "5 seconds")
-        out = counted.select(F.col("window.start").alias("start"), F.col("count").alias("n"))
-        _run(out, Target("parquet", f"{root}/out"), root, "append")
-        written = read_table(spark, f"{root}/out")
-        return written.withColumn("start", F.col("start").cast("timestamp_ntz"))
+        _windows(fixtures.table_stream(spark, sf_dir, "events"), root)
+        return _closed_windows(spark, root)
+
+
+def windowed_count_resumed(spark, sf_dir):
+    """The same over events that arrive in slices of time, each a micro-batch of its own.
+
+    Slices are not in order within, but no event is older than the slice before it.
+    """
+    root = work_dir(spark, "windowed-count-resumed")
+    with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+        events = fixtures.table(spark, sf_dir, "events").select("ts")
+        second = F.unix_timestamp(F.col("ts").cast("timestamp"))
+        first, last = events.agg(F.min(second), F.max(second)).first()
+        slice_of = F.floor((second - F.lit(first)) * SLICES / F.lit((last or 0) - (first or 0) + 1))
+        for n in range(SLICES):
+            events.where(slice_of == n).write.mode("append").parquet(f"{root}/in")
+            _windows(read_table_stream(spark, f"{root}/in", events.schema), root)
+        return _closed_windows(spark, root)
 
 
 QUERIES: dict[str, Query] = {
@@ -330,7 +394,11 @@ QUERIES: dict[str, Query] = {
     "stream_popular_by_children_copies": stream_popular_by_children_copies,
     "stream_popular_by_hotel": stream_popular_by_hotel,
     "stream_popular_collapsed": stream_popular_collapsed,
+    "stream_restart": stream_restart,
+    "stream_late_bookings": stream_late_bookings,
     "stream_via_topic": stream_via_topic,
+    "topic_complete": topic_complete,
     "stamped_snapshot": stamped_snapshot,
     "windowed_count": query_windowed_count,
+    "windowed_count_resumed": windowed_count_resumed,
 }

@@ -154,7 +154,11 @@ SQL: dict[str, str] = {
     "stream_popular_by_children_copies": _sql(_CHILDREN_RESULT),
     "stream_popular_by_hotel": _sql(_HOTEL_RESULT),
     "stream_popular_collapsed": _sql(_HOTEL_RESULT),
+    "stream_restart": _sql(_HOTEL_RESULT),
+    "stream_late_bookings": _sql(_HOTEL_RESULT),
     "stream_via_topic": _sql(_CHILDREN_RESULT),
+    "topic_complete": _sql(_HOTEL_RESULT),
     "stamped_snapshot": _sql(_HOTEL_RESULT),
     "windowed_count": _WINDOWS,
+    "windowed_count_resumed": _WINDOWS,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayscope.functions.stay import stay_days
 
+# What makes two bookings the same.
 BOOKING_KEYS = ("order_id", "srch_ci", "srch_co", "srch_children_cnt", "hotel_id")
 
 

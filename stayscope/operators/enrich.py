@@ -13,7 +13,8 @@ from stayscope.operators.weather import MIN_TMPR, weather_means
 
 ENRICHED_KEYS = (*BOOKING_KEYS, "hotel_name")
 
-# Ways in which a stream splits the copies of one booking before it removes them.
+# Ways in which a protected stream splits the copies of one booking before it removes them,
+# or the bookings of one hotel-day; about the number of its cores is a good choice.
 COPY_SALTS = 8
 
 
@@ -33,15 +34,15 @@ def enrich_with_days(
     bookings: DataFrame,
     days: DataFrame,
     join_salts: int = 1,
-    copy_salts: int = COPY_SALTS,
+    copy_salts: int = 0,
     copies_within: str | None = None,
 ) -> DataFrame:
     """``enrich`` for weather that ``weather_means`` has already reduced.
 
     The other arguments are for streams, where AQE does not help. ``join_salts`` splits
     the bookings of a hotel-day over that many tasks of a sort-merge join, at the price
-    of as many copies of ``days``. ``copy_salts`` is for the removal of booking copies;
-    0 turns the splitting off, which halves the state. With ``copies_within``, a time like
+    of as many copies of ``days``. ``copy_salts`` splits the copies of a booking over that
+    many tasks before they are removed, at the price of twice the state; 0 leaves them in one. With ``copies_within``, a time like
     "1 day", a copy is only recognised if it arrives so soon after the first, and the
     state stays small. Arrival is the time of the micro-batch, so no booking is ever late,
     however old it is; the price is that a copy sent again after that time counts again.

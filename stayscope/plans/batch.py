@@ -1,8 +1,9 @@
 """From bookings and weather to the most popular stay per hotel, as one lazy plan.
 
 There are two orders of work with the same result. ``popular_stays`` joins first: every
-booking is shuffled once to meet the weather (not at all if the weather can be broadcast),
-and what has weather once more to remove copies. ``popular_stays_counting_first`` removes
+booking is shuffled once to meet the weather, and what has weather once more to remove
+copies. Weather that ``static_days`` has measured as small is broadcast without the first
+shuffle; if Spark measures it at run time, the shuffle has already been written. ``popular_stays_counting_first`` removes
 the copies first, counts per hotel-day, and joins the counts.
 
 Joining first is faster where few bookings have weather or where the weather is small;

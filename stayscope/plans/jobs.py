@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -18,14 +19,15 @@ from stayscope.plans.stream import (
     StaticDays,
     popular_stays_collapsed,
     popular_stays_stream,
+    preferences_stream,
     start_collapsing,
     static_days,
 )
-from stayscope.schemas import BOOKINGS, ENRICHED
-from stayscope.session import work_dir
+from stayscope.schemas import BOOKINGS, ENRICHED, WEATHER_MESSAGES
+from stayscope.session import settings, settings_for, stored_bytes, work_dir
 from stayscope.sources.files import read_table, read_table_stream, write_table
-from stayscope.sources.topics import read_json_topic, read_topic
-from stayscope.streaming.runner import BatchWriter, run_stream
+from stayscope.sources.topics import encode_json, read_json_topic, read_topic
+from stayscope.streaming.runner import BatchWriter, Target, run_stream
 from stayscope.streaming.sinks import ChangeTable, DocumentIndex
 
 
@@ -34,7 +36,11 @@ ORDERS = {"join_first": join_first, "count_first": count_first}
 
 @dataclass(frozen=True)
 class TopicConfig:
-    """A topic of JSON messages; without ``schema`` it is inferred from all of them."""
+    """A topic of JSON messages.
+
+    Weather has the fields of ``WEATHER_MESSAGES`` unless ``schema`` says otherwise; with
+    "infer" it is inferred from all messages, which reads the topic once more.
+    """
 
     fmt: str = "kafka"
     path: str | None = None
@@ -46,12 +52,19 @@ class TopicConfig:
 class JobConfig:
     """Where the jobs read and write.
 
-    ``order`` is that of the batch, "join_first" or "count_first".
+    ``order`` is that of the batch, "join_first" or "count_first". ``input_bytes`` sizes the
+    session's shuffles; left out, it is the size of the files of the bookings.
 
     The stream writes a change table at ``stream_output``, or, if ``index_format`` names
     a deployed connector, documents to that index. With ``stage``, a folder, it runs as
-    two queries, the first of which collapses copies into that folder. Passwords and the
-    like belong into ``index_options`` and ``weather.options`` of the caller, not into code.
+    two queries, the first of which collapses copies into that folder. ``preferences`` is a
+    topic that gets every classified booking as a message, from a query of its own.
+
+    ``days_path`` keeps the weather that a stream reads again at every trigger, so it must
+    last; each start adds a version. ``state_partitions`` stay as they are for as long as a
+    checkpoint does. ``copies_within``, ``copy_salts`` and ``join_salts`` are explained at
+    ``enrich_with_days``, ``trigger`` is the time between micro-batches. Passwords and the
+    like belong into the options that the caller adds, not into code.
     """
 
     weather: TopicConfig
@@ -64,8 +77,18 @@ class JobConfig:
     grain: str = "hotel_children"
     min_tmpr: float = MIN_TMPR
     files_per_trigger: int | None = None
-    order: str | None = None
-    copy_salts: int = COPY_SALTS
+    bytes_per_trigger: int | None = None
+    bookings_options: Mapping[str, str] = field(default_factory=dict)
+    trigger: str | None = None
+    state_partitions: int | None = None
+    copies_within: str | None = None
+    copy_salts: int = 0
+    join_salts: int = COPY_SALTS
+    order: str = "join_first"
+    input_bytes: int | None = None
+    days_path: str | None = None
+    preferences: TopicConfig | None = None
+    preferences_checkpoint: str | None = None
     stage: str | None = None
     stage_checkpoint: str | None = None
     index_format: str | None = None
@@ -75,26 +98,35 @@ class JobConfig:
     def load(cls, path: str) -> JobConfig:
         with open(path, encoding="utf-8") as file:
             values = json.load(file)
-        return cls(**{**values, "weather": TopicConfig(**values["weather"])})
+        topics = {
+            name: TopicConfig(**values[name]) for name in ("weather", "preferences") if name in values
+        }
+        return cls(**{**values, **topics})
+
+
+def job_settings(spark: SparkSession, config: JobConfig) -> dict[str, str]:
+    """``settings_for`` the bookings of the batch."""
+    size = config.input_bytes or stored_bytes(spark, config.batch_bookings)
+    return settings_for(size, spark.sparkContext.defaultParallelism)
 
 
 def hotel_days(spark: SparkSession, config: JobConfig) -> StaticDays:
     """The weather topic, read once for both jobs."""
     topic = config.weather
     messages = read_topic(spark, topic.options, topic.fmt, topic.path)
-    weather = read_json_topic(messages, topic.schema)
-    return static_days(weather, work_dir(spark, "days"), config.min_tmpr)
+    schema = None if topic.schema == "infer" else topic.schema or WEATHER_MESSAGES
+    weather = read_json_topic(messages, schema)
+    path = f"{config.days_path}/version-{uuid.uuid4().hex}" if config.days_path else None
+    path = path or work_dir(spark, "days")
+    return static_days(weather, path, config.min_tmpr, salts=config.join_salts)
 
 
 def batch_result(spark: SparkSession, config: JobConfig, days: StaticDays) -> DataFrame:
-    """The result per hotel, in the configured order of work.
-
-    Left to itself it joins first if that costs no shuffle, else counts first: a weather
-    feed is taken to cover most of the days that have bookings.
-    """
-    bookings = read_table(spark, config.batch_bookings, config.bookings_format)
-    order = config.order or ("join_first" if days.is_broadcast else "count_first")
-    return ORDERS[order](bookings, days.frame)
+    """The result per hotel, in the configured order of work."""
+    bookings = read_table(
+        spark, config.batch_bookings, config.bookings_format, options=config.bookings_options
+    )
+    return ORDERS[config.order](bookings, days.frame)
 
 
 def run_batch(spark: SparkSession, config: JobConfig, days: StaticDays) -> None:
@@ -111,12 +143,31 @@ def stream_sink(config: JobConfig) -> BatchWriter:
     )
 
 
+def trigger_options(config: JobConfig) -> dict[str, str]:
+    """What bounds a micro-batch in bytes."""
+    return {"maxBytesPerTrigger": str(config.bytes_per_trigger)} if config.bytes_per_trigger else {}
+
+
+def trigger_of(config: JobConfig) -> dict[str, object] | None:
+    return {"processingTime": config.trigger} if config.trigger else None
+
+
 def bookings_stream(spark: SparkSession, config: JobConfig) -> DataFrame:
+    options = {**trigger_options(config), **config.bookings_options}
     return read_table_stream(
-        spark, config.stream_bookings, BOOKINGS, config.bookings_format, config.files_per_trigger
+        spark,
+        config.stream_bookings,
+        BOOKINGS,
+        config.bookings_format,
+        config.files_per_trigger,
+        options,
     )
 
 
+def removal_of_copies(config: JobConfig) -> dict[str, object]:
+    return {"copy_salts": config.copy_salts, "copies_within": config.copies_within}
+
+
 def start_stage(
     spark: SparkSession,
     config: JobConfig,
@@ -125,9 +176,28 @@ def start_stage(
 ) -> StreamingQuery:
     """The first of two queries, for a configuration with a ``stage``."""
     bookings = bookings_stream(spark, config)
+    trigger = trigger or trigger_of(config)
     return start_collapsing(bookings, days, config.stage, config.stage_checkpoint, trigger)
 
 
+def start_preferences(
+    spark: SparkSession,
+    config: JobConfig,
+    days: StaticDays,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Every classified booking as a message of the topic ``preferences``."""
+    topic = config.preferences
+    found = preferences_stream(bookings_stream(spark, config), days, **removal_of_copies(config))
+    return run_stream(
+        encode_json(found),
+        Target(topic.fmt, topic.path, topic.options),
+        config.preferences_checkpoint,
+        trigger=trigger or trigger_of(config),
+        partitions=config.state_partitions,
+    )
+
+
 def start_stream(
     spark: SparkSession,
     config: JobConfig,
@@ -140,14 +210,24 @@ def start_stream(
     """
     if config.stage is None:
         bookings = bookings_stream(spark, config)
-        result = popular_stays_stream(
-            bookings, days, config.grain, copy_salts=config.copy_salts
-        )
+        result = popular_stays_stream(bookings, days, config.grain, **removal_of_copies(config))
     else:
-        result = popular_stays_collapsed(
-            read_table_stream(spark, config.stage, ENRICHED), config.grain
+        enriched = read_table_stream(
+            spark,
+            config.stage,
+            ENRICHED,
+            files_per_trigger=config.files_per_trigger,
+            options=trigger_options(config),
         )
-    return run_stream(result, stream_sink(config), config.stream_checkpoint, "update", trigger)
+        result = popular_stays_collapsed(enriched, config.grain)
+    return run_stream(
+        result,
+        stream_sink(config),
+        config.stream_checkpoint,
+        "update",
+        trigger or trigger_of(config),
+        partitions=config.state_partitions,
+    )
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -157,15 +237,20 @@ def main(arguments: list[str] | None = None) -> None:
     parsed = parser.parse_args(arguments)
 
     config = JobConfig.load(parsed.config)
+    if parsed.mode != "batch" and not config.days_path:
+        raise ValueError("a stream needs days_path, a folder that lasts as long as it runs")
     spark = SparkSession.builder.appName("stayscope").getOrCreate()
-    days = hotel_days(spark, config)
-    if parsed.mode != "stream":
-        run_batch(spark, config, days)
-    if parsed.mode != "batch":
-        if config.stage is not None:
-            start_stage(spark, config, days)
-        start_stream(spark, config, days)
-        spark.streams.awaitAnyTermination()
+    with settings(spark, job_settings(spark, config)):
+        days = hotel_days(spark, config)
+        if parsed.mode != "stream":
+            run_batch(spark, config, days)
+        if parsed.mode != "batch":
+            if config.stage is not None:
+                start_stage(spark, config, days)
+            if config.preferences is not None:
+                start_preferences(spark, config, days)
+            start_stream(spark, config, days)
+            spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

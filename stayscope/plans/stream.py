@@ -16,7 +16,7 @@ from stayscope.operators.enrich import COPY_SALTS, drop_copies, enrich_with_days
 from stayscope.operators.popular import popular
 from stayscope.operators.weather import MIN_TMPR, weather_means
 from stayscope.schemas import ENRICHED
-from stayscope.session import MIB, materialize
+from stayscope.session import MIB, file_system, materialize
 from stayscope.streaming.runner import run_stream
 
 MAX_BROADCAST = 64 * MIB
@@ -29,10 +29,6 @@ class StaticDays:
     frame: DataFrame
     join_salts: int
 
-    @property
-    def is_broadcast(self) -> bool:
-        return self.join_salts == 1
-
 
 def static_days(
     weather: DataFrame,
@@ -94,7 +90,10 @@ def start_collapsing(
         enrich_with_days(batch, days.frame).write.mode("append").parquet(path)
 
     # so that the second query finds the folder, however early it starts
-    bookings.sparkSession.createDataFrame([], ENRICHED).write.mode("append").parquet(path)
+    spark = bookings.sparkSession
+    system, folder = file_system(spark, path)
+    if not system.exists(folder):
+        spark.createDataFrame([], ENRICHED).write.mode("append").parquet(path)
     return run_stream(project_bookings(bookings), write, checkpoint, "append", trigger)
 
 

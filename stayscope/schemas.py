@@ -53,6 +53,7 @@ WEATHER_MESSAGES = record(
     Geohash="string",
 )
 
+# Columns of an enriched booking.
 ENRICHED = record(
     order_id="long",
     srch_ci="string",
@@ -75,6 +76,7 @@ PREFERENCES = record(
     initial_state_value="string",
 )
 
+# Names of the counters, and columns of the two results.
 _COUNTERS = dict.fromkeys(
     [
         "erroneous_data_cnt",

@@ -36,6 +36,20 @@ def materialize(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and the path in full."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, system.makeQualified(target)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``, which may be a pattern of folders."""
+    system, target = file_system(spark, path)
+    found = system.globStatus(target) or []
+    return sum(system.getContentSummary(status.getPath()).getLength() for status in found)
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
     """Apply runtime settings for the duration of a block."""

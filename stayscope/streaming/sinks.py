@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import uuid
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayscope.session import settings
+from stayscope.session import file_system, settings
 
 
 def stamped(frame: DataFrame) -> DataFrame:
@@ -16,25 +18,81 @@ def stamped(frame: DataFrame) -> DataFrame:
     return frame.withColumn("timestamp", F.current_timestamp())
 
 
-def _replace(batch: DataFrame, path: str) -> None:
-    """Write a batch in files of a fair size.
+@dataclass(frozen=True)
+class Versions:
+    """Folders below ``path``/data, and one small file that names those to be read.
 
-    It comes in as many parts as there are state partitions, most of them tiny. Stateful
-    queries turn AQE off; writing their result may use it.
+    Every batch is written to a folder of its own. It counts once the file names it, and
+    the file is replaced as a whole, by a rename, after the folder is complete. So a reader
+    sees a batch whole or not at all, also after a crash, and no one lists old folders.
     """
-    with settings(batch.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
-        batch.hint("rebalance").write.mode("overwrite").parquet(path)
+
+    path: str
+
+    def folder(self, name: str) -> str:
+        return f"{self.path}/data/{name}"
+
+    def write(self, batch: DataFrame) -> str:
+        """Write a batch in files of a fair size; returns its folder.
+
+        It comes in as many parts as there are state partitions, most of them tiny. Stateful
+        queries turn AQE off; writing their result may use it.
+        """
+        name = f"v-{uuid.uuid4().hex}"
+        with settings(batch.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+            batch.hint("rebalance").write.parquet(self.folder(name))
+        return name
+
+    def current(self, spark: SparkSession) -> dict[int, str]:
+        """Folders by number of batch, in order."""
+        system, file = file_system(spark, f"{self.path}/current.json")
+        if not system.exists(file):
+            return {}
+        stream = system.open(file)
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return {int(batch_id): name for batch_id, name in json.loads(text).items()}
+
+    def publish(self, spark: SparkSession, folders: Mapping[int, str]) -> None:
+        system, file = file_system(spark, f"{self.path}/current.json")
+        _, fresh = file_system(spark, f"{self.path}/next-{uuid.uuid4().hex}.json")
+        stream = system.create(fresh)
+        stream.write(json.dumps(folders).encode())
+        stream.close()
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        rename = getattr(hadoop, "Options$Rename")
+        options = spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        configuration = spark._jsc.hadoopConfiguration()
+        hadoop.FileContext.getFileContext(file.toUri(), configuration).rename(fresh, file, options)
+
+    def clean(self, spark: SparkSession, keep: Collection[str]) -> None:
+        """Delete all other folders, among them those that a failed batch left."""
+        system, root = file_system(spark, f"{self.path}/data")
+        for status in system.listStatus(root):
+            if status.getPath().getName() not in keep:
+                system.delete(status.getPath(), True)
+
+    def read(self, spark: SparkSession, folders: Mapping[int, str] | None = None) -> DataFrame:
+        folders = folders or self.current(spark)
+        if not folders:
+            raise FileNotFoundError(f"no batch has been published at {self.path}")
+        return spark.read.parquet(*map(self.folder, folders.values()))
 
 
 @dataclass(frozen=True)
 class ChangeTable:
     """A Parquet table of the rows that changed, for queries in update mode.
 
-    Every batch replaces its own folder, so a batch that is run again after a failure
-    leaves nothing twice. Reading takes the latest row per key.
+    A batch that is run again after a failure takes the place of its first run. Batch 0,
+    with which every new checkpoint begins, starts the table anew. Reading takes the latest
+    row per key.
 
-    Every ``merge_every``-th folder holds the latest row of all keys, not just of the
-    changed ones; readers start at the last such folder, and older ones may be deleted.
+    Every ``merge_every``-th batch writes the latest row of all keys, not just of the
+    changed ones, and readers need no older folder from then on. What it replaces is
+    deleted at the merge after it, so a reader has that long to finish.
     """
 
     path: str
@@ -42,19 +100,27 @@ class ChangeTable:
     merge_every: int = 100
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id > 0 and batch_id % self.merge_every == 0:
-            stored = self._since_merge(batch.sparkSession, batch_id - 1)
-            numbered = batch.withColumn("batch_id", F.lit(batch_id))
-            batch = self._latest(stored.unionByName(numbered))
-        _replace(batch, f"{self.path}/batch_id={batch_id}")
+        spark, versions = batch.sparkSession, Versions(self.path)
+        shown = versions.current(spark)
+        earlier = {n: name for n, name in shown.items() if n <= batch_id} if batch_id else {}
+        if batch_id and shown and not earlier:
+            raise ValueError(f"batch {batch_id} lies before the last merge of {self.path}")
+        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        merges = batch_id % self.merge_every == 0
+        if merges and earlier:
+            # run again, a merge finds its own first result, which is older than the batch
+            number = F.least("batch_id", F.lit(batch_id - 1).cast("bigint"))
+            stored = versions.read(spark, earlier).withColumn("batch_id", number)
+            latest = self._latest(stored.unionByName(numbered))
+            numbered = latest.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        kept = {} if merges else earlier
+        folders = {**kept, batch_id: versions.write(numbered)}
+        versions.publish(spark, folders)
+        if merges:
+            versions.clean(spark, {*shown.values(), *folders.values()})
 
     def read(self, spark: SparkSession) -> DataFrame:
-        newest = spark.read.parquet(self.path).agg(F.max("batch_id")).first()[0]
-        return self._latest(self._since_merge(spark, newest or 0))
-
-    def _since_merge(self, spark: SparkSession, newest: int) -> DataFrame:
-        first = newest - newest % self.merge_every
-        return spark.read.parquet(self.path).where(F.col("batch_id").between(first, newest))
+        return self._latest(Versions(self.path).read(spark))
 
     def _latest(self, changes: DataFrame) -> DataFrame:
         columns = [c for c in changes.columns if c not in (*self.keys, "batch_id")]
@@ -68,20 +134,20 @@ class ChangeTable:
 class SnapshotTable:
     """A Parquet table of the whole result, for queries in complete mode.
 
-    Batches write two folders in turn, so the last complete snapshot stays readable
-    while the next one is being written.
+    The snapshot before stays until the next one is published, for those who still read it.
     """
 
     path: str
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        _replace(numbered, f"{self.path}/slot={batch_id % 2}")
+        spark, versions = batch.sparkSession, Versions(self.path)
+        shown = versions.current(spark)
+        folders = {batch_id: versions.write(batch)}
+        versions.publish(spark, folders)
+        versions.clean(spark, {*shown.values(), *folders.values()})
 
     def read(self, spark: SparkSession) -> DataFrame:
-        slots = spark.read.parquet(self.path)
-        newest = slots.agg(F.max("batch_id")).scalar()
-        return slots.where(F.col("batch_id") == newest).drop("batch_id", "slot")
+        return Versions(self.path).read(spark)
 
 
 @dataclass(frozen=True)

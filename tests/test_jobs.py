@@ -5,20 +5,24 @@ import pytest
 from helpers import plan_of, same
 from pyspark.sql import functions as F
 
-from stayscope import fixtures, popular_stays, weather_means
+from stayscope import classify, enrich, fixtures, popular_stays, weather_means
+from stayscope.plans import jobs
 from stayscope.plans.jobs import (
     JobConfig,
     batch_result,
     hotel_days,
+    job_settings,
     main,
     run_batch,
+    start_preferences,
     start_stage,
     start_stream,
     stream_sink,
 )
 from stayscope.plans.stream import StaticDays
-from stayscope.schemas import BOOKINGS
-from stayscope.sources.topics import encode_json, kafka_options
+from stayscope.schemas import BOOKINGS, PREFERENCES
+from stayscope.session import stored_bytes
+from stayscope.sources.topics import decode_json, encode_json, kafka_options
 from stayscope.streaming.runner import AVAILABLE_NOW, run_out
 from stayscope.streaming.sinks import ChangeTable, DocumentIndex
 
@@ -46,6 +50,8 @@ def world(spark, sf_dir, tmp_path_factory):
         "stream_checkpoint": f"{root}/out/checkpoint",
         "bookings_format": "parquet",
         "files_per_trigger": 1,
+        "state_partitions": 3,
+        "days_path": f"{root}/days",
     }
     (root / "job.json").write_text(json.dumps(values))
     return root, JobConfig.load(str(root / "job.json"))
@@ -65,6 +71,8 @@ def test_both_jobs_on_one_reading_of_the_topic(spark, sf_dir, world):
     run_out(start_stream(spark, config, days, AVAILABLE_NOW))
     table = stream_sink(config)
     assert isinstance(table, ChangeTable)
+    state = Path(config.stream_checkpoint) / "state" / "0"
+    assert len(list(state.glob("[0-9]*"))) == config.state_partitions
     shown = table.read(spark).drop("children_cnt")
     assert len(shown.columns) == 9
     expected = popular_stays(spark.read.parquet(config.stream_bookings), weather, "hotel_children")
@@ -91,7 +99,7 @@ def test_stream_in_two_queries(spark, sf_dir, world):
     same(shown, popular_stays(bookings, weather, "hotel_children"))
 
 
-@pytest.mark.parametrize("order", [None, "join_first", "count_first"])
+@pytest.mark.parametrize("order", ["join_first", "count_first"])
 @pytest.mark.parametrize("salts", [1, 8])
 def test_order_of_work(spark, sf_dir, world, order, salts):
     config = JobConfig(**{**world[1].__dict__, "order": order})
@@ -100,21 +108,59 @@ def test_order_of_work(spark, sf_dir, world, order, salts):
     same(result, popular_stays(spark.read.parquet(config.batch_bookings), weather))
     # only counting first groups by the day alone
     counts_first = "keys=[hotel_id" in plan_of(result, "simple")
-    assert counts_first == ((order or ("join_first" if salts == 1 else "count_first"))
-                            == "count_first")
+    assert counts_first == (order == "count_first")
 
 
-def test_command_line(spark, sf_dir, world, tmp_path):
+def test_command_line(spark, sf_dir, world, tmp_path, monkeypatch):
     values = json.loads((world[0] / "job.json").read_text())
     values["batch_output"] = str(tmp_path / "from-command-line")
+    values["input_bytes"] = 40 * 64 * 1024 * 1024
     (tmp_path / "job.json").write_text(json.dumps(values))
+    used = {}
+
+    def run(session, config, days):
+        used.update({key: session.conf.get(key) for key in job_settings(session, config)})
+        run_batch(session, config, days)
+
+    monkeypatch.setattr(jobs, "run_batch", run)
     main([str(tmp_path / "job.json"), "--mode", "batch"])
+    assert used["spark.sql.shuffle.partitions"] == "10"
+    assert used["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     expected = popular_stays(
         spark.read.parquet(values["batch_bookings"]), fixtures.weather(spark, sf_dir)
     )
     same(spark.read.parquet(values["batch_output"]), expected)
 
 
+def test_settings_follow_the_size_of_the_files(spark, world):
+    size = sum(f.stat().st_size for f in Path(world[1].batch_bookings).rglob("*.parquet"))
+    assert size <= stored_bytes(spark, world[1].batch_bookings) < size + 10_000
+    assert stored_bytes(spark, f"{world[0]}/bookings/year=*") > size
+    assert stored_bytes(spark, f"{world[0]}/nothing") == 0
+
+
+def test_a_stream_needs_weather_that_lasts(world, tmp_path):
+    values = json.loads((world[0] / "job.json").read_text())
+    del values["days_path"]
+    (tmp_path / "job.json").write_text(json.dumps(values))
+    with pytest.raises(ValueError, match="days_path"):
+        main([str(tmp_path / "job.json"), "--mode", "stream"])
+
+
+def test_preferences_go_to_a_topic(spark, sf_dir, world, tmp_path):
+    values = json.loads((world[0] / "job.json").read_text())
+    values["preferences"] = {"fmt": "text", "path": str(tmp_path / "topic")}
+    values["preferences_checkpoint"] = str(tmp_path / "checkpoint")
+    values["weather"]["schema"] = "infer"
+    (tmp_path / "job.json").write_text(json.dumps(values))
+    config = JobConfig.load(str(tmp_path / "job.json"))
+    run_out(start_preferences(spark, config, hotel_days(spark, config), AVAILABLE_NOW))
+    received = decode_json(spark.read.text(str(tmp_path / "topic")), PREFERENCES)
+    bookings = spark.read.parquet(config.stream_bookings)
+    same(received, classify(enrich(bookings, fixtures.weather(spark, sf_dir))))
+
+
 def test_example_configuration():
     config = JobConfig.load(str(Path(__file__).parent.parent / "examples" / "job.json"))
     assert config.weather.fmt == "kafka"

@@ -64,7 +64,7 @@ def test_stream_equals_batch(spark, inputs, days, tmp_path, grain, files_per_tri
     stream = stream_of(spark, inputs, files_per_trigger)
     result = run_popular(spark, stream, days, grain, tmp_path)
     same(result, popular_stays(inputs[1], inputs[2], grain))
-    for folder in (tmp_path / "out").glob("batch_id=*"):
+    for folder in (tmp_path / "out" / "data").iterdir():
         assert len(list(folder.glob("*.parquet"))) == 1
 
 
