@@ -124,7 +124,17 @@ def _word_ids(path: str) -> WordIds:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     coder = _word_ids(path)
-    gc.disable()  # the remembered ids are many small lists without cycles, which it would walk again and again
+    gc.disable()  # what is remembered has no cycles, and it would be walked again and again
+    try:
+        yield from _cut(batches, coder, capacity, with_ids)
+    finally:
+        # the worker goes on to other tasks, which need the collector and the buffers' memory
+        gc.enable()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def _cut(batches: Iterator[pa.RecordBatch], coder: WordIds, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [x or b"" for x in text_bytes(batch)]
         step = 256
