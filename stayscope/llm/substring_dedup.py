@@ -353,9 +353,10 @@ def _repeats(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     named = fresh(keyed.mapInArrow(_found_anchors, "doc_id long, k long, anchor long, whole long, times int"))
     own, wholes = named.filter("whole is null"), named.filter("whole is not null")
 
-    equal = wholes.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "k")).alias("first"))
+    # Written down, so that the join shuffles anew and a large group of copies can be split.
+    equal = fresh(wholes.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "k")).alias("first")).filter("n > 1"))
     copies = fresh(
-        wholes.join(equal.filter("n > 1"), ["anchor", "whole"]).select("doc_id", "k", (F.struct("doc_id", "k") != F.col("first")).alias("later"))
+        wholes.join(equal, ["anchor", "whole"]).select("doc_id", "k", (F.struct("doc_id", "k") != F.col("first")).alias("later"))
     )
     shares = F.ceil(F.col("n") / FREQUENT).cast("int").alias("shares")
     counted = own.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor", shares)
