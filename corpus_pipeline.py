@@ -27,7 +27,7 @@ def without_copied_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(docs)
+    return near_dedup.near_dedup(docs, one_each=True)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

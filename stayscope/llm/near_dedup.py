@@ -20,8 +20,9 @@ is compared in blocks of bounded size, inside tasks that return links only.
 Definitions. Null and blank texts have an empty set and are linked with nothing. A null
 doc_id is a document like any other, but is never the least of its component unless
 nothing else is there. Repeated rows are separate documents with equal sets. Of a
-component of rows with one and the same doc_id all are kept. Columns of the input other
-than doc_id and text are not read.
+component of rows with one and the same doc_id all are kept, unless one row of each
+component is asked for (``near_dedup``). Columns of the input other than doc_id and text
+are not read.
 """
 
 from __future__ import annotations
@@ -188,6 +189,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, k, n_shingles, component_id, kept: one row for each row of ``docs`` (doc_id, text)."""
+    return _result(*_linked(docs))
+
+
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, k, node, n, bands) of each row, and (node, label) for the nodes that have links."""
     spark = docs.sparkSession
     fresh = lambda frame: materialize(frame, work_dir(spark, "near"))
     keyed = _keyed(docs)
@@ -199,8 +205,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = named.groupBy("node").agg(F.min(F.struct("doc_id", "k")).alias("first"), F.max("n").alias("n"), F.min("bands").alias("bands"))
     classes = fresh(first.join(members.select("node").distinct(), "node"))
     members = fresh(members.join(classes.select("node", "n"), "node"))
-    links = _linked_nodes(keyed, classes, members, fresh)
-    return _result(about, links)
+    return about, _linked_nodes(keyed, classes, members, fresh)
 
 
 def _linked_nodes(keyed: DataFrame, classes: DataFrame, members: DataFrame, fresh) -> DataFrame:
@@ -267,13 +272,25 @@ def _result(about: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def _leaders(about: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, k): the least row of each component, null doc_ids last. Rows without words have no other component than themselves."""
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k")
+    nodes = about.filter("node is not null").groupBy("node").agg(F.min(place).alias("least"))
+    labelled = nodes.join(links, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = labelled.groupBy("label").agg(F.min("least").alias("least")).select("least.doc_id", "least.k")
+    return least.unionByName(about.filter("node is null").select("doc_id", "k").distinct())
+
+
+def near_dedup(docs: DataFrame, one_each: bool = False) -> DataFrame:
     """``docs`` without the documents that are near copies of one with a smaller doc_id.
 
-    Rows that repeat both doc_id and text stay or go together.
+    Rows that repeat both doc_id and text stay or go together. With ``one_each`` exactly one
+    row of each component stays, also where its ids are equal or null: of the rows with the
+    least doc_id one with the least hash of id and text, and one of its repeated rows.
     """
-    found = near_duplicates(docs)
-    kept = found.filter("kept").groupBy("doc_id", "k").agg(F.max("n_shingles").alias("n_shingles"))
-    own = docs.withColumn("__k", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    same = own["doc_id"].cast("long").eqNullSafe(kept["doc_id"]) & (own["__k"] == kept["k"])
-    return own.join(kept, same, "left_semi").drop("__k")
+    about, links = _linked(docs)
+    kept = _leaders(about, links) if one_each else _result(about, links).filter("kept").select("doc_id", "k").distinct()
+    key = [F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("__k")]
+    own = docs.select("*", *key)
+    left = own.join(kept, own["__id"].eqNullSafe(kept["doc_id"]) & (own["__k"] == kept["k"]), "left_semi")
+    return (left.dropDuplicates(["__id", "__k"]) if one_each else left).drop("__id", "__k")

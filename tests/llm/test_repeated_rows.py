@@ -1,0 +1,35 @@
+"""Rows that are in the table several times, through the stages that remove copies."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import corpus_pipeline
+from stayscope.llm import near_dedup
+
+COPIES = [stage for name, stage in corpus_pipeline.STAGES if "dedup" in name]
+
+
+def text(prefix, n=60):
+    return " ".join(f"{prefix}{i}" for i in range(n))
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = [(1, text("a")), (1, text("a")), (1, text("a")), (None, text("b")), (None, text("b")), (None, text("b") + " end"), (2, text("c")), (2, text("c") + " end")]
+    rows += [(3, text("d")), (None, text("d")), (None, None), (None, None), (4, ""), (4, ""), (5, ""), (6, text("e"))]
+    frame = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(4)
+    left = near_dedup.near_dedup(frame, one_each=True)
+    assert left.dtypes == frame.dtypes
+    found = Counter((r["doc_id"], (r["text"] or "")[:2]) for r in left.collect())
+    assert found == {(1, "a0"): 1, (None, "b0"): 1, (2, "c0"): 1, (3, "d0"): 1, (None, ""): 1, (4, ""): 1, (5, ""): 1, (6, "e0"): 1}
+    assert near_dedup.near_dedup(frame.limit(0), one_each=True).collect() == []
+
+
+def test_repeated_rows_stay_once_through_the_stages(spark, sf_dir):
+    rows = [(1, text("a"))] * 3 + [(None, text("b"))] * 2 + [(2, text("c")), (7, text("c"))] + [(None, text("d")), (None, text("d") + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for stage in COPIES:
+        docs = corpus_pipeline.materialize(stage(spark, docs, sf_dir), corpus_pipeline.work_dir(spark, "test"))
+    left = docs.collect()
+    assert Counter((r["text"] or "")[:2] for r in left) == {"a0": 1, "b0": 1, "c0": 1, "d0": 1}
+    assert all(len(r["text"].split()) >= 60 for r in left)
