@@ -98,7 +98,8 @@ def remove_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     text = F.col("text").cast("string")
     k = F.xxhash64("doc_id", text)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), k.alias("k"))
-    each = keyed.select("doc_id", "k", F.posexplode(_lines("text")).alias("i", "line"))
+    once = keyed.dropDuplicates(["doc_id", "k"])  # else the places of repeated rows would pair all with all
+    each = once.select("doc_id", "k", F.posexplode(_lines("text")).alias("i", "line"))
     lines = _stored(each.select(*PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")))
     spans = _spans(later_copies(lines, min_lines))
     whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), k.alias("k"))
