@@ -12,7 +12,10 @@ Definitions. Null, empty and markup-free pages: markup-free text is one block of
 which is judged like any other. A block is the text between two boundaries of block elements; ``br``
 is white space. All white space inside a block becomes one space. Scripts, styles, comments,
 form controls and the head are dropped when the page is read. Tags that are never closed end
-with their parent. Nothing is cut off. Repeated pages are handled one by one.
+with their parent. Of the dropped elements, scripts, styles, textareas and titles that are never
+closed go on to the end of the page; others end with the block that they are in or where the next
+one begins. The head ends at the first text or element that cannot be in it. Nothing is cut off.
+Repeated pages are handled one by one.
 """
 
 from __future__ import annotations
@@ -39,12 +42,18 @@ LEAST_CHANGE = 0.02
 #: What is added to the count of each feature.
 SMOOTHING = 0.1
 
-_DROPPED = "script|style|template|noscript|textarea|select|button|svg|iframe|object|title"
+#: Elements whose content is text up to their end tag, or to the end of the page.
+_RAW = {name: re.compile(rf"</{name}(?=[\t\n\f\r />])[^>]*(?:>|\Z)", re.I) for name in ("script", "style", "textarea", "title")}
+#: Elements that are dropped with their content.
+_DROPPED = frozenset("template noscript select button svg iframe object".split())
+#: Elements that may be in the head; others end it.
+_IN_HEAD = frozenset("head base basefont bgsound link meta noframes noscript template".split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_DROPPED})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""",
-    re.S | re.I,
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\t\n\f\r />]*+)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<(/?)([a-zA-Z][^\t\n\f\r />]*+)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""",
+    re.S,
 )
+#: A slash at the end of a tag that is part of an attribute's value.
+_SLASH_OF_VALUE = re.compile(r"""=\s*[^\s"'>]*/\Z""")
 _HINTS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
 #: Elements that begin and end blocks of text (fixed values of HTML), and the labels of layouts.
@@ -61,6 +70,55 @@ _INLINE_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 _MARKED, _OUTSIDE = frozenset({"article", "main"}), frozenset("nav aside footer form".split())
 
 
+def _tokens(source: str) -> tuple[list[tuple], dict[int, int]]:
+    """Tags and what is dropped whole: (begin, end, name or None, closing, attributes); and where dropped elements are closed.
+
+    Blocks and dropped elements are tracked as they open; those that are still open when an
+    element around them is closed were never closed themselves.
+    """
+    tokens: list[tuple] = []
+    closed: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    open_: Counter = Counter()
+
+    def ended(name: str) -> int:
+        """The token that opened the innermost ``name``, which ends with all in it."""
+        last = None
+        while last != name:
+            last, token = stack.pop()
+            open_[last] -= 1
+        return token
+
+    m = _TOKEN.search(source)
+    while m:
+        end, name = m.end(), m[2] or m[5]
+        if name is None:
+            tokens.append((m.start(), end, None, False, ""))
+            m = _TOKEN.search(source, end)
+            continue
+        name, closing, attributes = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
+        foreign = open_["svg"] and next(x for x, _ in reversed(stack) if x in ("svg", "foreignobject")) == "svg"
+        if foreign and not closing and name in BLOCKS:  # a page's own elements end a drawing
+            ended("svg")
+            foreign = False
+        if name in _RAW and not closing and not foreign:
+            last = _RAW[name].search(source, end)
+            end, name = last.end() if last else len(source), None
+        elif closing:
+            if open_[name] > 0:
+                token = ended(name)
+                if name in _DROPPED:
+                    closed[token] = len(tokens)
+        elif name == "svg" and attributes.endswith("/") and not _SLASH_OF_VALUE.search(attributes):
+            name = None  # an empty drawing
+        elif name in BLOCKS or name in _DROPPED or (foreign and name == "foreignobject"):
+            stack.append((name, len(tokens)))
+            open_[name] += 1
+        tokens.append((m.start(), end, name, closing, attributes))
+        m = _TOKEN.search(source, end)
+    return tokens, closed
+
+
 class Page:
     """The block elements of a page in order, each after its parent, and its blocks of text."""
 
@@ -70,18 +128,35 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         self._pieces: list[str] = []
         stack, links, at, head = [(0, "html")], 0, 0, False
-        for m in _TOKEN.finditer(source):
-            if m.start() > at and not head:
-                self._text(stack[-1][0], source[at : m.start()], links)
-            at = m.end()
-            name = m[3] or m[6]
+        tokens, closed = _tokens(source)
+        dropped, t = None, 0  # an element never closed, with which text is dropped; the next token
+        while t < len(tokens):
+            begin, end, name, closing, attributes = tokens[t]
+            if begin > at and not dropped:
+                head = head and source[at:begin].isspace()
+                if not head:
+                    self._text(stack[-1][0], source[at:begin], links)
+            at, t = end, t + 1
             if name is None:
                 continue
-            name, closing = name.lower(), bool(m[2] or m[5])
-            if name == "head" or (head and name == "body"):
-                head = name == "head" and not closing
-                if name == "head":
-                    continue
+            if name == "head":
+                head, dropped = not closing, None
+                continue
+            if head and not closing and name not in _IN_HEAD and name != "html":
+                head = False
+            if name in BLOCKS:
+                dropped = None
+            elif name in _DROPPED:
+                if not closing:
+                    dropped = None if dropped == name else dropped
+                    if t - 1 in closed:
+                        t = closed[t - 1] + 1
+                        at = tokens[t - 1][1]
+                    else:
+                        dropped = name
+                continue
+            elif dropped:
+                continue
             if name == "a":
                 links = 0 if closing else 1
             elif name == "br":
@@ -107,12 +182,12 @@ class Page:
                 continue
             self.parent.append(stack[-1][0])
             self.tag.append(name)
-            found = _HINTS.findall(m[4] or m[7] or "")
+            found = _HINTS.findall(attributes)
             self.hints.append(tuple({w for x in found for w in _WORD.findall(x.lower())}))
             self.size.append(0)
             self.linked.append(0)
             stack.append((len(self.tag) - 1, name))
-        if at < len(source) and not head:
+        if at < len(source) and not dropped and not (head and source[at:].isspace()):
             self._text(stack[-1][0], source[at:], links)
         self._flush(stack[-1][0])
 
