@@ -16,7 +16,7 @@ each of which returns a query's best only. Scores are exact inner products of th
 Definitions. Vectors that are null, empty, zero or hold null or non-finite components take
 no part. Vectors of different lengths are not compared. A query's own id is no candidate;
 repeated rows of one id count once. Ties go to the smaller id. A query for which fewer than k
-are found visits every bucket.
+are found in its first buckets is compared with every vector of its length, in blocks of ``PART``.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ FIRST = 4
 TARGET = 0.97
 #: Vectors of a bucket that are held at once.
 PART = 8192
+#: Probes that are sent at once.
+SENT = 8192
 #: Projections of unit vectors beyond this many slots fall into the last one.
 REACH = 5
 
@@ -90,11 +92,10 @@ def probes(projection: np.ndarray, offset: np.ndarray, s: float, target: float,
         keys = (keys[:, None] * len(slots) + np.arange(len(slots))[None]).ravel()
         order = np.argsort(-found, kind="stable")
         found, keys = found[order], keys[order]
-        if target < 1:  # what is cut here was less likely than what later is enough
-            enough = np.searchsorted(np.cumsum(found), 1 - (1 - target) / 4 / len(chance)) + 1
-            found, keys = found[:enough], keys[:enough]
-    if target < 1:
-        keys = keys[: np.searchsorted(np.cumsum(found), target) + 1]
+        # What is cut here was less likely than what later is enough.
+        enough = np.searchsorted(np.cumsum(found), 1 - (1 - target) / 4 / len(chance)) + 1
+        found, keys = found[:enough], keys[:enough]
+    keys = keys[: np.searchsorted(np.cumsum(found), target) + 1]
     return keys[:most]
 
 
@@ -127,21 +128,21 @@ def _probed(batches: Iterator[pa.RecordBatch], functions: int, norm: float, firs
     for batch in batches:
         for dims, some, x in _by_length(batch):
             least = column(some, "least").to_numpy(zero_copy_only=False)
-            cosine = np.clip(np.nan_to_num(least, nan=0) / norm / np.sqrt((x * x).sum(1)), -1, 1)
+            cosine = np.clip(np.nan_to_num(least) / norm / np.sqrt((x * x).sum(1)), -1, 1)
             for table in range(TABLES):
                 hashes = Hashes(table, dims, functions)
                 places = _unit(x, None) @ hashes.a.T
-                keys = [
-                    probes(p, hashes.b, 0.9, 0.999, FIRST) if first else probes(p, hashes.b, s, 1.0 if np.isnan(own) else target)
-                    for p, s, own in zip(places, cosine, least, strict=True)
-                ]
-                for begin in range(0, len(keys), 64):
-                    part = keys[begin : begin + 64]
-                    at = pa.array(begin + np.repeat(np.arange(len(part)), [len(p) for p in part]))
-                    where = pa.array(np.full(len(at), dims * TABLES + table, np.int64))
-                    yield pa.record_batch(
-                        [where, pa.array(np.concatenate(part)), *(column(some, n).take(at) for n in ("id", "vec", "least"))], ["tab", "bucket", "id", "vec", "least"]
-                    )
+                for begin in range(0, len(x), 64):
+                    some_places = zip(places[begin : begin + 64], cosine[begin : begin + 64], strict=True)
+                    part = [probes(p, hashes.b, 0.9, 0.999, FIRST) if first else probes(p, hashes.b, s, target) for p, s in some_places]
+                    rows, buckets = begin + np.repeat(np.arange(len(part)), [len(p) for p in part]), np.concatenate(part)
+                    for sent in range(0, len(rows), SENT):
+                        at = pa.array(rows[sent : sent + SENT])
+                        where = pa.array(np.full(len(at), dims * TABLES + table, np.int64))
+                        yield pa.record_batch(
+                            [where, pa.array(buckets[sent : sent + SENT]), *(column(some, n).take(at) for n in ("id", "vec", "least"))],
+                            ["tab", "bucket", "id", "vec", "least"],
+                        )
 
 
 def _best(q: np.ndarray, q_ids: np.ndarray, least: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
@@ -193,6 +194,15 @@ def _search(index: DataFrame, parts: DataFrame, asked: DataFrame, k: int) -> Dat
     return _ranked(found, k)
 
 
+def _compared_with_all(index: DataFrame, sparse: DataFrame, k: int) -> DataFrame:
+    """The best k of each query over all vectors of its length: one table's vectors, as one bucket that is split in parts."""
+    asked = sparse.select((F.size("vec") * TABLES).cast("long").alias("tab"), F.lit(0).cast("long").alias("bucket"), "id", "vec", "least")
+    lengths = F.broadcast(asked.select("tab").distinct())
+    every = index.join(lengths, "tab", "left_semi").withColumn("bucket", F.lit(0).cast("long"))
+    parts = every.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / PART).cast("long").alias("parts"))
+    return _search(every, F.broadcast(parts), asked, k)  # a row for each length of vectors
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -219,6 +229,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_column: str = "
     early = fresh(_search(index, parts, probing(asked.withColumn("least", F.lit(None).cast("double")), True), k))
     kth = early.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
     queries = fresh(asked.join(kth, "id", "left"))
-    late = _search(index, parts, probing(queries, False), k)
-    both = _ranked(early.drop("rank").unionByName(late.drop("rank")), k)
+    late = _search(index, parts, probing(queries.filter("least is not null"), False), k)
+    found = early.drop("rank").unionByName(late.drop("rank"))
+    sparse = queries.filter("least is null")
+    if not sparse.isEmpty():
+        found = found.unionByName(_compared_with_all(index, sparse, k).drop("rank"))
+    both = _ranked(found, k)
     return both.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
