@@ -12,7 +12,7 @@ Definitions. Null and empty texts have the features of a text without words. Nul
 and paths are groups of their own. Labels that are null or name no document are ignored; a
 document is used once however often it is labelled or repeated, with its worst label.
 Without labels of both kinds the evidence is 0 and every document is kept. At most ``SAMPLE``
-labelled documents are fitted, those with the least hash of their id; all else covers all rows.
+labelled documents of the table are fitted, those with the least hash of their id; all else covers all rows.
 """
 
 from __future__ import annotations
@@ -106,8 +106,9 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of ``labels`` (doc_id, quality) over the texts of ``docs``."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    known = known.agg(F.min(F.col("quality").cast("int")).alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    known = known.agg(F.min(F.col("quality").cast("int")).alias("y")).join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # The sample is bounded by a parameter, so it can be broadcast.
     rows = texts.join(F.broadcast(known), "doc_id").select("doc_id", "text", "y")
     found = rows.mapInArrow(_feature_rows, "doc_id long, y int, x array<double>").groupBy("doc_id", "y").agg(F.max("x").alias("x"))
