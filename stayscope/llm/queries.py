@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extraction, line_dedup, near_dedup, packing, quality, substring_dedup, topk, url_filter
+from . import ann, bpe, html_extraction, line_dedup, merkle, near_dedup, packing, prefix_trie, quality, substring_dedup, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -67,6 +67,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "row.source", "row.lang", "evidence", "site_rate", "score", "keep")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(merkle.document_leaves(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    proof = F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256")
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", proof, F.col("folded").alias("folded_root"), "verified"
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    found = prefix_trie.trie(prefix_trie.rebuilt(own))
+    return found.withColumnsRenamed({"saved": "saved_tokens", "ends": "ends_sha256"})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,5 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_bpe,
         op10_quality,
+        op12_merkle,
+        op13_prefix_trie,
     )
 }
