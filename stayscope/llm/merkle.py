@@ -4,7 +4,7 @@ Every row is a leaf; the leaves of a source, in the order of their ids, are the
 tree, and the roots of all sources are the bottom of the tree above. Each ``ARITY`` consecutive
 nodes become one.
 
-Trees are built in aligned blocks of ``BLOCK`` consecutive nodes, a power of the arity, so that a
+Trees are built in aligned blocks of ``ARITY ** LEVELS`` consecutive nodes, so that a
 block is a whole subtree of known height. A task folds a block to its top; the tops are the nodes
 of the next round, until each source has one, and then the sources are folded in the same way.
 Back down, every block gets the path of its top to the root: the siblings on each level.
@@ -38,8 +38,7 @@ from ..session import materialize, work_dir
 from .columns import picked
 
 ARITY = 3
-LEVELS = 6
-BLOCK = ARITY**LEVELS
+LEVELS = 6  # of a block
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -116,15 +115,15 @@ def version(leaf: str, path: list[str]) -> str:
     return leaf
 
 
-def _gathered(nodes: DataFrame, keep: list[str]) -> DataFrame:
+def _gathered(nodes: DataFrame, keep: list[str], levels: int) -> DataFrame:
     """(tree, block, n, items): the nodes of each aligned block."""
     item = F.struct("place", *keep)
-    block = F.expr(f"place div {BLOCK}").alias("block")
+    block = F.expr(f"place div {ARITY**levels}").alias("block")
     return _stored(nodes.groupBy("tree", block, "n").agg(F.sort_array(F.collect_list(item)).alias("items")))
 
 
-def _block(row: dict) -> Block:
-    return Block([item["digest"] for item in row["items"]], min(LEVELS, height(row["n"])))
+def _block(row: dict, levels: int) -> Block:
+    return Block([item["digest"] for item in row["items"]], min(levels, height(row["n"])))
 
 
 def _rows(work: Callable[[dict], Iterator[tuple]], names: list[str], kinds: pa.Schema):
@@ -139,12 +138,12 @@ def _rows(work: Callable[[dict], Iterator[tuple]], names: list[str], kinds: pa.S
     return run
 
 
-def _tops(blocks: DataFrame) -> DataFrame:
+def _tops(blocks: DataFrame, levels: int) -> DataFrame:
     """The nodes of the next round."""
     kinds = pa.schema([("tree", pa.string()), ("place", pa.int64()), ("digest", pa.string()), ("n", pa.int64())])
 
     def top(row: dict) -> Iterator[tuple]:
-        yield row["tree"], row["block"], _block(row).top, -(-row["n"] // BLOCK)
+        yield row["tree"], row["block"], _block(row, levels).top, -(-row["n"] // ARITY**levels)
 
     return blocks.mapInArrow(_rows(top, kinds.names, kinds), "tree string, place long, digest string, n long")
 
@@ -157,50 +156,50 @@ def _with_path(blocks: DataFrame, above: DataFrame | None) -> DataFrame:
     return blocks.alias("b").join(above.alias("a"), same).select("b.*", F.col("a.path").alias("above"))
 
 
-def _paths(blocks: DataFrame, above: DataFrame | None) -> DataFrame:
+def _paths(blocks: DataFrame, above: DataFrame | None, levels: int) -> DataFrame:
     """(tree, place, path) of every node in ``blocks``."""
     kinds = pa.schema([("tree", pa.string()), ("place", pa.int64()), ("path", pa.list_(pa.string()))])
 
     def paths(row: dict) -> Iterator[tuple]:
-        block = _block(row)
+        block = _block(row, levels)
         for i, item in enumerate(row["items"]):
             yield row["tree"], item["place"], block.siblings(i) + row["above"]
 
     return _with_path(blocks, above).mapInArrow(_rows(paths, kinds.names, kinds), "tree string, place long, path array<string>")
 
 
-def _rounds(nodes: DataFrame, keep: list[str]) -> tuple[list[DataFrame], DataFrame]:
+def _rounds(nodes: DataFrame, keep: list[str], levels: int) -> tuple[list[DataFrame], DataFrame]:
     """The blocks of each round, from the bottom, and the roots of the trees."""
-    rounds = [_gathered(nodes, keep)]
+    rounds = [_gathered(nodes, keep, levels)]
     while True:
-        tops = _stored(_tops(rounds[-1]))
+        tops = _stored(_tops(rounds[-1], levels))
         if tops.filter("n > 1").isEmpty():
             return rounds, tops
-        rounds.append(_gathered(tops, ["digest"]))
+        rounds.append(_gathered(tops, ["digest"], levels))
 
 
-def _down(rounds: list[DataFrame], above: DataFrame | None) -> DataFrame | None:
+def _down(rounds: list[DataFrame], above: DataFrame | None, levels: int) -> DataFrame | None:
     """The paths of the tops of the first round's blocks, given those of the roots."""
     for blocks in reversed(rounds[1:]):
-        above = _stored(_paths(blocks, above))
+        above = _stored(_paths(blocks, above, levels))
     return above
 
 
-def manifest(leaves: DataFrame) -> DataFrame:
+def manifest(leaves: DataFrame, levels: int = LEVELS) -> DataFrame:
     """The tree of ``leaves`` (tree string, id long, digest string, changed string), a row for each leaf.
 
     Returns id, tree, place, digest, subroot, root, proof (the siblings up to the root), folded (the root of
     the version in which the leaf is ``changed``; null keeps it) and verified.
     """
     placed = _place(_stored(leaves), "tree", ["id", "digest"])
-    rounds, subroots = _rounds(placed, ["digest", "id", "changed"])
+    rounds, subroots = _rounds(placed, ["digest", "id", "changed"], levels)
     # The tree of the sources: its places are the order of the sources.
     sources = _place(subroots.select("tree", "digest"), None, ["tree"])
     sources = _stored(sources.select(F.col("tree").alias("source"), "digest", "place", "n"))
-    upper, root = _rounds(sources.select(F.lit("").alias("tree"), "place", "digest", "n"), ["digest"])
-    paths = _paths(upper[0], _down(upper, None))
+    upper, root = _rounds(sources.select(F.lit("").alias("tree"), "place", "digest", "n"), ["digest"], levels)
+    paths = _paths(upper[0], _down(upper, None, levels), levels)
     of_source = paths.join(sources, "place").select(F.col("source").alias("tree"), F.lit(0).cast("long").alias("place"), "path")
-    above = _down(rounds, _stored(of_source))
+    above = _down(rounds, _stored(of_source), levels)
     same = F.col("b.tree").eqNullSafe(F.col("s.tree"))
     blocks = _with_path(rounds[0], above).alias("b").join(subroots.alias("s"), same).select("b.*", F.col("s.digest").alias("subroot"))
     top = root.first()
@@ -212,7 +211,7 @@ def manifest(leaves: DataFrame) -> DataFrame:
     )
 
     def verify(row: dict) -> Iterator[tuple]:
-        block, root = _block(row), row["root"]
+        block, root = _block(row, levels), row["root"]
         for i, item in enumerate(row["items"]):
             path = block.siblings(i) + row["above"]
             leaf = item["changed"] or item["digest"]

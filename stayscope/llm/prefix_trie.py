@@ -77,14 +77,14 @@ def _key(depth):
     return F.unhex(F.md5(F.array_join(codes, "")))
 
 
-def _joined_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined_ids(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
     """Ids in order, joined by commas in chunks of one key each."""
     for batch in batches:
         keys, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         out, at = [], 0
         for key, group in groupby(keys):
             end = at + len(list(group))
-            out += [(key, ids[i], ",".join(map(str, ids[i : min(i + CHUNK, end)])), min(CHUNK, end - i)) for i in range(at, end, CHUNK)]
+            out += [(key, ids[i], ",".join(map(str, ids[i : min(i + chunk, end)])), min(chunk, end - i)) for i in range(at, end, chunk)]
             at = end
         columns = zip(*out, strict=True) if out else [[]] * 4
         kinds = (pa.binary(), pa.int64(), pa.string(), pa.int64())
@@ -117,11 +117,11 @@ def _hashed_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def distinct_sequences(seqs: DataFrame) -> DataFrame:
+def distinct_sequences(seqs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(key, conv_id, n, ends, seq): each sequence once, with its least conversation, their number and the digest of their ids."""
     ids = seqs.select(_key(F.size("seq")).alias("key"), "conv_id")
     ranged = ids.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id")
-    chunks = ranged.mapInArrow(_joined_ids, "key binary, conv_id long, ids string, n long")
+    chunks = ranged.mapInArrow(lambda b: _joined_ids(b, chunk), "key binary, conv_id long, ids string, n long")
     # SHA-256 goes through its input in order, so one task reads the chunks of a key, one by one.
     dealt = chunks.repartition("key").sortWithinPartitions("key", "conv_id")
     ends = dealt.mapInArrow(_hashed_ids, "key binary, conv_id long, n long, ends string")

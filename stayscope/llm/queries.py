@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extraction, line_dedup, merkle, near_dedup, packing, prefix_trie, quality, substring_dedup, topk, url_filter
+from . import ann, bpe, html_extraction, line_dedup, merkle, near_dedup, packing, prefix_trie, quality, substring_dedup, topk, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -67,6 +67,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "row.source", "row.lang", "evidence", "site_rate", "score", "keep")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic").filter(~held_out))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("offences").alias("n_offences"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(merkle.document_leaves(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     proof = F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256")
@@ -94,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_bpe,
         op10_quality,
+        op11_toxicity,
         op12_merkle,
         op13_prefix_trie,
     )

@@ -24,7 +24,7 @@ def duck(sf_dir):
 
 
 def test_all_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
     assert set(SQL) <= set(contract.oracle_sql())
 
