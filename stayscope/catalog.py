@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayscope import fixtures
@@ -15,7 +15,11 @@ from stayscope.operators.counts import category_counts
 from stayscope.operators.enrich import COPY_SALTS, enrich, enrich_with_days
 from stayscope.operators.popular import GRAINS, popular
 from stayscope.operators.weather import above_temperature, project_weather
+from stayscope.plans.adaptive import popular_stays_adaptive
 from stayscope.plans.batch import popular_stays, popular_stays_counting_first
+from stayscope.plans.exact import start_exact
+from stayscope.plans.incremental import PopularityView
+from stayscope.plans.live import counts_table, popular_so_far, start_live
 from stayscope.plans.stream import (
     popular_stays_collapsed,
     popular_stays_stream,
@@ -26,6 +30,7 @@ from stayscope.plans.stream import (
 from stayscope.schemas import ENRICHED, POPULAR_BY_HOTEL, PREFERENCES
 from stayscope.session import settings, work_dir
 from stayscope.sources.files import read_table, read_table_stream, write_table
+from stayscope.sources.tables import AtomicTable
 from stayscope.sources.topics import (
     decode_json,
     encode_json,
@@ -35,13 +40,14 @@ from stayscope.sources.topics import (
 )
 from stayscope.streaming.runner import AVAILABLE_NOW, Target, run_out, run_stream
 from stayscope.streaming.sinks import ChangeTable, SnapshotTable, stamped
-from stayscope.streaming.windows import windowed_count
+from stayscope.streaming.windows import AmendedWindows, windowed_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PARTITION_YEAR = 1996
 WARM = 20
 SLICES = 4
+VERSIONS = 3
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -77,6 +83,10 @@ def batch_popular_by_hotel_copies(spark, sf_dir):
     return popular_stays(fixtures.sent_again(bookings), weather)
 
 
+def batch_popular_by_hotel_adaptive(spark, sf_dir):
+    return popular_stays_adaptive(*_inputs(spark, sf_dir))
+
+
 def query_project_weather(spark, sf_dir):
     return project_weather(fixtures.weather(spark, sf_dir))
 
@@ -289,6 +299,46 @@ def stream_late_bookings(spark, sf_dir):
     return _popular_resumed(spark, sf_dir, "stream-late", copies_within="1 day")
 
 
+def _slice(count: int, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(count))
+
+
+def stream_weather_later(spark, sf_dir):
+    """Weather that arrives in three versions, each after bookings that need it, with copies everywhere."""
+    root = work_dir(spark, "stream-weather-later")
+    bookings, weather = fixtures.sent_again(fixtures.bookings(spark, sf_dir)), fixtures.weather(spark, sf_dir)
+    parts = {
+        "bookings": (bookings, _slice(VERSIONS, "id", "hotel_id")),
+        "weather": (weather, _slice(VERSIONS, "Id", "wthrDate", "avgTmprC")),
+    }
+    for name, (frame, _) in parts.items():
+        frame.limit(0).write.parquet(f"{root}/{name}")
+    for step in range(VERSIONS + 1):
+        for name, number in (("bookings", step), ("weather", step - 1)):
+            frame, part = parts[name]
+            frame.where(part == number).write.mode("append").parquet(f"{root}/{name}")
+        streams = [read_table_stream(spark, f"{root}/{name}", frame.schema) for name, (frame, _) in parts.items()]
+        run_out(start_live(*streams, f"{root}/out", f"{root}/checkpoint", "hotel", AVAILABLE_NOW))
+    return popular_so_far(spark, counts_table(f"{root}/out", "hotel"), "hotel")
+
+
+def stream_copies_after_bound(spark, sf_dir):
+    """Bookings that are sent again after the state has forgotten them, by a query that is started again."""
+    root = work_dir(spark, "stream-copies-after-bound")
+    days = _days(spark, sf_dir, root)
+    bookings = fixtures.sent_again(fixtures.bookings(spark, sf_dir))
+    half = _slice(2, "id", "hotel_id")
+    for arrived in (bookings.where(half == 0), bookings, bookings.where(half == 1)):
+        arrived.repartition(2, "hotel_id").write.mode("append").parquet(f"{root}/in")
+        stream = read_table_stream(spark, f"{root}/in", bookings.schema, files_per_trigger=1)
+        run_out(
+            start_exact(
+                stream, days, f"{root}/out", f"{root}/checkpoint", "hotel", "0 seconds", trigger=AVAILABLE_NOW
+            )
+        )
+    return popular_so_far(spark, counts_table(f"{root}/out/counts", "hotel"), "hotel")
+
+
 def topic_complete(spark, sf_dir):
     """The whole result as messages, sent anew by every micro-batch."""
     root = work_dir(spark, "topic-complete")
@@ -362,10 +412,52 @@ def windowed_count_resumed(spark, sf_dir):
         return _closed_windows(spark, root)
 
 
+def windowed_count_amended(spark, sf_dir):
+    """The same windows over slices of time that arrive newest first, so that most events are late."""
+    root = work_dir(spark, "windowed-count-amended")
+    with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+        events = fixtures.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+        slice_of = F.pmod(F.floor(F.unix_timestamp("ts") / 1000), F.lit(SLICES))
+        windows = AmendedWindows(f"{root}/out", "ts", "1 hour", "5 seconds")
+        for n in reversed(range(SLICES)):
+            events.where(slice_of == n).write.mode("append").parquet(f"{root}/in")
+            stream = read_table_stream(spark, f"{root}/in", events.schema)
+            run_out(run_stream(stream, windows, f"{root}/checkpoint", trigger=AVAILABLE_NOW))
+        closed = windows.read(spark).where("closed")
+        return closed.select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("count").alias("n"))
+
+
+def atomic_replace(spark, sf_dir):
+    """A table by year that is first published wrong, then corrected year by year."""
+    table = AtomicTable(work_dir(spark, "atomic-replace"), ["year"])
+    bookings = fixtures.bookings(spark, sf_dir).withColumn("year", F.substring("srch_ci", 1, 4).cast("int"))
+    table.replace(bookings.withColumn("srch_children_cnt", F.lit(9)))
+    for odd in (0, 1):
+        table.replace_partitions(bookings.where(F.col("year") % 2 == odd))
+    return table.read(spark).drop("year")
+
+
+def batch_popular_incremental(spark, sf_dir):
+    """A result that follows a year of bookings that comes later, and corrected weather, by months."""
+    view = PopularityView(work_dir(spark, "incremental"))
+    bookings, weather = _inputs(spark, sf_dir)
+    later = F.col("srch_ci").startswith(str(PARTITION_YEAR))
+    summer = F.substring("wthrDate", 6, 2).isin("06", "07", "08")
+    view.replace_bookings(fixtures.sent_again(bookings.where(~later)))
+    view.replace_weather(weather.withColumn("avgTmprC", F.when(summer, -F.col("avgTmprC")).otherwise(F.col("avgTmprC"))))
+    view.refresh(spark)
+    view.replace_bookings(bookings.where(later))
+    view.refresh(spark)
+    view.replace_weather(weather.where(summer))
+    view.refresh(spark)
+    return view.read(spark)
+
+
 QUERIES: dict[str, Query] = {
     "batch_popular_by_hotel": batch_popular_by_hotel,
     "batch_popular_by_hotel_counting_first": batch_popular_by_hotel_counting_first,
     "batch_popular_by_hotel_copies": batch_popular_by_hotel_copies,
+    "batch_popular_by_hotel_adaptive": batch_popular_by_hotel_adaptive,
     "project_weather": query_project_weather,
     "filter_min_temperature": filter_min_temperature,
     "enrich_bookings": enrich_bookings,
@@ -396,9 +488,14 @@ QUERIES: dict[str, Query] = {
     "stream_popular_collapsed": stream_popular_collapsed,
     "stream_restart": stream_restart,
     "stream_late_bookings": stream_late_bookings,
+    "stream_copies_after_bound": stream_copies_after_bound,
+    "stream_weather_later": stream_weather_later,
     "stream_via_topic": stream_via_topic,
     "topic_complete": topic_complete,
     "stamped_snapshot": stamped_snapshot,
     "windowed_count": query_windowed_count,
     "windowed_count_resumed": windowed_count_resumed,
+    "windowed_count_amended": windowed_count_amended,
+    "atomic_replace": atomic_replace,
+    "batch_popular_incremental": batch_popular_incremental,
 }

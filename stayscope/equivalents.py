@@ -120,6 +120,7 @@ SQL: dict[str, str] = {
     "batch_popular_by_hotel": _sql(_HOTEL_RESULT),
     "batch_popular_by_hotel_counting_first": _sql(_HOTEL_RESULT),
     "batch_popular_by_hotel_copies": _sql(_HOTEL_RESULT),
+    "batch_popular_by_hotel_adaptive": _sql(_HOTEL_RESULT),
     "project_weather": _sql("SELECT * FROM weather"),
     "filter_min_temperature": _sql(f'SELECT * FROM weather WHERE "avgTmprC" > {WARM}'),
     "enrich_bookings": _sql("SELECT * FROM enriched"),
@@ -156,9 +157,14 @@ SQL: dict[str, str] = {
     "stream_popular_collapsed": _sql(_HOTEL_RESULT),
     "stream_restart": _sql(_HOTEL_RESULT),
     "stream_late_bookings": _sql(_HOTEL_RESULT),
+    "stream_copies_after_bound": _sql(_HOTEL_RESULT),
+    "stream_weather_later": _sql(_HOTEL_RESULT),
     "stream_via_topic": _sql(_CHILDREN_RESULT),
     "topic_complete": _sql(_HOTEL_RESULT),
     "stamped_snapshot": _sql(_HOTEL_RESULT),
     "windowed_count": _WINDOWS,
     "windowed_count_resumed": _WINDOWS,
+    "windowed_count_amended": _WINDOWS,
+    "atomic_replace": _sql(_BOOKING_ROWS),
+    "batch_popular_incremental": _sql(_HOTEL_RESULT),
 }

@@ -49,7 +49,7 @@ def enrich_with_days(
     A query must be restarted with the ``copy_salts`` and ``copies_within`` it began with.
     """
     if not bookings.isStreaming:
-        return _finish(_distinct(join_days(project_bookings(bookings), days)))
+        return finish_batch(join_days(project_bookings(bookings), days))
 
     # Null keys match no day; dropped before the salt, whose place in the plan stops filters.
     narrow = project_bookings(bookings).where("hotel_id IS NOT NULL AND srch_ci IS NOT NULL")
@@ -62,13 +62,17 @@ def enrich_with_days(
     return _finish(drop_copies(joined, ENRICHED_KEYS, bool(copies_within)))
 
 
-def join_days(bookings: DataFrame, days: DataFrame, salts: int = 1) -> DataFrame:
-    """Inner join on hotel and check-in day, which is compared as text."""
+def join_days(
+    bookings: DataFrame, days: DataFrame, salts: int = 1, also: Column | None = None
+) -> DataFrame:
+    """Inner join on hotel and check-in day, which is compared as text, and on what holds ``also``."""
     matches = (F.col("hotel_id") == F.col("Id")) & (F.col("srch_ci") == F.col("wthrDate"))
     if salts > 1:
         every_salt = F.array(*[F.lit(n) for n in range(salts)])
         days = days.withColumn("day_salt", F.explode(every_salt))
         matches &= F.col("salt") % salts == F.col("day_salt")
+    if also is not None:
+        matches &= also
     return bookings.join(days, matches, "inner").drop("Id", "wthrDate", "day_salt")
 
 
@@ -100,5 +104,10 @@ def drop_copies(
     return joined.dropDuplicates(list(keys))
 
 
+def finish_batch(joined: DataFrame) -> DataFrame:
+    """Enriched bookings of a batch, from bookings joined to their days."""
+    return _finish(_distinct(joined))
+
+
 def _finish(distinct: DataFrame) -> DataFrame:
     return with_stay_days(distinct).select(*ENRICHED_KEYS, "avg_tmpr", "duration_stay")

@@ -14,7 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from stayscope.operators.enrich import COPY_SALTS
 from stayscope.operators.popular import GRAINS
 from stayscope.operators.weather import MIN_TMPR
+from stayscope.plans.adaptive import in_best_order
 from stayscope.plans.batch import count_first, join_first
+from stayscope.plans.exact import start_exact
+from stayscope.plans.live import counts_table, popular_so_far, start_live
 from stayscope.plans.stream import (
     StaticDays,
     popular_stays_collapsed,
@@ -26,12 +29,13 @@ from stayscope.plans.stream import (
 from stayscope.schemas import BOOKINGS, ENRICHED, WEATHER_MESSAGES
 from stayscope.session import settings, settings_for, stored_bytes, work_dir
 from stayscope.sources.files import read_table, read_table_stream, write_table
-from stayscope.sources.topics import encode_json, read_json_topic, read_topic
+from stayscope.sources.topics import encode_json, read_json_topic, read_topic, read_topic_stream
 from stayscope.streaming.runner import BatchWriter, Target, run_stream
 from stayscope.streaming.sinks import ChangeTable, DocumentIndex
 
 
-ORDERS = {"join_first": join_first, "count_first": count_first}
+ORDERS = {"join_first": join_first, "count_first": count_first, "measured": in_best_order}
+MEMORIES = ("state", "files")
 
 
 @dataclass(frozen=True)
@@ -52,7 +56,8 @@ class TopicConfig:
 class JobConfig:
     """Where the jobs read and write.
 
-    ``order`` is that of the batch, "join_first" or "count_first". ``input_bytes`` sizes the
+    ``order`` is that of the batch, "join_first", "count_first" or "measured", which sketches the
+    inputs first and also splits heavy hotel-days. ``input_bytes`` sizes the
     session's shuffles; left out, it is the size of the files of the bookings.
 
     The stream writes a change table at ``stream_output``, or, if ``index_format`` names
@@ -60,6 +65,10 @@ class JobConfig:
     two queries, the first of which collapses copies into that folder. ``preferences`` is a
     topic that gets every classified booking as a message, from a query of its own.
 
+    With ``live`` the stream follows the weather topic too: bookings wait for their weather,
+    for ``patience`` if it is given (``plans.live``). With ``memory`` "files" it counts a booking once however late
+    its copies come, with bounded state (``plans.exact``). Both add counts up at ``stream_output``; ``stream_result`` reads them.
+
     ``days_path`` keeps the weather that a stream reads again at every trigger, so it must
     last; each start adds a version. ``state_partitions`` stay as they are for as long as a
     checkpoint does. ``copies_within``, ``copy_salts`` and ``join_salts`` are explained at
@@ -89,6 +98,9 @@ class JobConfig:
     days_path: str | None = None
     preferences: TopicConfig | None = None
     preferences_checkpoint: str | None = None
+    live: bool = False
+    patience: str | None = None
+    memory: str = "state"
     stage: str | None = None
     stage_checkpoint: str | None = None
     index_format: str | None = None
@@ -230,6 +242,51 @@ def start_stream(
     )
 
 
+def weather_stream(spark: SparkSession, config: JobConfig) -> DataFrame:
+    """Readings as the weather topic brings them, with a schema that is known beforehand."""
+    topic = config.weather
+    if topic.schema == "infer":
+        raise ValueError("a stream of weather needs a schema")
+    messages = read_topic_stream(spark, topic.options, topic.fmt, topic.path)
+    return read_json_topic(messages, topic.schema or WEATHER_MESSAGES)
+
+
+def start_adding(
+    spark: SparkSession,
+    config: JobConfig,
+    days: StaticDays | None = None,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """The stream of a configuration that is ``live`` or has its ``memory`` in files."""
+    bookings = bookings_stream(spark, config)
+    place = (config.stream_output, config.stream_checkpoint, config.grain)
+    shared = {
+        "copy_salts": config.copy_salts,
+        "trigger": trigger or trigger_of(config),
+        "partitions": config.state_partitions,
+    }
+    if config.live:
+        return start_live(
+            bookings,
+            weather_stream(spark, config),
+            *place,
+            min_tmpr=config.min_tmpr,
+            patience=config.patience,
+            copies_within=config.copies_within,
+            join_salts=config.join_salts,
+            **shared,
+        )
+    return start_exact(bookings, days, *place, copies_within=config.copies_within or "1 hour", **shared)
+
+
+def stream_result(spark: SparkSession, config: JobConfig) -> DataFrame:
+    """The result that the stream has published so far."""
+    if config.live or config.memory == "files":
+        counts = config.stream_output if config.live else f"{config.stream_output}/counts"
+        return popular_so_far(spark, counts_table(counts, config.grain), config.grain)
+    return GRAINS[config.grain].visible(ChangeTable(config.stream_output, GRAINS[config.grain].keys).read(spark))
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Most popular stays per hotel")
     parser.add_argument("config", help="JSON file with the fields of JobConfig")
@@ -237,11 +294,14 @@ def main(arguments: list[str] | None = None) -> None:
     parsed = parser.parse_args(arguments)
 
     config = JobConfig.load(parsed.config)
-    if parsed.mode != "batch" and not config.days_path:
+    if config.memory not in MEMORIES or (config.live and config.memory != "state"):
+        raise ValueError("memory is state or files, and a live stream has its own")
+    if parsed.mode != "batch" and not config.days_path and not config.live:
         raise ValueError("a stream needs days_path, a folder that lasts as long as it runs")
     spark = SparkSession.builder.appName("stayscope").getOrCreate()
     with settings(spark, job_settings(spark, config)):
-        days = hotel_days(spark, config)
+        # a live stream reads the weather itself
+        days = None if config.live and parsed.mode == "stream" else hotel_days(spark, config)
         if parsed.mode != "stream":
             run_batch(spark, config, days)
         if parsed.mode != "batch":
@@ -249,7 +309,8 @@ def main(arguments: list[str] | None = None) -> None:
                 start_stage(spark, config, days)
             if config.preferences is not None:
                 start_preferences(spark, config, days)
-            start_stream(spark, config, days)
+            adds = config.live or config.memory == "files"
+            (start_adding if adds else start_stream)(spark, config, days)
             spark.streams.awaitAnyTermination()
 
 

@@ -30,9 +30,18 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/stayscope/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(frame: DataFrame, path: str) -> DataFrame:
-    """Write ``frame`` as Parquet and read it back, so that later plans start there."""
-    frame.write.mode("overwrite").parquet(path)
+def materialize(frame: DataFrame, path: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``frame`` as Parquet and read it back, so that later plans start there.
+
+    The shuffles that made it are not needed any more then, and their files go at once,
+    not when the driver happens to collect its garbage. ``batch_rows`` is how many rows Python
+    gets at a time, where they are large.
+    """
+    values = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if batch_rows:
+        values["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(batch_rows)
+    with settings(frame.sparkSession, values):
+        frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.parquet(path)
 
 

@@ -130,6 +130,57 @@ class ChangeTable:
         return latest.select(*self.keys, *[F.col("latest")[c].alias(c) for c in columns])
 
 
+@dataclass(frozen=True)
+class SumTable:
+    """A Parquet table of counts to which every batch adds, for queries in append mode.
+
+    A batch that is run again after a failure takes the place of its first run, so it is
+    added once. Batch 0, with which every new checkpoint begins, starts the table anew. Reading adds
+    up the rows of a key, and takes the largest of its ``maxima``.
+
+    Every ``merge_every``-th batch replaces the batches before it by their sums. They are final, as a
+    batch starts only when those before it are done; the batch itself stays apart until the next merge.
+    """
+
+    path: str
+    keys: Sequence[str]
+    counters: Sequence[str]
+    maxima: Sequence[str] = ()
+    merge_every: int = 100
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, versions = batch.sparkSession, Versions(self.path)
+        shown = versions.current(spark)
+        earlier = {n: name for n, name in shown.items() if n < batch_id}
+        if batch_id and shown and not earlier and batch_id not in shown:
+            raise ValueError(f"batch {batch_id} lies before the last merge of {self.path}")
+        merges = batch_id % self.merge_every == 0
+        if merges and len(earlier) > 1:
+            earlier = {batch_id - 1: versions.write(self._sums(versions.read(spark, earlier)))}
+        folders = {**earlier, batch_id: versions.write(batch.select(*self.keys, *self.counters, *self.maxima))}
+        versions.publish(spark, folders)
+        if merges:
+            versions.clean(spark, {*shown.values(), *folders.values()})
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self._sums(Versions(self.path).read(spark))
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """What the batches before ``batch_id`` have added; None if there are none."""
+        versions = Versions(self.path)
+        earlier = {n: name for n, name in versions.current(spark).items() if n < batch_id}
+        return self._sums(versions.read(spark, earlier)) if earlier else None
+
+    def added(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """What one batch added, until a merge has taken it in."""
+        versions = Versions(self.path)
+        return versions.read(spark, {batch_id: versions.current(spark)[batch_id]})
+
+    def _sums(self, parts: DataFrame) -> DataFrame:
+        sums = [F.sum(name).alias(name) for name in self.counters]
+        return parts.groupBy(*self.keys).agg(*sums, *[F.max(name).alias(name) for name in self.maxima])
+
+
 @dataclass(frozen=True)
 class SnapshotTable:
     """A Parquet table of the whole result, for queries in complete mode.

@@ -1,0 +1,159 @@
+"""Copies that come after the state has forgotten the first."""
+
+import pytest
+from helpers import bookings_of, rows_of, same, weather_of
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from stayscope import fixtures, popular_stays
+from stayscope.operators.bookings import BOOKING_KEYS
+from stayscope.plans import exact
+from stayscope.plans.exact import start_exact
+from stayscope.plans.live import counts_table, popular_so_far
+from stayscope.plans.stream import popular_stays_stream, static_days
+from stayscope.sources.files import read_table_stream
+from stayscope.streaming import copies
+from stayscope.streaming.copies import SeenKeys, due
+from stayscope.streaming.runner import AVAILABLE_NOW, run_out, run_stream
+from stayscope.streaming.sinks import ChangeTable, Versions
+
+DAY = "2017-08-24"
+
+
+@pytest.mark.parametrize(
+    ("batches", "wanted"), [([], 0), ([0, 1, 2], 0), ([0, 1, 2, 3], 4), ([3, 4, 5, 6, 7], 4), ([3, 7, 11, 15], 4), ([15, 16, 17], 0)]
+)
+def test_runs_are_merged_like_digits(batches, wanted):
+    assert due(batches) == wanted
+
+
+def rows(spark, values):
+    return spark.createDataFrame(values, "a bigint, b string, more int")
+
+
+def test_every_key_is_admitted_once(spark, tmp_path):
+    seen = SeenKeys(str(tmp_path / "seen"), ["a", "b"], buckets=3)
+    first = [(1, "x", 0), (1, None, 0), (None, "1", 0), (None, None, 0), (1, "x", 0)]
+    assert seen.admit(rows(spark, first), 0).count() == 4
+    again = rows(spark, [*first, (2, "x", 5), (1, "X", 6), (None, "", 7)])
+    for _ in range(2):  # a batch that runs again admits the same
+        assert rows_of(seen.admit(again, 1), ["more"]) == [(5,), (6,), (7,)]
+    assert seen.admit(again, 2).count() == 0
+    assert seen.admit(rows(spark, []), 3).columns == ["a", "b", "more"]
+    with pytest.raises(ValueError, match="before the last"):
+        seen.admit(again, 1)
+    assert seen.admit(again, 0).count() == 7  # a new checkpoint
+
+
+def test_many_batches_leave_few_runs_and_forget_nothing(spark, tmp_path):
+    seen = SeenKeys(str(tmp_path / "seen"), ["a", "b"], buckets=2)
+    admitted = 0
+    for batch_id in range(10):
+        batch = spark.range(0, 300 * (batch_id + 1), 2).select(F.col("id").alias("a"), F.lit("k").alias("b"), F.lit(batch_id).alias("more"))
+        admitted += seen.admit(batch, batch_id).count()
+    assert admitted == 1500
+    runs = Versions(seen.path).current(spark)
+    assert list(runs) == [3, 7, 8, 9]
+    assert len(list((tmp_path / "seen" / "data").iterdir())) <= len(runs) + 4
+
+
+def test_new_keys_do_not_read_old_ones(spark, tmp_path, monkeypatch):
+    """With ten bits a key about one in eighty new keys is suspected; the folders of the others are not read."""
+    seen = SeenKeys(str(tmp_path / "seen"), ["a"], buckets=4096)
+    key = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("a"))
+    seen.admit(key(0, 20_000), 0)
+    read = []
+    whole = SeenKeys._keys
+
+    def noted(self, session, runs, schema):
+        read.append(len(runs))
+        return whole(self, session, runs, schema)
+
+    monkeypatch.setattr(SeenKeys, "_keys", noted)
+    hashed = key(20_000, 30_000).withColumns({"place": copies._hash(["a"], 0), "code": copies._hash(["a"], 1)})
+    schema = StructType(hashed.schema.fields).add("bucket", "integer")
+    left = seen._unseen(hashed, list(Versions(seen.path).current(spark).values()), schema)
+    assert left.count() == 10_000
+    suspected = sum(spark.read.parquet(str(p)).count() for p in (tmp_path / "seen" / "data").glob("w-*"))
+    assert 0 < suspected < 300
+
+
+@pytest.fixture(scope="module")
+def world(spark, sf_dir, tmp_path_factory):
+    root = tmp_path_factory.mktemp("copies")
+    bookings = fixtures.sent_again(fixtures.bookings(spark, sf_dir))
+    weather = fixtures.weather(spark, sf_dir)
+    return bookings, weather, static_days(weather, f"{root}/days")
+
+
+def exact_run(spark, bookings, days, root, **options):
+    stream = read_table_stream(spark, f"{root}/in", bookings.schema, files_per_trigger=1)
+    query = start_exact(stream, days, f"{root}/out", f"{root}/cp", "hotel", "0 seconds", trigger=AVAILABLE_NOW, **options)
+    run_out(query)
+    return query
+
+
+def result_of(spark, root):
+    return popular_so_far(spark, counts_table(f"{root}/out/counts", "hotel"), "hotel")
+
+
+@pytest.mark.parametrize("copy_salts", [0, 3])
+def test_copies_count_once_with_bounded_state(spark, world, tmp_path, copy_salts):
+    bookings, weather, days = world
+    states = []
+    for _ in range(3):
+        bookings.repartition(2).write.mode("append").parquet(f"{tmp_path}/in")
+        query = exact_run(spark, bookings, days, tmp_path, copy_salts=copy_salts)
+        states.append(query.lastProgress["stateOperators"][-1]["numRowsTotal"])
+        same(result_of(spark, tmp_path), popular_stays(bookings, weather))
+    # the plain query keeps every matched booking for ever; this one those of its last micro-batches
+    stream = read_table_stream(spark, f"{tmp_path}/in", bookings.schema)
+    table = ChangeTable(f"{tmp_path}/plain", ["hotel_name", "hotel_id"])
+    run_out(run_stream(popular_stays_stream(stream, days, "hotel"), table, f"{tmp_path}/cp2", "update", AVAILABLE_NOW))
+    distinct = bookings.distinct().count()
+    assert max(states) <= distinct
+    same(table.read(spark), result_of(spark, tmp_path))
+
+
+def test_state_does_not_grow_with_the_bookings(spark, tmp_path):
+    weather = weather_of(spark, [(1, DAY, 5.0, "A")])
+    days = static_days(weather, str(tmp_path / "days"))
+    some = lambda n: bookings_of(spark, [(100 * n + i, 1, DAY, "2017-08-26", 0) for i in range(100)])
+    states = []
+    for n in range(5):
+        some(n).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        query = exact_run(spark, some(n), days, tmp_path)
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert result_of(spark, tmp_path).first()["standart_stay_cnt"] == 500
+    assert max(states) <= 200
+    some(0).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    exact_run(spark, some(0), days, tmp_path)
+    assert result_of(spark, tmp_path).first()["standart_stay_cnt"] == 500
+
+
+def test_a_failure_between_the_keys_and_the_counts(spark, world, tmp_path, monkeypatch):
+    bookings, weather, days = world
+    bookings.repartition(3).write.parquet(f"{tmp_path}/in")
+    whole, failed = exact.counting, []
+
+    def fails_once(*args):
+        add = whole(*args)
+
+        def write(batch, batch_id):
+            if batch_id == 1 and not failed:
+                failed.append(batch_id)
+                raise RuntimeError("lost before the counts")
+            add(batch, batch_id)
+
+        return write
+
+    monkeypatch.setattr(exact, "counting", fails_once)
+    with pytest.raises(Exception, match="lost before the counts"):
+        exact_run(spark, bookings, days, tmp_path)
+    exact_run(spark, bookings, days, tmp_path)
+    assert failed == [1]
+    same(result_of(spark, tmp_path), popular_stays(bookings, weather))
+
+
+def test_the_keys_are_those_of_a_booking():
+    assert BOOKING_KEYS[0] == "order_id"

@@ -1,0 +1,124 @@
+"""Heavy hotel-days by sketch, and the order of work by coverage."""
+
+import re
+
+import pytest
+from helpers import bookings_of, plan_of, rows_of, same, weather_of
+from pyspark.sql import functions as F
+
+from stayscope import fixtures, popular_stays, weather_means
+from stayscope.operators.bookings import project_bookings
+from stayscope.operators.enrich import join_days
+from stayscope.operators.heavy import day_hash, heavy_days, heavy_keys, join_days_splitting
+from stayscope.plans.adaptive import in_best_order, popular_stays_adaptive, profile
+from stayscope.session import settings
+
+TASKS = 16
+ROWS = 16_000
+EVEN = ROWS // TASKS
+NO_AQE = {
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": str(TASKS),
+}
+
+
+def bookings(spark, kind):
+    """Bookings in eight tasks, half of them on one hotel-day, half of them one booking, or all even."""
+    n = spark.range(ROWS, numPartitions=8)
+    hot = F.col("id") % 2 == 0
+    hotel = F.when(hot, -1).otherwise(F.col("id")) if kind != "even" else F.col("id")
+    order = F.when(hot, -1).otherwise(F.col("id")) if kind == "booking" else F.col("id")
+    return n.select(
+        order.alias("order_id"),
+        F.lit("2017-08-24").alias("srch_ci"),
+        F.lit("2017-08-25").alias("srch_co"),
+        F.lit(0).alias("srch_children_cnt"),
+        hotel.cast("bigint").alias("hotel_id"),
+    )
+
+
+def weather(spark):
+    hotels = spark.range(-1, ROWS)
+    return hotels.select(
+        F.col("id").alias("Id"), F.lit("2017-08-24").alias("wthrDate"), F.lit("A").alias("hotel_name"), F.lit(1.0).alias("avg_tmpr")
+    )
+
+
+def largest_task(joined):
+    shares = joined.groupBy(F.spark_partition_id().alias("task")).count()
+    return max(r["count"] for r in shares.collect())
+
+
+@pytest.mark.parametrize("kind", ["day", "booking"])
+def test_a_hot_day_or_booking_is_spread(spark, kind):
+    with settings(spark, NO_AQE):
+        rows, days = bookings(spark, kind), weather(spark)
+        heavy = heavy_days(rows, TASKS, few=1)
+        assert len(heavy) == 1
+        assert largest_task(join_days(rows, days)) >= ROWS // 2
+        split = join_days_splitting(rows, days, heavy)
+        assert largest_task(split) <= (3 if kind == "day" else 4) * EVEN
+        assert split.count() == ROWS
+        assert split.columns == join_days(rows, days).columns
+
+
+def shape(plan):
+    return re.sub(r"#\d+L?|plan_id=\d+|\[id=.*?\]", "", plan)
+
+
+def test_without_heavy_days_the_plan_is_the_plain_one(spark):
+    with settings(spark, NO_AQE):
+        rows, days = bookings(spark, "even"), weather(spark)
+        heavy = heavy_days(rows, TASKS, few=1)
+        assert heavy == {}
+        assert shape(plan_of(join_days_splitting(rows, days, heavy))) == shape(plan_of(join_days(rows, days)))
+
+
+def test_a_key_that_is_split_in_vain_changes_nothing(spark):
+    rows, days = bookings(spark, "even").limit(500), weather(spark)
+    some = {r["h"]: 3 for r in rows.limit(9).select(day_hash("hotel_id", "srch_ci").alias("h")).collect()}
+    same(join_days_splitting(rows, days, {**some, 12345: 2}), join_days(rows, days))
+
+
+def test_null_keys_match_nothing_however_many(spark):
+    rows = bookings_of(spark, [(i, None, "2017-08-24", None, 0) for i in range(50)] + [(i, 1, None, None, 0) for i in range(50)] + [(1, 1, "2017-08-24", None, 0)])
+    days = weather_means(weather_of(spark, [(1, "2017-08-24", 3.0, "A"), (None, "2017-08-24", 3.0, "B"), (1, None, 3.0, "C")]))
+    heavy = heavy_days(project_bookings(rows), 8, few=1)
+    split = join_days_splitting(project_bookings(rows), days, {**heavy, 7: 2})
+    assert rows_of(split, ["order_id", "hotel_name"]) == [(1, "A")]
+
+
+def test_shares_follow_the_load():
+    top = [{"item": 1, "count": 500}, {"item": 2, "count": 90}, {"item": 3, "count": 20}, {"item": None, "count": 300}]
+    assert heavy_keys(1000, top, 10, few=1) == {1: 6, 2: 2}
+    assert heavy_keys(1000, top, 10) == {}
+    assert heavy_keys(0, None, 10) == {}
+
+
+def sparse(frame, parts):
+    return frame.where(F.pmod(F.xxhash64("Id", "wthrDate"), F.lit(parts)) == 0)
+
+
+@pytest.mark.parametrize("grain", ["hotel", "hotel_children"])
+def test_coverage_chooses_the_order(spark, sf_dir, grain):
+    rows, readings = fixtures.bookings(spark, sf_dir), fixtures.weather(spark, sf_dir)
+    every = rows.select(F.col("hotel_id").alias("Id"), F.col("srch_ci").alias("wthrDate"), F.lit(5.0).alias("avgTmprC"), F.lit("A").alias("Name"))
+    for weather_, order in ((every, "count_first"), (readings, "join_first"), (sparse(every, 20), "join_first")):
+        days = weather_means(weather_)
+        found = profile(rows, days)
+        asked = {tuple(r) for r in rows.select("hotel_id", "srch_ci").distinct().collect()}
+        share = len(asked & {tuple(r) for r in days.select("Id", "wthrDate").distinct().collect()}) / len(asked)
+        assert found.order == order
+        assert found.rows == rows.count()
+        assert found.coverage == pytest.approx(share, abs=0.05)
+        same(popular_stays_adaptive(rows, weather_, grain), popular_stays(rows, weather_, grain))
+
+
+def test_profiles_of_nothing(spark):
+    rows, readings = bookings_of(spark, []), weather_of(spark, [])
+    assert profile(rows, weather_means(readings)).coverage == 0
+    one = bookings_of(spark, [(1, 1, "2017-08-24", None, 0)])
+    for some in (rows, one):
+        assert in_best_order(some, weather_means(readings)).collect() == []
+    assert popular_stays_adaptive(rows, weather_of(spark, [(1, "2017-08-24", 3.0, "A")])).collect() == []
