@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, work_dir
+from .columns import any_names
 from .words import Places, Stretches, column
 
 #: The pattern that cuts texts into pieces for this kind of vocabulary (fixed value).
@@ -239,11 +240,14 @@ def _texts(ids: pa.Array, code: Coder) -> pa.Array:
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, decoded: bool) -> Iterator[pa.RecordBatch]:
     code = coder(path)
     gc.disable()  # what is remembered has no cycles
-    for batch in batches:
-        for begin in range(0, batch.num_rows, 64):
-            some = batch.slice(begin, 64)
-            lists = code.encode_all([x or "" for x in column(some, "text").to_pylist()])
-            yield _coded(column(some, "row"), lists, code, decoded)
+    try:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 64):
+                some = batch.slice(begin, 64)
+                lists = code.encode_all([x or "" for x in column(some, "text").to_pylist()])
+                yield _coded(column(some, "row"), lists, code, decoded)
+    finally:
+        gc.enable()  # for the worker's other tasks
 
 
 def _chunk_ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -288,6 +292,7 @@ def _whole(batches: Iterator[pa.RecordBatch], path: str, decoded: bool) -> Itera
             yield _coded(column(row, "row"), [np.array(out, np.int32)], code, decoded)
 
 
+@any_names("doc_id", "text", "lang", "source", "n_chars")
 def encode(docs: DataFrame, tokenizer: str, chunk: int = CHUNK, decoded: bool = False) -> DataFrame:
     """``row`` (the columns of ``docs`` without text) and ids, an array of the whole text's ids.
 
