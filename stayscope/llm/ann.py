@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize, work_dir
+from .columns import any_names
 from .topk import usable
 from .words import column
 
@@ -209,6 +210,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+@any_names("vec_id", "embedding")
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_column: str = "vec_id", vec_column: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the nearest k found for each query. is_query: a condition on ``id``."""
     fresh = lambda frame: materialize(frame, work_dir(vectors.sparkSession, "nearest"))

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .layouts import labelled_pages
+from .columns import any_names
 from .words import column
 
 SAMPLE = 512
@@ -323,6 +324,7 @@ def _extracted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
         yield pa.record_batch([column(batch, "row"), pa.array(texts, pa.string())], ["row", "text"])
 
 
+@any_names("page_id", "url", "html")
 def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``row`` (``pages`` without html) and text: one row for each page."""
     model = fit(pages, sample)

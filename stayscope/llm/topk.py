@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .columns import any_names
 from .words import column
 
 K = 10
@@ -142,6 +143,7 @@ def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             )
 
 
+@any_names("vec_id", "embedding")
 def exact_topk(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, id_column: str = "vec_id", vec_column: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k candidates of largest score for each query. is_query: a condition on ``id``."""
     whole = usable(vectors, id_column, vec_column).withColumn("vec", F.transform("vec", lambda x: F.floor(x * scale).cast("double")))

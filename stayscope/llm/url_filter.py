@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, work_dir
+from .columns import any_names
 from .words import U, column, mix
 
 #: The rules of the contract's query (fixed values): verdict, host, path.
@@ -167,6 +168,7 @@ def _by_join(split: DataFrame, rules: DataFrame) -> DataFrame:
     return rows.join(best, "id", "left").select("row", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", F.lit("allow")).alias("verdict"))
 
 
+@any_names("page_id", "url", "html")
 def filter_urls(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """``row`` (``pages``), host, path, rule, verdict: one row for each page. rules: verdict, host, path."""
     spark: SparkSession = pages.sparkSession
