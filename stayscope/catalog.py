@@ -6,15 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from stayscope import fixtures
 from stayscope.categories import STAY_CATEGORIES
 from stayscope.operators.bookings import distinct_bookings, project_bookings, with_stay_days
 from stayscope.operators.classify import classify
 from stayscope.operators.counts import category_counts
-from stayscope.operators.enrich import COPY_SALTS, enrich, enrich_with_days
+from stayscope.operators.enrich import COPY_SALTS, enrich, enrich_with_days, finish_batch
 from stayscope.operators.popular import GRAINS, popular
-from stayscope.operators.weather import above_temperature, project_weather
+from stayscope.operators.weather import above_temperature, project_weather, weather_means
 from stayscope.plans.adaptive import popular_stays_adaptive
 from stayscope.plans.batch import popular_stays, popular_stays_counting_first
 from stayscope.plans.exact import start_exact
@@ -30,13 +31,18 @@ from stayscope.plans.stream import (
 from stayscope.schemas import ENRICHED, POPULAR_BY_HOTEL, PREFERENCES
 from stayscope.session import settings, work_dir
 from stayscope.sources.files import read_table, read_table_stream, write_table
+from stayscope.sources.layout import bucketed_inputs, enrich_in_place, join_days_by_month, write_by_month
 from stayscope.sources.tables import AtomicTable
 from stayscope.sources.topics import (
     decode_json,
+    decode_variants,
     encode_json,
     infer_json_schema,
+    merged_schema,
     read_json_topic,
     read_topic_stream,
+    schema_of_variants,
+    stored_variants,
 )
 from stayscope.streaming.runner import AVAILABLE_NOW, Target, run_out, run_stream
 from stayscope.streaming.sinks import ChangeTable, SnapshotTable, stamped
@@ -48,6 +54,7 @@ PARTITION_YEAR = 1996
 WARM = 20
 SLICES = 4
 VERSIONS = 3
+BUCKETS = 8
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -178,6 +185,18 @@ def json_topic_infer(spark, sf_dir):
     return decode_json(messages, infer_json_schema(messages), keep=("event_id",))
 
 
+def json_topic_stored(spark, sf_dir):
+    """A topic read in two runs, each parsed once; the second brings a field that the first did not have."""
+    path = work_dir(spark, "json-topic")
+    events = fixtures.table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    schema = StructType()
+    for odd, fields in ((0, ["k"]), (1, ["k", "event_type"])):
+        messages = events.where(F.col("event_id") % 2 == odd).select("event_id", F.to_json(F.struct(*fields)).alias("value"))
+        stored = stored_variants(messages, path, keep=("event_id",))
+        schema = merged_schema(schema, DataType.fromDDL(schema_of_variants(stored)))
+    return decode_variants(spark.read.parquet(f"{path}/*"), schema, keep=("event_id",))
+
+
 def popular_from_topic(spark, sf_dir):
     """The weather as JSON messages whose schema is inferred, ids as doubles."""
     bookings, weather = _inputs(spark, sf_dir)
@@ -188,6 +207,24 @@ def popular_from_topic(spark, sf_dir):
 # --- files ----------------------------------------------------------------------------
 
 
+def bookings_by_month(spark, sf_dir):
+    """Enriched bookings from folders by month, of which only those with weather are read."""
+    root = work_dir(spark, "by-month")
+    bookings, weather = _inputs(spark, sf_dir)
+    write_by_month(bookings, f"{root}/bookings")
+    days = static_days(weather, f"{root}/days").frame
+    return finish_batch(join_days_by_month(read_table(spark, f"{root}/bookings"), days))
+
+
+def enrich_bucketed(spark, sf_dir):
+    """Enriched bookings from tables in buckets, joined and made distinct where they lie."""
+    root = work_dir(spark, "bucketed")
+    bookings, weather = _inputs(spark, sf_dir)
+    name = f"stays_{root.rsplit('-', 1)[1]}"
+    tables = bucketed_inputs(spark, fixtures.sent_again(bookings), weather_means(weather), name, root, BUCKETS)
+    return enrich_in_place(*tables)
+
+
 def scan_bookings(spark, sf_dir):
     return fixtures.as_bookings(read_table(spark, f"{sf_dir}/lineitem.parquet"))
 
@@ -333,7 +370,14 @@ def stream_copies_after_bound(spark, sf_dir):
         stream = read_table_stream(spark, f"{root}/in", bookings.schema, files_per_trigger=1)
         run_out(
             start_exact(
-                stream, days, f"{root}/out", f"{root}/checkpoint", "hotel", "0 seconds", trigger=AVAILABLE_NOW
+                stream,
+                days,
+                f"{root}/out",
+                f"{root}/checkpoint",
+                "hotel",
+                "0 seconds",
+                buckets=BUCKETS,
+                trigger=AVAILABLE_NOW,
             )
         )
     return popular_so_far(spark, counts_table(f"{root}/out/counts", "hotel"), "hotel")
@@ -476,9 +520,12 @@ QUERIES: dict[str, Query] = {
     "encode_preferences": encode_preferences,
     "json_topic_parse": json_topic_parse,
     "json_topic_infer": json_topic_infer,
+    "json_topic_stored": json_topic_stored,
     "popular_from_topic": popular_from_topic,
     "scan_bookings": scan_bookings,
     "partition_scan": partition_scan,
+    "bookings_by_month": bookings_by_month,
+    "enrich_bucketed": enrich_bucketed,
     "parquet_roundtrip": parquet_roundtrip,
     "stream_scan_bookings": stream_scan_bookings,
     "stream_enrich": stream_enrich,

@@ -145,9 +145,15 @@ SQL: dict[str, str] = {
     "encode_preferences": _sql(_ENCODED),
     "json_topic_parse": _PROPS,
     "json_topic_infer": _PROPS,
+    "json_topic_stored": (
+        "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, "
+        "CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type FROM events"
+    ),
     "popular_from_topic": _sql(_HOTEL_RESULT),
     "scan_bookings": _sql(_BOOKING_ROWS),
     "partition_scan": _sql(f"{_BOOKING_ROWS} WHERE CAST(srch_ci[1:4] AS INT) = {PARTITION_YEAR}"),
+    "bookings_by_month": _sql("SELECT * FROM enriched"),
+    "enrich_bucketed": _sql("SELECT * FROM enriched"),
     "parquet_roundtrip": _sql(_HOTEL_RESULT),
     "stream_scan_bookings": _sql(_BOOKING_ROWS),
     "stream_enrich": _sql("SELECT * FROM enriched"),

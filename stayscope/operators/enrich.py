@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stayscope.operators.bookings import BOOKING_KEYS, project_bookings, with_stay_days
@@ -36,9 +36,13 @@ def enrich_with_days(
     join_salts: int = 1,
     copy_salts: int = 0,
     copies_within: str | None = None,
+    unmatched: str | Observation | None = None,
 ) -> DataFrame:
     """``enrich`` for weather that ``weather_means`` has already reduced.
 
+    ``unmatched`` names an observation of how many bookings, copies included, met no weather; they then go
+    through the join and are dropped after it.
+
     The other arguments are for streams, where AQE does not help. ``join_salts`` splits
     the bookings of a hotel-day over that many tasks of a sort-merge join, at the price
     of as many copies of ``days``. ``copy_salts`` splits the copies of a booking over that
@@ -49,21 +53,25 @@ def enrich_with_days(
     A query must be restarted with the ``copy_salts`` and ``copies_within`` it began with.
     """
     if not bookings.isStreaming:
-        return finish_batch(join_days(project_bookings(bookings), days))
+        return finish_batch(join_days(project_bookings(bookings), days, unmatched=unmatched))
 
     # Null keys match no day; dropped before the salt, whose place in the plan stops filters.
     narrow = project_bookings(bookings).where("hotel_id IS NOT NULL AND srch_ci IS NOT NULL")
     if copies_within:
         narrow = narrow.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", copies_within)
     salted = narrow.withColumn("salt", booking_salt(max(join_salts, copy_salts, 1)))
-    joined = join_days(salted, days, join_salts)
+    joined = join_days(salted, days, join_salts, unmatched=unmatched)
     if copy_salts > 1:
         joined = drop_copies(joined, [*ENRICHED_KEYS, "salt"], bool(copies_within))
     return _finish(drop_copies(joined, ENRICHED_KEYS, bool(copies_within)))
 
 
 def join_days(
-    bookings: DataFrame, days: DataFrame, salts: int = 1, also: Column | None = None
+    bookings: DataFrame,
+    days: DataFrame,
+    salts: int = 1,
+    also: Column | None = None,
+    unmatched: str | Observation | None = None,
 ) -> DataFrame:
     """Inner join on hotel and check-in day, which is compared as text, and on what holds ``also``."""
     matches = (F.col("hotel_id") == F.col("Id")) & (F.col("srch_ci") == F.col("wthrDate"))
@@ -73,7 +81,12 @@ def join_days(
         matches &= F.col("salt") % salts == F.col("day_salt")
     if also is not None:
         matches &= also
-    return bookings.join(days, matches, "inner").drop("Id", "wthrDate", "day_salt")
+    if unmatched is None:
+        return bookings.join(days, matches, "inner").drop("Id", "wthrDate", "day_salt")
+    joined = bookings.join(days.withColumn("known", F.lit(True)), matches, "left")
+    none = F.count_if(F.col("known").isNull())
+    counted = joined.observe(unmatched, F.count("known").alias("matched"), none.alias("unmatched"))
+    return counted.where("known").drop("Id", "wthrDate", "day_salt", "known")
 
 
 def booking_salt(salts: int) -> Column:

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stayscope.operators.enrich import COPY_SALTS
@@ -28,8 +28,10 @@ from stayscope.plans.stream import (
 )
 from stayscope.schemas import BOOKINGS, ENRICHED, WEATHER_MESSAGES
 from stayscope.session import settings, settings_for, stored_bytes, work_dir
-from stayscope.sources.files import read_table, read_table_stream, write_table
+from stayscope.sources.files import archived, read_table, read_table_stream, write_table
+from stayscope.sources.tables import AtomicTable
 from stayscope.sources.topics import encode_json, read_json_topic, read_topic, read_topic_stream
+from stayscope.streaming.accounts import Accounts, observed_bookings, observed_messages
 from stayscope.streaming.runner import BatchWriter, Target, run_stream
 from stayscope.streaming.sinks import ChangeTable, DocumentIndex
 
@@ -60,15 +62,22 @@ class JobConfig:
     inputs first and also splits heavy hotel-days. ``input_bytes`` sizes the
     session's shuffles; left out, it is the size of the files of the bookings.
 
+    With ``atomic_output`` the batch publishes its result as a version of an ``AtomicTable``, so that a run that fails leaves
+    the result before; readers go through that table.
+
     The stream writes a change table at ``stream_output``, or, if ``index_format`` names
     a deployed connector, documents to that index. With ``stage``, a folder, it runs as
-    two queries, the first of which collapses copies into that folder. ``preferences`` is a
+    two queries, the first of which collapses copies into that folder; ``stage_archive`` is where the second moves
+    what it has counted, or the folder and its listing grow for ever. ``preferences`` is a
     topic that gets every classified booking as a message, from a query of its own.
 
     With ``live`` the stream follows the weather topic too: bookings wait for their weather,
     for ``patience`` if it is given (``plans.live``). With ``memory`` "files" it counts a booking once however late
     its copies come, with bounded state (``plans.exact``). Both add counts up at ``stream_output``; ``stream_result`` reads them.
 
+    With ``accounts`` the job counts what it leaves out (``streaming.accounts``): stray messages, null keys,
+    bookings without weather, late rows, expired messages. ``main`` returns the counts and prints those of the batch.
+
     ``days_path`` keeps the weather that a stream reads again at every trigger, so it must
     last; each start adds a version. ``state_partitions`` stay as they are for as long as a
     checkpoint does. ``copies_within``, ``copy_salts`` and ``join_salts`` are explained at
@@ -98,11 +107,14 @@ class JobConfig:
     days_path: str | None = None
     preferences: TopicConfig | None = None
     preferences_checkpoint: str | None = None
+    accounts: bool = False
+    atomic_output: bool = False
     live: bool = False
     patience: str | None = None
     memory: str = "state"
     stage: str | None = None
     stage_checkpoint: str | None = None
+    stage_archive: str | None = None
     index_format: str | None = None
     index_options: Mapping[str, str] = field(default_factory=dict)
 
@@ -122,28 +134,49 @@ def job_settings(spark: SparkSession, config: JobConfig) -> dict[str, str]:
     return settings_for(size, spark.sparkContext.defaultParallelism)
 
 
-def hotel_days(spark: SparkSession, config: JobConfig) -> StaticDays:
+def hotel_days(
+    spark: SparkSession, config: JobConfig, accounts: Accounts | None = None
+) -> StaticDays:
     """The weather topic, read once for both jobs."""
     topic = config.weather
     messages = read_topic(spark, topic.options, topic.fmt, topic.path)
+    seen = Observation("weather")
+    if accounts is not None:
+        messages = observed_messages(messages, seen)
     schema = None if topic.schema == "infer" else topic.schema or WEATHER_MESSAGES
     weather = read_json_topic(messages, schema)
     path = f"{config.days_path}/version-{uuid.uuid4().hex}" if config.days_path else None
     path = path or work_dir(spark, "days")
-    return static_days(weather, path, config.min_tmpr, salts=config.join_salts)
+    days = static_days(weather, path, config.min_tmpr, salts=config.join_salts)
+    if accounts is not None:
+        accounts.add("weather", seen.get)
+    return days
 
 
-def batch_result(spark: SparkSession, config: JobConfig, days: StaticDays) -> DataFrame:
+def batch_result(
+    spark: SparkSession, config: JobConfig, days: StaticDays, seen: Observation | None = None
+) -> DataFrame:
     """The result per hotel, in the configured order of work."""
     bookings = read_table(
         spark, config.batch_bookings, config.bookings_format, options=config.bookings_options
     )
+    if seen is not None:
+        bookings = observed_bookings(bookings, seen)
     return ORDERS[config.order](bookings, days.frame)
 
 
-def run_batch(spark: SparkSession, config: JobConfig, days: StaticDays) -> None:
-    """Replace the result per hotel at ``batch_output``."""
-    write_table(batch_result(spark, config, days), config.batch_output)
+def run_batch(
+    spark: SparkSession, config: JobConfig, days: StaticDays, accounts: Accounts | None = None
+) -> None:
+    """Replace the result per hotel at ``batch_output``, in one step if ``atomic_output`` says so."""
+    seen = Observation("batch_bookings") if accounts is not None else None
+    result = batch_result(spark, config, days, seen)
+    if config.atomic_output:
+        AtomicTable(config.batch_output).replace(result)
+    else:
+        write_table(result, config.batch_output)
+    if accounts is not None:
+        accounts.add("batch_bookings", seen.get)
 
 
 def stream_sink(config: JobConfig) -> BatchWriter:
@@ -166,7 +199,7 @@ def trigger_of(config: JobConfig) -> dict[str, object] | None:
 
 def bookings_stream(spark: SparkSession, config: JobConfig) -> DataFrame:
     options = {**trigger_options(config), **config.bookings_options}
-    return read_table_stream(
+    bookings = read_table_stream(
         spark,
         config.stream_bookings,
         BOOKINGS,
@@ -174,6 +207,7 @@ def bookings_stream(spark: SparkSession, config: JobConfig) -> DataFrame:
         config.files_per_trigger,
         options,
     )
+    return observed_bookings(bookings) if config.accounts else bookings
 
 
 def removal_of_copies(config: JobConfig) -> dict[str, object]:
@@ -222,14 +256,15 @@ def start_stream(
     """
     if config.stage is None:
         bookings = bookings_stream(spark, config)
-        result = popular_stays_stream(bookings, days, config.grain, **removal_of_copies(config))
+        join = {"unmatched": "join"} if config.accounts else {}
+        result = popular_stays_stream(bookings, days, config.grain, **removal_of_copies(config), **join)
     else:
         enriched = read_table_stream(
             spark,
             config.stage,
             ENRICHED,
             files_per_trigger=config.files_per_trigger,
-            options=trigger_options(config),
+            options={**trigger_options(config), **(archived(config.stage_archive) if config.stage_archive else {})},
         )
         result = popular_stays_collapsed(enriched, config.grain)
     return run_stream(
@@ -248,6 +283,8 @@ def weather_stream(spark: SparkSession, config: JobConfig) -> DataFrame:
     if topic.schema == "infer":
         raise ValueError("a stream of weather needs a schema")
     messages = read_topic_stream(spark, topic.options, topic.fmt, topic.path)
+    if config.accounts:
+        messages = observed_messages(messages, "weather")
     return read_json_topic(messages, topic.schema or WEATHER_MESSAGES)
 
 
@@ -287,7 +324,7 @@ def stream_result(spark: SparkSession, config: JobConfig) -> DataFrame:
     return GRAINS[config.grain].visible(ChangeTable(config.stream_output, GRAINS[config.grain].keys).read(spark))
 
 
-def main(arguments: list[str] | None = None) -> None:
+def main(arguments: list[str] | None = None) -> dict[str, dict[str, int]]:
     parser = argparse.ArgumentParser(description="Most popular stays per hotel")
     parser.add_argument("config", help="JSON file with the fields of JobConfig")
     parser.add_argument("--mode", choices=["batch", "stream", "both"], default="both")
@@ -299,11 +336,14 @@ def main(arguments: list[str] | None = None) -> None:
     if parsed.mode != "batch" and not config.days_path and not config.live:
         raise ValueError("a stream needs days_path, a folder that lasts as long as it runs")
     spark = SparkSession.builder.appName("stayscope").getOrCreate()
+    accounts = Accounts().listen(spark) if config.accounts else None
     with settings(spark, job_settings(spark, config)):
         # a live stream reads the weather itself
-        days = None if config.live and parsed.mode == "stream" else hotel_days(spark, config)
+        days = None if config.live and parsed.mode == "stream" else hotel_days(spark, config, accounts)
         if parsed.mode != "stream":
-            run_batch(spark, config, days)
+            run_batch(spark, config, days, accounts)
+            if accounts is not None:
+                print(json.dumps(accounts.totals))
         if parsed.mode != "batch":
             if config.stage is not None:
                 start_stage(spark, config, days)
@@ -312,6 +352,7 @@ def main(arguments: list[str] | None = None) -> None:
             adds = config.live or config.memory == "files"
             (start_adding if adds else start_stream)(spark, config, days)
             spark.streams.awaitAnyTermination()
+    return accounts.totals if accounts is not None else {}
 
 
 if __name__ == "__main__":

@@ -57,3 +57,12 @@ def write_table(
         frame = frame.hint("rebalance", *partition_by)
     writer = frame.write.format(fmt).mode("overwrite").options(**(options or {}))
     writer.partitionBy(*partition_by).save(path)
+
+
+def archived(folder: str) -> dict[str, str]:
+    """Options of a stream of files: what has been processed is moved to ``folder``, so that listings stay short.
+
+    A file moves after the micro-batch behind the one that read it is done, when no restart needs it any more.
+    The folder must not match the path that is read.
+    """
+    return {"cleanSource": "archive", "sourceArchiveDir": folder}

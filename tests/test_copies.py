@@ -59,7 +59,7 @@ def test_many_batches_leave_few_runs_and_forget_nothing(spark, tmp_path):
 
 def test_new_keys_do_not_read_old_ones(spark, tmp_path, monkeypatch):
     """With ten bits a key about one in eighty new keys is suspected; the folders of the others are not read."""
-    seen = SeenKeys(str(tmp_path / "seen"), ["a"], buckets=4096)
+    seen = SeenKeys(str(tmp_path / "seen"), ["a"], buckets=64)
     key = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("a"))
     seen.admit(key(0, 20_000), 0)
     read = []
@@ -88,7 +88,7 @@ def world(spark, sf_dir, tmp_path_factory):
 
 def exact_run(spark, bookings, days, root, **options):
     stream = read_table_stream(spark, f"{root}/in", bookings.schema, files_per_trigger=1)
-    query = start_exact(stream, days, f"{root}/out", f"{root}/cp", "hotel", "0 seconds", trigger=AVAILABLE_NOW, **options)
+    query = start_exact(stream, days, f"{root}/out", f"{root}/cp", "hotel", "0 seconds", buckets=4, trigger=AVAILABLE_NOW, **options)
     run_out(query)
     return query
 

@@ -29,6 +29,7 @@ def test_stay_days(spark, check_in, check_out, days):
     assert result.first()["d"] == days
 
 
+# Labels and descriptions of the stay categories at their bounds.
 @pytest.mark.parametrize(
     ("days", "label", "description"),
     [
@@ -69,6 +70,7 @@ def test_one_fallback_is_required():
 
 
 def test_argmax_ties_go_to_the_name_that_sorts_last(spark):
+    # Names of the counters, by the order in which ties go to them.
     order = [
         "standart_stay_cnt",
         "standart_extended_stay_cnt",
