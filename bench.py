@@ -101,6 +101,7 @@ def main() -> None:
 
     queries = {name: QUERIES[name] for name in HEADLINE}
     queries["comparison_averaging_after_the_join"] = averaging_after_the_join
+    queries["comparison_order_by_sketches"] = QUERIES["batch_popular_by_hotel_adaptive"]
     queries["comparison_stream_in_one_trigger"] = stream_over_six_files(None)
     queries["comparison_stream_in_six_triggers"] = stream_over_six_files(1)
     seconds(queries["batch_popular_by_hotel"], spark, sf_dir)  # start the JVM's compilers

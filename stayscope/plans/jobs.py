@@ -30,7 +30,15 @@ from stayscope.schemas import BOOKINGS, ENRICHED, WEATHER_MESSAGES
 from stayscope.session import settings, settings_for, stored_bytes, work_dir
 from stayscope.sources.files import archived, read_table, read_table_stream, write_table
 from stayscope.sources.tables import AtomicTable
-from stayscope.sources.topics import encode_json, read_json_topic, read_topic, read_topic_stream
+from stayscope.sources.topics import (
+    decode_variants,
+    encode_json,
+    read_json_topic,
+    read_topic,
+    read_topic_stream,
+    schema_of_variants,
+    stored_variants,
+)
 from stayscope.streaming.accounts import Accounts, observed_bookings, observed_messages
 from stayscope.streaming.runner import BatchWriter, Target, run_stream
 from stayscope.streaming.sinks import ChangeTable, DocumentIndex
@@ -45,7 +53,7 @@ class TopicConfig:
     """A topic of JSON messages.
 
     Weather has the fields of ``WEATHER_MESSAGES`` unless ``schema`` says otherwise; with
-    "infer" it is inferred from all messages, which reads the topic once more.
+    "infer" it is inferred from all messages, which are parsed once and kept for that while the job runs.
     """
 
     fmt: str = "kafka"
@@ -143,8 +151,12 @@ def hotel_days(
     seen = Observation("weather")
     if accounts is not None:
         messages = observed_messages(messages, seen)
-    schema = None if topic.schema == "infer" else topic.schema or WEATHER_MESSAGES
-    weather = read_json_topic(messages, schema)
+    if topic.schema == "infer":
+        # parsed once, so that the messages that are decoded are those that the schema is of
+        stored = stored_variants(messages, work_dir(spark, "weather-topic"))
+        weather = decode_variants(stored, schema_of_variants(stored))
+    else:
+        weather = read_json_topic(messages, topic.schema or WEATHER_MESSAGES)
     path = f"{config.days_path}/version-{uuid.uuid4().hex}" if config.days_path else None
     path = path or work_dir(spark, "days")
     days = static_days(weather, path, config.min_tmpr, salts=config.join_salts)
@@ -341,8 +353,10 @@ def main(arguments: list[str] | None = None) -> dict[str, dict[str, int]]:
         # a live stream reads the weather itself
         days = None if config.live and parsed.mode == "stream" else hotel_days(spark, config, accounts)
         if parsed.mode != "stream":
-            run_batch(spark, config, days, accounts)
-            if accounts is not None:
+            if accounts is None:
+                run_batch(spark, config, days)
+            else:
+                run_batch(spark, config, days, accounts)
                 print(json.dumps(accounts.totals))
         if parsed.mode != "batch":
             if config.stage is not None:
