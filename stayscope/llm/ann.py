@@ -15,7 +15,8 @@ each of which returns a query's best only. Scores are exact inner products of th
 
 Definitions. Vectors that are null, empty, zero or hold null or non-finite components take
 no part. Vectors of different lengths are not compared. A query's own id is no candidate;
-repeated rows of one id count once. Ties go to the smaller id. A query for which fewer than k
+all vectors of a repeated id are, and it is returned once, with its best score. Query rows of one id share their k results.
+Ties go to the smaller id. A query for which fewer than k
 are found in its first buckets is compared with every vector of its length, in blocks of ``PART``.
 """
 

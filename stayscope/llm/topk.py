@@ -13,8 +13,8 @@ as one row each, and only the best of each query and block come back.
 Definitions. Components become floor(scale * x) as integers, inner products are exact in
 doubles below 2**53. Vectors that are null, empty or hold null or non-finite components take
 no part, and neither does a query or candidate with a null id. A query's own id is no
-candidate; repeated rows of one id count once. Vectors of different lengths are not
-compared. Ties go to the smaller id.
+candidate; all other rows are, also different vectors of one id, each in its own right; rows that are the same in both
+count once. Query rows of one id share their k results. Vectors of different lengths are not compared. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -121,11 +121,11 @@ def _blocks(vectors: DataFrame, block: Column) -> DataFrame:
 
 
 def usable(vectors: DataFrame, id_column: str, vec_column: str) -> DataFrame:
-    """(id, vec) of the vectors that take part, one for each id."""
+    """The different (id, vec) of the rows that take part."""
     vec = F.col(vec_column).cast("array<double>")
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = vectors.select(F.col(id_column).cast("long").alias("id"), vec.alias("vec"))
-    return whole.filter("id is not null and size(vec) > 0").filter(~bad).groupBy("id").agg(F.min("vec").alias("vec"))
+    return whole.filter("id is not null and size(vec) > 0").filter(~bad).distinct()
 
 
 def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
