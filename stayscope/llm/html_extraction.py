@@ -291,6 +291,8 @@ class Model:
 
     def text(self, source: str) -> str:
         page = Page(source)
+        if len(page.tag) == 1:  # no element holds the text, so it is all there is
+            return "\n".join(text for _, text in page.blocks)
         content = self.marginals(page)
         return "\n".join(text for node, text in page.blocks if content[node] > THRESHOLD)
 
@@ -312,7 +314,10 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Model:
     spark, kind = pages.sparkSession, "what string, name string, y int, n double"
     layouts = spark.createDataFrame([(x,) for x in labelled_pages()], "html string").mapInArrow(lambda b: _counted(b, False), kind)
     texts = pages.select(F.col("html").cast("string").alias("html"), F.xxhash64("page_id", "url").alias("h"))
-    some = texts.filter("html rlike '(?i)<(article|main)'").orderBy("h", "html").limit(sample).select("html")
+    marked = texts.filter("html rlike '(?i)<(article|main)'")
+    # Only hashes are sorted; the pages of the least ones are then counted where they are, one for each hash.
+    last = marked.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    some = marked.filter(F.col("h") <= F.lit(last)).groupBy("h").agg(F.min("html").alias("html")).select("html")
     every = layouts.unionByName(some.mapInArrow(lambda b: _counted(b, True), kind))
     rows = every.groupBy("what", "name", "y").agg(F.sum("n").alias("n")).collect()  # as many as words in the sample's attributes
     return Model({(r["what"], r["name"], r["y"]): r["n"] for r in rows})
