@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, work_dir
+from .columns import any_names
 from .graph import components
 from .words import U, Words, grouped, mix, sequence_hash, text_bytes
 
@@ -45,8 +46,10 @@ BANDS = COORDINATES // ROWS_PER_BAND
 LOW = U((1 << 52) - 1)
 #: Rounds that compare each member of a bucket with one other, before the rest is compared in blocks.
 STAR_ROUNDS = 2
-#: Nodes of a block of the rest.
-BLOCK = 2048
+#: Nodes of a block of the rest, and elements of all its sets, 8 bytes each, about.
+BLOCK, ELEMENTS = 2048, 4_000_000
+#: Texts that a worker gets at a time.
+BATCH_ROWS = 1000
 
 
 def shingle_set(value: np.ndarray) -> np.ndarray:
@@ -187,6 +190,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64("doc_id", text).alias("k"))
 
 
+@any_names("doc_id", "text", "lang", "source", "n_chars")
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, k, n_shingles, component_id, kept: one row for each row of ``docs`` (doc_id, text)."""
     return _result(*_linked(docs))
@@ -197,7 +201,8 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     fresh = lambda frame: materialize(frame, work_dir(spark, "near"))
     keyed = _keyed(docs)
-    about = fresh(keyed.mapInArrow(_described, "doc_id long, k long, node binary, n long, bands array<long>"))
+    described = keyed.mapInArrow(_described, "doc_id long, k long, node binary, n long, bands array<long>")
+    about = materialize(described, work_dir(spark, "near"), BATCH_ROWS)
     named = about.filter("node is not null")
     rows = named.groupBy("node").agg(F.min("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
@@ -251,7 +256,8 @@ def _residual(left: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
     """
     groups = components(left.select(F.col("node").alias("a"), F.col("least").alias("b"))).withColumnRenamed("label", "group")
     nodes = left.groupBy("node").agg(F.first("label").alias("label")).join(groups, "node")
-    blocks = groups.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    load = F.greatest(F.count("*") / BLOCK, F.sum("n") / ELEMENTS)
+    blocks = groups.join(classes.select("node", "n"), "node").groupBy("group").agg(F.ceil(load).cast("int").alias("blocks"))
     dealt = nodes.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     key = ["group", "x", "y"]
@@ -281,6 +287,7 @@ def _leaders(about: DataFrame, links: DataFrame) -> DataFrame:
     return least.unionByName(about.filter("node is null").select("doc_id", "k").distinct())
 
 
+@any_names("doc_id", "text", "lang", "source", "n_chars")
 def near_dedup(docs: DataFrame, one_each: bool = False) -> DataFrame:
     """``docs`` without the documents that are near copies of one with a smaller doc_id.
 

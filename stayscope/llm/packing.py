@@ -30,13 +30,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize, work_dir
+from .columns import any_names
 from .bpe import shown_bytes
 from .words import Places, Stretches, column, text_bytes
+from .workers import forget_others, remembers
 
 CAPACITY = 2048
 END_ID = 1
 #: Words and pieces of words a task remembers the ids of. Words are soon put together again from pieces.
 REMEMBERED, PIECES = 300_000, 700_000
+#: Texts that a worker gets at a time; it remembers a lot besides.
+BATCH_ROWS = 1000
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 100_000
 
@@ -124,6 +128,7 @@ def _word_ids(path: str) -> WordIds:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     coder = _word_ids(path)
+    remembers("packing", _word_ids.cache_clear)
     gc.disable()  # what is remembered has no cycles, and it would be walked again and again
     try:
         yield from _cut(batches, coder, capacity, with_ids)
@@ -208,7 +213,9 @@ def _slots(patterns: list[tuple[int, dict[int, int]]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def _placed(batches: Iterator[pa.RecordBatch], slots: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _placed(batches: Iterator[pa.RecordBatch], slots: np.ndarray, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    if with_ids:  # batches are large, and what was remembered for encoding is not needed any more
+        forget_others("placing")
     bounds = {int(v): (np.searchsorted(slots[:, 0], v), np.searchsorted(slots[:, 0], v, "right")) for v in np.unique(slots[:, 0])}
     for batch in batches:
         length, number = column(batch, "length").to_numpy(), column(batch, "number").to_numpy()
@@ -224,12 +231,13 @@ def _placed(batches: Iterator[pa.RecordBatch], slots: np.ndarray) -> Iterator[pa
         yield pa.record_batch([*(column(batch, n) for n in names), *map(pa.array, found.values())], [*names, *found])
 
 
+@any_names("doc_id", "text", "lang", "source", "n_chars")
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids): a row for each piece."""
     spark = docs.sparkSession
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = materialize(texts.mapInArrow(lambda b: _pieces(b, tokenizer, capacity, with_ids), kinds), work_dir(spark, "packing"))
+    pieces = materialize(texts.mapInArrow(lambda b: _pieces(b, tokenizer, capacity, with_ids), kinds), work_dir(spark, "packing"), BATCH_ROWS)
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     salts = 1 + max(counts.values(), default=0) // NUMBERED
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)))
@@ -240,7 +248,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bo
     numbered = salted.withColumn("own", F.row_number().over(own)).join(begins, ["length", "salt"])
     numbered = numbered.withColumn("number", F.col("begin") + F.col("own") - 1).select(*pieces.columns, "number")
     slots = _slots(plan(counts, capacity))
-    return numbered.mapInArrow(lambda b: _placed(b, slots), f"{kinds}, sequence_id long, offset long")
+    return numbered.mapInArrow(lambda b: _placed(b, slots, with_ids), f"{kinds}, sequence_id long, offset long")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
