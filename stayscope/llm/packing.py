@@ -214,7 +214,7 @@ def _slots(patterns: list[tuple[int, dict[int, int]]]) -> np.ndarray:
 
 
 def _placed(batches: Iterator[pa.RecordBatch], slots: np.ndarray, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    if with_ids:  # batches are large, and what was remembered for encoding is not needed any more
+    if with_ids:  # the ids are sorted next, and what was remembered for encoding is not needed any more
         forget_others("placing")
     bounds = {int(v): (np.searchsorted(slots[:, 0], v), np.searchsorted(slots[:, 0], v, "right")) for v in np.unique(slots[:, 0])}
     for batch in batches:
@@ -237,7 +237,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bo
     spark = docs.sparkSession
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = materialize(texts.mapInArrow(lambda b: _pieces(b, tokenizer, capacity, with_ids), kinds), work_dir(spark, "packing"), BATCH_ROWS)
+    cut = texts.mapInArrow(lambda b: _pieces(b, tokenizer, capacity, with_ids), kinds)
+    if with_ids:
+        cut = cut.withColumn("piece", F.monotonically_increasing_id())
+    whole = materialize(cut, work_dir(spark, "packing"), BATCH_ROWS)
+    pieces = whole.drop("ids")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     salts = 1 + max(counts.values(), default=0) // NUMBERED
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)))
@@ -248,7 +252,14 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bo
     numbered = salted.withColumn("own", F.row_number().over(own)).join(begins, ["length", "salt"])
     numbered = numbered.withColumn("number", F.col("begin") + F.col("own") - 1).select(*pieces.columns, "number")
     slots = _slots(plan(counts, capacity))
-    return numbered.mapInArrow(lambda b: _placed(b, slots, with_ids), f"{kinds}, sequence_id long, offset long")
+    own = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", piece long" * with_ids
+    placed = numbered.mapInArrow(lambda b: _placed(b, slots, with_ids), f"{own}, sequence_id long, offset long")
+    if not with_ids:
+        return placed
+    # Python places pieces without their ids, which join them afterwards.
+    placed = materialize(placed, work_dir(spark, "placed"))
+    joined = placed.join(whole.select("piece", "ids"), "piece")
+    return joined.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
