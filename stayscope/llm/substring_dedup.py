@@ -11,8 +11,8 @@ equal windows have equal anchors at equal places.
 
 Spark then counts the anchors. Windows whose anchor occurs once are unique. The others are
 compared exactly, by a second value of all their words, among the windows of their anchor,
-in one shuffle by anchor. The places of a frequent anchor are dealt to shares of bounded
-size. Each share hands on its different windows, as lists by a part of their values, and
+in one shuffle by anchor. The windows of frequent anchors are dealt by document to shares of
+bounded size. Each share hands on its different windows, as lists by a part of their values, and
 learns which of them other shares have too. Documents with the same words throughout are
 all repeated, and only one of them takes part in the comparison.
 
@@ -45,6 +45,7 @@ ROUNDS = 7
 RUN_ROUNDS = (0, 3)
 #: Occurrences of an anchor in one share, about.
 FREQUENT = 2000
+FOUND = "found array<struct<first: int, mask: long>>"
 #: Bits of a packed value that hold the symbol's place.
 PLACE = U((1 << 24) - 1)
 
@@ -280,16 +281,10 @@ def _same(a: str, b: str) -> list:
     return [F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")), F.col(f"{a}.k") == F.col(f"{b}.k")]
 
 
-def _dealt(windows: DataFrame) -> DataFrame:
-    share = F.pmod(F.xxhash64("doc_id", "k", "first"), F.col("shares")).cast("int").alias("share")
-    return windows.select("doc_id", "k", "anchor", share, "shares", "first", "windows")
-
-
 def _local(windows: DataFrame) -> DataFrame:
-    """A row for each window, with the number of equal ones in its anchor's share."""
-    dealt = _dealt(windows).repartition("anchor", "share")
-    each = dealt.select("doc_id", "k", "anchor", "share", "first", F.posexplode("windows").alias("i", "h"))
-    return each.withColumn("n", F.count("*").over(Window.partitionBy("anchor", "share", "h")))
+    """A row for each window, with the number of equal ones under its anchor."""
+    each = windows.repartition("anchor").select("doc_id", "k", "anchor", "first", F.posexplode("windows").alias("i", "h"))
+    return each.withColumn("n", F.count("*").over(Window.partitionBy("anchor", "h")))
 
 
 def _values(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -298,53 +293,72 @@ def _values(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
 
 
-def _lists(anchor: pa.Scalar, label: np.ndarray, h: np.ndarray) -> dict[str, pa.Array]:
-    """A row for each label, with its values."""
-    order = np.argsort(label, kind="stable")
-    labels, begin = np.unique(label[order], return_index=True)
-    windows = pa.ListArray.from_arrays(pa.array(np.append(begin, len(h)).astype(np.int32)), pa.array(h[order]))
-    return {"anchor": pa.array([anchor.as_py()] * len(labels), pa.int64()), "label": pa.array(labels, pa.int32()), "windows": windows}
-
-
 def _different(key: tuple, table: pa.Table) -> pa.Table:
-    """The different windows of a share, in as many buckets as the anchor has shares."""
-    h = np.unique(_values(table)[0])
-    rows = _lists(key[0], h.view(U) % U(table.column("shares")[0].as_py()), h)
-    share = pa.array([key[1].as_py()] * len(rows["label"]), pa.int32())
-    return pa.table({"anchor": rows["anchor"], "share": share, "bucket": rows["label"], "windows": rows["windows"]})
-
-
-def _shared(key: tuple, table: pa.Table) -> pa.Table:
+    """The different windows of a share, for each anchor in as many buckets as it has shares' worth of occurrences."""
+    h, size = _values(table)
+    anchor, shares = (np.repeat(table.column(c).to_numpy(), size) for c in ("anchor", "shares"))
+    bucket = (h.view(U) % shares.astype(U)).astype(np.int32)
+    order = np.lexsort((h, bucket, anchor))
+    h, bucket, anchor = h[order], bucket[order], anchor[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (anchor[1:] != anchor[:-1])
+    h, bucket, anchor = h[new], bucket[new], anchor[new]
+    first = np.flatnonzero(np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (anchor[1:] != anchor[:-1])))[: len(h)])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(h)).astype(np.int32)), pa.array(h))
+    share = pa.array([key[0].as_py()] * len(first), pa.int64())
+    return pa.table({"anchor": pa.array(anchor[first]), "share": share, "bucket": pa.array(bucket[first]), "windows": lists})
+
+
+def _shared(_: tuple, table: pa.Table) -> pa.Table:
     """For each share the windows of a bucket that another share has too."""
     h, size = _values(table)
     _, at, n = np.unique(h, return_inverse=True, return_counts=True)
     several = n[at] > 1
-    rows = _lists(key[0], np.repeat(table.column("share").to_numpy(), size)[several], h[several])
-    return pa.table({"anchor": rows["anchor"], "share": rows["label"], "windows": rows["windows"]})
+    share, h = np.repeat(table.column("share").to_numpy(), size)[several], h[several]
+    order = np.argsort(share, kind="stable")
+    labels, begin = np.unique(share[order], return_index=True)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(h)).astype(np.int32)), pa.array(h[order]))
+    return pa.table({"share": pa.array(labels, pa.int64()), "windows": lists})
 
 
 def _compared(occurrences: pa.Table, elsewhere: pa.Table) -> pa.Table:
-    """The repeated windows of a share, by occurrence of the anchor."""
+    """The repeated windows of a share's documents, a row for each document that has any."""
+    occurrences = occurrences.sort_by([("k", "ascending"), ("doc_id", "ascending")])
     h, size = _values(occurrences)
     _, at, n = np.unique(h, return_inverse=True, return_counts=True)
     again = (n[at] > 1) | np.isin(h, _values(elsewhere)[0])
     first = np.cumsum(size) - size
     place = np.arange(len(h)) - np.repeat(first, size)
     mask = np.bitwise_or.reduceat(again.astype(np.int64) << place, first) if len(first) else np.zeros(0, np.int64)
-    return occurrences.select(["doc_id", "k", "first"]).append_column("mask", pa.array(mask)).filter(pa.array(mask != 0))
+    some = occurrences.select(["doc_id", "k", "first"]).append_column("mask", pa.array(mask)).filter(pa.array(mask != 0)).combine_chunks()
+    ks, ids, none = some.column("k").to_numpy(), some.column("doc_id").fill_null(0).to_numpy(), some.column("doc_id").is_null().to_numpy()
+    other = np.ones(len(ks), bool)
+    other[1:] = (ks[1:] != ks[:-1]) | (ids[1:] != ids[:-1]) | (none[1:] != none[:-1])
+    begin = np.flatnonzero(other)
+    pairs = pa.StructArray.from_arrays([some.column(c).combine_chunks() for c in ("first", "mask")], ["first", "mask"])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(ks)).astype(np.int32)), pairs)
+    rows = pa.array(begin)
+    return pa.table({"doc_id": some.column("doc_id").take(rows), "k": some.column("k").take(rows), "found": lists})
 
 
 def _often(windows: DataFrame) -> DataFrame:
-    """The repeated windows of frequent anchors; a group holds a share, or a bucket's different windows."""
-    shares = _dealt(windows).groupBy("anchor", "share")
-    different = shares.applyInArrow(_different, "anchor long, share int, bucket int, windows array<long>")
-    shared = different.groupBy("anchor", "bucket").applyInArrow(_shared, "anchor long, share int, windows array<long>")
-    return shares.cogroup(shared.groupBy("anchor", "share")).applyInArrow(_compared, "doc_id long, k long, first int, mask long")
+    """(doc_id, k, found): the repeated windows of frequent anchors.
+
+    A share holds all of these that its documents have, so that a document gets one row however many it
+    has. Shares hand on their different windows, and learn which of them other shares have too.
+    """
+    shares = 1 + windows.count() // FREQUENT
+    share = F.pmod(F.xxhash64("doc_id", "k"), F.lit(shares)).cast("long").alias("share")
+    dealt = windows.select("doc_id", "k", "anchor", share, "shares", "first", "windows").groupBy("share")
+    different = dealt.applyInArrow(_different, "anchor long, share long, bucket int, windows array<long>")
+    shared = different.groupBy("anchor", "bucket").applyInArrow(_shared, "share long, windows array<long>")
+    return dealt.cogroup(shared.groupBy("share")).applyInArrow(_compared, f"doc_id long, k long, {FOUND}")
 
 
 def _masks(repeated: DataFrame) -> DataFrame:
     mask = F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")
-    return repeated.groupBy("anchor", "share", "doc_id", "k", "first").agg(mask).select("doc_id", "k", "first", "mask")
+    rows = repeated.groupBy("anchor", "doc_id", "k", "first").agg(mask)
+    return rows.select("doc_id", "k", F.array(F.struct("first", "mask")).alias("found"))
 
 
 def _repeats(keyed: DataFrame, texts: DataFrame) -> DataFrame:
@@ -364,15 +378,17 @@ def _repeats(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     listed = own.join(counted, "anchor").groupBy("doc_id", "k").agg(
         F.collect_list("anchor").alias("anchors"), F.collect_list("shares").alias("shares")
     )
-    listed = listed.alias("l").join(copies.filter("later").alias("c"), _same("l", "c"), "left_anti")
+    # Written down, so that the files of its shuffles are gone before the texts are shuffled.
+    listed = fresh(listed.alias("l").join(copies.filter("later").alias("c"), _same("l", "c"), "left_anti"))
     asked = texts.alias("t").join(listed.alias("l"), _same("t", "l")).select("t.doc_id", "t.k", "t.z", "l.anchors", "l.shares")
     windows = fresh(
         asked.mapInArrow(_window_rows, "doc_id long, k long, anchor long, shares int, first int, windows array<long>")
     )
     masks = _masks(_local(windows.filter("shares = 1")).filter("n > 1"))
     masks = masks.union(_often(windows.filter("shares > 1")))
-    every = copies.select("doc_id", "k", F.lit(-1).alias("first"), F.lit(0).cast("long").alias("mask"))
-    return masks.union(every).groupBy("doc_id", "k").agg(F.collect_list(F.struct("first", "mask")).alias("found"))
+    whole = F.array(F.struct(F.lit(-1).alias("first"), F.lit(0).cast("long").alias("mask")))
+    every = copies.select("doc_id", "k", whole.alias("found"))
+    return masks.union(every).groupBy("doc_id", "k").agg(F.flatten(F.collect_list("found")).alias("found"))
 
 
 @any_names("doc_id", "text", "lang", "source", "n_chars")
