@@ -19,7 +19,8 @@ from stayscope.schemas import ENRICHED
 from stayscope.session import MIB, file_system, materialize
 from stayscope.streaming.runner import run_stream
 
-MAX_BROADCAST = 64 * MIB
+# The driver builds each broadcast, a new one for every micro-batch, and holds several times its bytes.
+MAX_BROADCAST = 8 * MIB
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,8 @@ def static_days(
     days = materialize(weather_means(weather, min_tmpr), path)
     if table_bytes(days) <= max_broadcast:
         return StaticDays(F.broadcast(days), join_salts=1)
-    return StaticDays(days, join_salts=salts)
+    # else Spark would broadcast it by the size of its files, which is a small part of that of its rows, salts included
+    return StaticDays(days.hint("merge"), join_salts=salts)
 
 
 def table_bytes(days: DataFrame) -> int:

@@ -19,7 +19,7 @@ from stayscope.plans.stream import (
     table_bytes,
 )
 from stayscope.schemas import ENRICHED, PREFERENCES
-from stayscope.session import work_dir
+from stayscope.session import settings, work_dir
 from stayscope.sources.files import read_table_stream
 from stayscope.sources.topics import decode_json, encode_json, read_topic_stream
 from stayscope.streaming.runner import AVAILABLE_NOW, Target, run_out, run_stream
@@ -265,6 +265,14 @@ def test_size_of_the_days_decides_the_join(spark, tmp_path):
     assert static_days(weather, str(tmp_path / "large"), max_broadcast=100).join_salts > 1
 
 
+def test_days_that_are_not_small_are_merged(spark, inputs, tmp_path):
+    days = static_days(inputs[2], str(tmp_path / "days"), max_broadcast=0)
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        for bookings in (inputs[1], stream_of(spark, inputs, 1)):
+            plan = plan_of(enrich_with_days(bookings, days.frame, days.join_salts))
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_state_is_kept_by_rocksdb(spark, inputs, days, tmp_path):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     run_popular(spark, stream_of(spark, inputs), days, "hotel", tmp_path)
