@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayscope.operators.bookings import BOOKING_KEYS, project_bookings, with_stay_days
-from stayscope.operators.enrich import ENRICHED_KEYS
+from stayscope.operators.enrich import ENRICHED_KEYS, join_days
 from stayscope.sources.files import write_table
 
 MONTH = "ci_month"
@@ -24,14 +24,13 @@ def write_by_month(bookings: DataFrame, path: str) -> None:
 def join_days_by_month(by_month: DataFrame, days: DataFrame) -> DataFrame:
     """``join_days`` for bookings read from ``write_by_month``, of which only months with weather are read.
 
-    The months are known when the query runs: the weather is broadcast, for which it must have been measured
-    (``static_days``), and its months prune the folders before they are listed for reading.
+    The months are known when the query runs: they alone are broadcast, each once, and prune the folders before
+    these are listed for reading. The weather is broadcast only if it has been measured to be small (``static_days``).
     """
     # true of all days, but a comparison: without one Spark takes the weather for all there is and prunes nothing
-    months = days.withColumn("day_month", month_of("wthrDate")).where(F.col("day_month") >= "")
-    matches = (F.col("hotel_id") == F.col("Id")) & (F.col("srch_ci") == F.col("wthrDate"))
-    joined = by_month.join(F.broadcast(months), matches & (F.col(MONTH) == F.col("day_month")))
-    return joined.drop("Id", "wthrDate", MONTH, "day_month")
+    months = days.select(month_of("wthrDate").alias("day_month")).where(F.col("day_month") >= "").distinct()
+    read = by_month.join(F.broadcast(months), F.col(MONTH) == F.col("day_month"), "left_semi")
+    return join_days(read, days).drop(MONTH)
 
 
 def write_bucketed(frame: DataFrame, table: str, path: str, hotel: str, day: str, buckets: int) -> DataFrame:

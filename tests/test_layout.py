@@ -123,3 +123,15 @@ def test_weather_without_rows(spark, sf_dir, tmp_path):
     write_by_month(bookings, f"{tmp_path}/bookings")
     days = static_days(weather_of(spark, []), f"{tmp_path}/days").frame
     assert rows_of(finish_batch(join_days_by_month(read_table(spark, f"{tmp_path}/bookings"), days))) == []
+
+
+def test_weather_that_is_not_small_is_not_broadcast(spark, sf_dir, tmp_path):
+    bookings, weather = fixtures.bookings(spark, sf_dir), fixtures.weather(spark, sf_dir)
+    write_by_month(bookings, f"{tmp_path}/bookings")
+    days = static_days(weather, f"{tmp_path}/days", max_broadcast=0).frame
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        enriched = finish_batch(join_days_by_month(read_table(spark, f"{tmp_path}/bookings"), days))
+        plan = plan_of(enriched, "simple")
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1  # that of the months
+        assert "dynamicpruning" in plan
+        same(enriched, enrich(bookings, weather))
