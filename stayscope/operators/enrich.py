@@ -89,6 +89,18 @@ def join_days(
     return counted.where("known").drop("Id", "wthrDate", "day_salt", "known")
 
 
+def with_weather(bookings: DataFrame, days: DataFrame, salts: int = 0) -> DataFrame:
+    """Projected bookings whose hotel-day has weather; ``salts`` above 1 splits the bookings of one over so many tasks."""
+    known = bookings.where("hotel_id IS NOT NULL AND srch_ci IS NOT NULL")
+    days = days.select("Id", "wthrDate")
+    matches = (F.col("hotel_id") == F.col("Id")) & (F.col("srch_ci") == F.col("wthrDate"))
+    if salts > 1:
+        known = known.withColumn("salt", booking_salt(salts))
+        days = days.withColumn("day_salt", F.explode(F.array(*[F.lit(n) for n in range(salts)])))
+        matches &= F.col("salt") == F.col("day_salt")
+    return known.join(days, matches, "left_semi").drop("salt")
+
+
 def booking_salt(salts: int) -> Column:
     """Spreads the bookings of one day by their ids, and copies of one by their task."""
     by_id = F.pmod(F.xxhash64("order_id"), F.lit(salts))

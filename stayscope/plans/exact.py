@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stayscope.categories import STAY_CATEGORIES, StayCategory
 from stayscope.operators.bookings import BOOKING_KEYS, project_bookings
 from stayscope.operators.classify import classify
-from stayscope.operators.enrich import booking_salt, drop_copies, enrich_with_days
+from stayscope.operators.enrich import booking_salt, drop_copies, enrich_with_days, with_weather
 from stayscope.plans.live import counting, counts_table
 from stayscope.plans.stream import StaticDays
 from stayscope.streaming.copies import SeenKeys
@@ -51,17 +51,16 @@ def start_exact(
 ) -> StreamingQuery:
     """Keep the counts per group at ``path``/counts, and the bookings that were counted at ``path``/seen.
 
-    ``plans.live.popular_so_far`` reads the counts. Bookings without weather are not remembered, as a copy
-    of one would not be counted either.
+    ``plans.live.popular_so_far`` reads the counts. Bookings without weather are remembered neither by the
+    query nor in the files, as a copy of one would not be counted either.
     """
     seen = SeenKeys(f"{path}/seen", BOOKING_KEYS, buckets)
     add = counting(counts_table(f"{path}/counts", grain, categories), grain, categories)
-    with_weather = days.frame.select("Id", "wthrDate").distinct()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = (F.col("hotel_id") == F.col("Id")) & (F.col("srch_ci") == F.col("wthrDate"))
-        fresh = seen.admit(batch.join(with_weather, known, "left_semi"), batch_id)
+        fresh = seen.admit(batch, batch_id)
         add(classify(enrich_with_days(fresh.withColumnRenamed("order_id", "id"), days.frame), categories), batch_id)
 
-    once = recent_once(bookings, copies_within, copy_salts)
+    matched = with_weather(project_bookings(bookings), days.frame, copy_salts)
+    once = recent_once(matched, copies_within, copy_salts)
     return run_stream(once, write, checkpoint, "append", trigger, partitions=partitions)

@@ -85,7 +85,12 @@ class SeenKeys:
             {"place": _hash(self.keys, 0), "code": _hash(self.keys, 1)}
         )
         schema = StructType(hashed.schema.fields).add("bucket", IntegerType())
-        fresh = self._unseen(hashed, list(earlier.values()), schema) if earlier else hashed
+        if earlier:
+            # it is read more than once from here on, and would be computed as often, with the state it comes from
+            noted = versions.folder(f"w-{uuid.uuid4().hex}")
+            hashed.write.parquet(noted)
+            hashed = self._unseen(spark.read.schema(hashed.schema).parquet(noted), list(earlier.values()), schema)
+        fresh = hashed
         name = self._write(spark, fresh)
         while n := due(list(earlier)):
             ids = list(earlier)[-n:]

@@ -155,5 +155,30 @@ def test_a_failure_between_the_keys_and_the_counts(spark, world, tmp_path, monke
     same(result_of(spark, tmp_path), popular_stays(bookings, weather))
 
 
+def test_only_bookings_with_weather_are_remembered(spark, tmp_path):
+    days = static_days(weather_of(spark, [(1, DAY, 5.0, "A")]), str(tmp_path / "days"), max_broadcast=0)
+    some = bookings_of(spark, [(n, n % 10, DAY, "2017-08-26", 0) for n in range(100)] * 2)
+    for salts in (0, 3):
+        some.coalesce(1).write.parquet(f"{tmp_path}/{salts}/in")
+        query = exact_run(spark, some, days, f"{tmp_path}/{salts}", copy_salts=salts)
+        assert sum(p["stateOperators"][-1]["numRowsUpdated"] for p in query.recentProgress) == 10
+        assert result_of(spark, f"{tmp_path}/{salts}").first()["standart_stay_cnt"] == 10
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    seen = SeenKeys(str(tmp_path / "seen"), ["a"], buckets=2)
+    seen.admit(spark.createDataFrame([(1,)], "a bigint"), 0)
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            rows.add(part.num_rows)
+            yield part
+
+    batch = spark.createDataFrame([(1,), (2,)], "a bigint").mapInArrow(counted, "a bigint")
+    assert [r["a"] for r in seen.admit(batch, 1).collect()] == [2]
+    assert rows.value == 2
+
+
 def test_the_keys_are_those_of_a_booking():
     assert BOOKING_KEYS[0] == "order_id"
