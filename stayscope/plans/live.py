@@ -25,9 +25,14 @@ from stayscope.operators.counts import category_counts
 from stayscope.operators.enrich import booking_salt, drop_copies, join_days
 from stayscope.operators.popular import GRAINS, with_popular
 from stayscope.operators.weather import DAY_KEYS, MIN_TMPR, above_temperature, project_weather
-from stayscope.streaming.runner import BatchWriter, run_stream
+from stayscope.streaming.runner import ROCKSDB, BatchWriter, run_stream
 from stayscope.streaming.sinks import SumTable
 
+# One store for each partition of the join instead of four.
+STATE = {**ROCKSDB, "spark.sql.streaming.join.stateFormatVersion": "3"}
+# Counting the rows of the state costs a lookup for each row that is put there.
+UNCOUNTED = {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+
 
 def arriving_days(weather: DataFrame, min_tmpr: float = MIN_TMPR) -> DataFrame:
     """Each hotel-day and name of a stream of readings once, as soon as a reading is above ``min_tmpr``."""
@@ -106,8 +111,11 @@ def start_live(
 ) -> StreamingQuery:
     """Keep the counts per group at ``path`` up to date; ``popular_so_far`` reads them.
 
-    ``options`` are those of ``live_preferences``.
+    ``options`` are those of ``live_preferences``. The progress of the query has the number of rows in its state
+    only if ``patience`` or ``copies_within`` bounds them.
     """
     found = live_preferences(bookings, weather, categories=categories, **options)
     sink = counting(counts_table(path, grain, categories), grain, categories)
-    return run_stream(found, sink, checkpoint, "append", trigger, partitions=partitions)
+    bounded = options.get("patience") or options.get("copies_within")
+    state = STATE if bounded else {**STATE, **UNCOUNTED}
+    return run_stream(found, sink, checkpoint, "append", trigger, state, partitions)

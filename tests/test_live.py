@@ -155,3 +155,14 @@ def test_sums_without_rows(spark, tmp_path):
 def test_both_grains_have_their_keys(spark, tmp_path):
     for grain, level in GRAINS.items():
         assert tuple(counts_table(str(tmp_path), grain).keys) == level.keys
+
+
+@pytest.mark.parametrize(("options", "counted"), [({}, False), ({"copies_within": "1 hour"}, True)])
+def test_state_of_the_join_is_one_store_and_counted_if_bounded(spark, tmp_path, options, counted):
+    bookings, weather = bookings_of(spark, [(1, 1, DAY, None, 0), (2, 7, DAY, None, 0)]), weather_of(spark, [(1, DAY, 5.0, "A")])
+    feed = Feed(spark, tmp_path, bookings, weather)
+    feed.arrive(bookings=bookings, weather=weather)
+    state = [s for s in feed.run(**options).recentProgress[0]["stateOperators"] if s["operatorName"] == "symmetricHashJoin"]
+    assert '"spark.sql.streaming.join.stateFormatVersion":"3"' in (tmp_path / "cp" / "offsets" / "0").read_text()
+    assert (state[0]["numRowsTotal"] > 0) == counted
+    assert feed.result().first()["erroneous_data_cnt"] == 1
