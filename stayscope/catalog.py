@@ -30,7 +30,7 @@ from stayscope.plans.stream import (
 )
 from stayscope.schemas import ENRICHED, POPULAR_BY_HOTEL, PREFERENCES
 from stayscope.session import settings, work_dir
-from stayscope.sources.files import read_table, read_table_stream, write_table
+from stayscope.sources.files import append_files, read_table, read_table_stream, write_table
 from stayscope.sources.layout import bucketed_inputs, enrich_in_place, join_days_by_month, write_by_month
 from stayscope.sources.tables import AtomicTable
 from stayscope.sources.topics import (
@@ -309,6 +309,12 @@ def stream_popular_collapsed(spark, sf_dir):
     return table.read(spark)
 
 
+def _arriving(bookings: DataFrame, path: str) -> DataFrame:
+    """More bookings in the files at ``path``, as a stream that takes them in two micro-batches."""
+    files = append_files(bookings, path, 2, "hotel_id")
+    return read_table_stream(bookings.sparkSession, path, bookings.schema, files_per_trigger=max(1, -(-files // 2)))
+
+
 def _popular_resumed(spark: SparkSession, sf_dir: str, label: str, **dedup) -> DataFrame:
     """A stream that is stopped after the newer half of the check-in days has arrived.
 
@@ -320,9 +326,7 @@ def _popular_resumed(spark: SparkSession, sf_dir: str, label: str, **dedup) -> D
     bookings = fixtures.sent_again(fixtures.bookings(spark, sf_dir))
     newer = F.col("srch_ci") >= str(PARTITION_YEAR)
     for half in (newer, ~newer):
-        arrived = bookings.where(half).repartition(2, "hotel_id")
-        arrived.write.mode("append").parquet(f"{root}/in")
-        stream = read_table_stream(spark, f"{root}/in", bookings.schema, files_per_trigger=1)
+        stream = _arriving(bookings.where(half), f"{root}/in")
         _run(popular_stays_stream(stream, days, "hotel", **dedup), table, root, "update")
     return table.read(spark)
 
@@ -366,8 +370,7 @@ def stream_copies_after_bound(spark, sf_dir):
     bookings = fixtures.sent_again(fixtures.bookings(spark, sf_dir))
     half = _slice(2, "id", "hotel_id")
     for arrived in (bookings.where(half == 0), bookings, bookings.where(half == 1)):
-        arrived.repartition(2, "hotel_id").write.mode("append").parquet(f"{root}/in")
-        stream = read_table_stream(spark, f"{root}/in", bookings.schema, files_per_trigger=1)
+        stream = _arriving(arrived, f"{root}/in")
         run_out(
             start_exact(
                 stream,

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from stayscope.session import file_system
+
 
 def read_table(
     spark: SparkSession,
@@ -59,6 +61,25 @@ def write_table(
     writer.partitionBy(*partition_by).save(path)
 
 
+def append_files(frame: DataFrame, path: str, least: int, *keys: str) -> int:
+    """Append to the Parquet files at ``path``, a file for each task; returns how many came.
+
+    Rows stay in the tasks that have them, so files are as large as what a task reads. Only fewer than
+    ``least`` tasks are dealt to as many, by ``keys``.
+    """
+    system, folder = file_system(frame.sparkSession, path)
+
+    def count() -> int:
+        found = system.listStatus(folder) if system.exists(folder) else []
+        return sum(status.getPath().getName().startswith("part-") for status in found)
+
+    before = count()
+    if frame.rdd.getNumPartitions() < least:
+        frame = frame.repartition(least, *keys)
+    frame.write.mode("append").parquet(path)
+    return count() - before
+
+
 def archived(folder: str) -> dict[str, str]:
     """Options of a stream of files: what has been processed is moved to ``folder``, so that listings stay short.
 

@@ -14,7 +14,7 @@ from stayscope.operators.popular import GRAINS
 from stayscope.plans.stream import popular_stays_collapsed, start_collapsing, static_days
 from stayscope.schemas import ENRICHED
 from stayscope.session import settings
-from stayscope.sources.files import archived, read_table, read_table_stream
+from stayscope.sources.files import append_files, archived, read_table, read_table_stream
 from stayscope.sources.layout import bucketed_inputs, enrich_in_place, join_days_by_month, write_by_month
 from stayscope.sources.topics import decode_variants, merged_schema, schema_of_variants, stored_variants
 from stayscope.streaming.runner import AVAILABLE_NOW, run_out
@@ -135,3 +135,11 @@ def test_weather_that_is_not_small_is_not_broadcast(spark, sf_dir, tmp_path):
         assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1  # that of the months
         assert "dynamicpruning" in plan
         same(enriched, enrich(bookings, weather))
+
+
+def test_files_are_as_many_as_tasks(spark, tmp_path):
+    rows = spark.range(0, 60, 1, 6).withColumnRenamed("id", "hotel_id")
+    assert append_files(rows, f"{tmp_path}/in", 2, "hotel_id") == 6
+    assert append_files(rows.coalesce(1), f"{tmp_path}/in", 2, "hotel_id") == 2
+    assert append_files(rows.limit(0), f"{tmp_path}/in", 2, "hotel_id") <= 2
+    assert read_table(spark, f"{tmp_path}/in").count() == 120
