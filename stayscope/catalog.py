@@ -31,7 +31,7 @@ from stayscope.plans.stream import (
 from stayscope.schemas import ENRICHED, POPULAR_BY_HOTEL, PREFERENCES
 from stayscope.session import settings, work_dir
 from stayscope.sources.files import append_files, read_table, read_table_stream, write_table
-from stayscope.sources.layout import bucketed_inputs, enrich_in_place, join_days_by_month, write_by_month
+from stayscope.sources.layout import bucketed_inputs, buckets_for, enrich_in_place, join_days_by_month, write_by_month
 from stayscope.sources.tables import AtomicTable
 from stayscope.sources.topics import (
     decode_json,
@@ -221,7 +221,9 @@ def enrich_bucketed(spark, sf_dir):
     root = work_dir(spark, "bucketed")
     bookings, weather = _inputs(spark, sf_dir)
     name = f"stays_{root.rsplit('-', 1)[1]}"
-    tables = bucketed_inputs(spark, fixtures.sent_again(bookings), weather_means(weather), name, root, BUCKETS)
+    bookings = fixtures.sent_again(bookings)
+    buckets = buckets_for(bookings.count(), BUCKETS)
+    tables = bucketed_inputs(spark, bookings, weather_means(weather), name, root, buckets)
     return enrich_in_place(*tables)
 
 

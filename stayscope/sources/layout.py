@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from stayscope.operators.enrich import ENRICHED_KEYS, join_days
 from stayscope.sources.files import write_table
 
 MONTH = "ci_month"
+#: Rows that a task sorts for a bucket, about 200 MB, and the number of buckets that Spark allows.
+BUCKET_ROWS = 2_000_000
+MOST_BUCKETS = 100_000
 
 
 def month_of(day: str) -> Column:
@@ -33,6 +38,11 @@ def join_days_by_month(by_month: DataFrame, days: DataFrame) -> DataFrame:
     return join_days(read, days).drop(MONTH)
 
 
+def buckets_for(rows: int, least: int = 1) -> int:
+    """Buckets for a table of so many rows, that none grows with the table."""
+    return min(max(least, math.ceil(rows / BUCKET_ROWS)), MOST_BUCKETS)
+
+
 def write_bucketed(frame: DataFrame, table: str, path: str, hotel: str, day: str, buckets: int) -> DataFrame:
     """Store a table in buckets by hotel and day, sorted within; returns it as it is read from the catalog.
 

@@ -15,7 +15,7 @@ from stayscope.plans.stream import popular_stays_collapsed, start_collapsing, st
 from stayscope.schemas import ENRICHED
 from stayscope.session import settings
 from stayscope.sources.files import append_files, archived, read_table, read_table_stream
-from stayscope.sources.layout import bucketed_inputs, enrich_in_place, join_days_by_month, write_by_month
+from stayscope.sources.layout import bucketed_inputs, buckets_for, enrich_in_place, join_days_by_month, write_by_month
 from stayscope.sources.topics import decode_variants, merged_schema, schema_of_variants, stored_variants
 from stayscope.streaming.runner import AVAILABLE_NOW, run_out
 from stayscope.streaming.sinks import ChangeTable
@@ -137,6 +137,11 @@ def test_weather_that_is_not_small_is_not_broadcast(spark, sf_dir, tmp_path):
         same(enriched, enrich(bookings, weather))
 
 
+def test_buckets_grow_in_number_and_not_in_size():
+    assert buckets_for(0, 8) == buckets_for(16_000_000, 8) == 8
+    assert buckets_for(800_000_000, 8) == 10 * buckets_for(80_000_000, 8) == 400
+
+
 def test_files_are_as_many_as_tasks(spark, tmp_path):
     rows = spark.range(0, 60, 1, 6).withColumnRenamed("id", "hotel_id")
     assert append_files(rows, f"{tmp_path}/in", 2, "hotel_id") == 6
