@@ -21,10 +21,11 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,7 +33,7 @@ from pyspark.sql.window import Window
 from ..session import materialize, work_dir
 from .columns import any_names
 from .bpe import shown_bytes
-from .words import Places, Stretches, column, text_bytes
+from .words import Places, Stretches, column, grouped, text_bytes
 from .workers import forget_others, remembers
 
 CAPACITY = 2048
@@ -41,13 +42,19 @@ END_ID = 1
 REMEMBERED, PIECES = 300_000, 700_000
 #: Texts that a worker gets at a time; it remembers a lot besides.
 BATCH_ROWS = 1000
+#: Bytes of texts whose words are looked up together, each once.
+TOGETHER = 4 << 20
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 100_000
 
 
 #: Words of these characters only are left alone by the vocabulary's normalizer but for case, and
 #: are cut into the pieces below, which are encoded one by one. All others go to the library whole.
-_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PLAIN = "!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: Their UTF-8 bytes, and the line feed between words: those alone or in front, and those behind the one that leads two.
+_SINGLE, _SECOND, _FIRST = np.zeros(256, bool), np.zeros(256, bool), 0xC3
+_SINGLE[[0x0A, *range(0x21, 0x7F), _FIRST]] = True
+_SECOND[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\n\u00df-\u00f6\u00f8-\u00ff]+|\n")
 #: The pattern that _PIECE is right for (fixed value of the vocabulary).
 _KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -75,25 +82,37 @@ class WordIds:
     def clear_pieces(self) -> None:
         self.piece_places, self.pieces = Places(), Stretches(np.uint32)
 
-    def plain(self, text: str) -> bool:
-        return self.by_piece and bool(_PLAIN.fullmatch(text)) and not ("<|" in text and any(x in text for x in self.special))
+    def plain(self, words: list[bytes]) -> np.ndarray:
+        """Which of the words are plain; no word is."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        if not self.by_piece:
+            return sizes == 0
+        whole = b"\n".join(words) + b"\n"
+        data, begins = np.frombuffer(whole, np.uint8), np.cumsum(sizes + 1) - sizes - 1
+        good = _SINGLE[data]
+        good[1:] |= _SECOND[data[1:]] & (data[:-1] == _FIRST)
+        plain = np.logical_and.reduceat(good, begins)
+        at = [x.start() for x in re.finditer(rb"<\|", whole)]
+        for i in np.unique(np.searchsorted(begins, at, "right") - 1).tolist():
+            plain[i] &= not any(x.encode() in words[i] for x in self.special)
+        return plain
 
     def learn(self, words: list[bytes]) -> None:
         if len(self.piece_places) > PIECES:
             self.clear_pieces()
-        texts = [w.decode() for w in words]
-        plain = np.fromiter(map(self.plain, texts), bool, len(texts))
-        size = np.zeros(len(texts), np.int64)
+        plain = self.plain(words)
+        size = np.zeros(len(words), np.int64)
         # All plain words are cut in one go; a line feed, which has no ids, ends each.
-        at = self.piece_places.of(_PIECE.findall("".join([x + "\n" for x, ok in zip(texts, plain.tolist(), strict=True) if ok]).lower()))
-        new = self.piece_places.taken()
-        coded = self.bare.encode_batch([p.encode().decode("latin-1").translate(self.shown) if p != "\n" else "" for p in new], add_special_tokens=False)
-        ids = [x.ids for x in coded]
-        self.pieces.add(np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32))
+        at = self.piece_places.of(_PIECE.findall(b"".join([w + b"\n" for w in compress(words, plain.tolist())]).decode().lower()))
+        new = ["" if p == "\n" else p for p in self.piece_places.taken()]
+        shown = "\n".join(new).encode().decode("latin-1").translate(self.shown).split(self.shown[10]) if new else []
+        # Handed over as the words of one text, they need no object each, and no threads.
+        coded = self.bare.encode(shown, is_pretokenized=True, add_special_tokens=False)
+        self.pieces.add(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(new)), np.array(coded.ids, np.uint32))
         flat, ends = self.pieces.of(at)
         if len(at):
             size[plain] = np.diff(ends[at == self.piece_places["\n"]], prepend=0)
-        others = [x.ids for x in self.tokenizer.encode_batch([x for x, ok in zip(texts, plain.tolist(), strict=True) if not ok], add_special_tokens=False)]
+        others = [x.ids for x in self.tokenizer.encode_batch([w.decode() for w in compress(words, (~plain).tolist())], add_special_tokens=False)]
         size[~plain] = np.fromiter(map(len, others), np.int64, len(others))
         every = np.zeros(int(size.sum()), np.uint32)
         whose = np.repeat(plain, size)
@@ -105,13 +124,16 @@ class WordIds:
         """The ids of whole texts, with the closing id."""
         if len(self.places) > REMEMBERED:
             self.clear()
-        lists = [t.split() for t in texts]
-        at = self.places.of(list(chain.from_iterable(lists)))
+        # Arrow cuts at the same six characters as ``bytes.split``; white space at an end leaves an empty word, which has no ids.
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        words = lists.flatten().dictionary_encode()
+        # only the different words of these texts are looked up
+        known = self.places.of(words.dictionary.cast(pa.binary()).to_pylist())
         new = self.places.taken()
         if new:
             self.learn(new)
-        flat, ends = self.ids.of(at)
-        stops = np.append(0, ends)[np.cumsum([0, *map(len, lists)])]
+        flat, ends = self.ids.of(known[words.indices.to_numpy()])
+        stops = np.append(0, ends)[lists.offsets.to_numpy()]
         return [np.append(flat[a:b], np.uint32(END_ID)) for a, b in zip(stops, stops[1:], strict=False)]
 
 
@@ -141,10 +163,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_id
 
 def _cut(batches: Iterator[pa.RecordBatch], coder: WordIds, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [x or b"" for x in text_bytes(batch)]
-        step = 256
-        for begin in range(0, len(texts), step):
-            some = texts[begin : begin + step]
+        texts = text_bytes(batch)
+        for begin, some in grouped(texts, TOGETHER):
             doc, start, crc, total, parts = [], [], [], [], []
             for i, ids in enumerate(coder.encode(some), begin):
                 for at in range(0, len(ids), capacity):

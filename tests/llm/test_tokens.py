@@ -139,3 +139,21 @@ def test_packed_documents(spark, library, monkeypatch, numbered):
 
 def test_no_documents(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), WORDS).collect() == []
+
+
+def test_different_words_are_looked_up_once(monkeypatch):
+    code, asked = packing.WordIds(WORDS), []
+    whole = packing.Places.of
+    monkeypatch.setattr(packing.Places, "of", lambda self, keys: asked.append((self is code.places, list(keys))) or whole(self, keys))
+    code.encode([b"a bit of a text " * 50, b" and\ta bit\x0bmore\x0c\r\n"])
+    (words,) = [sorted(keys) for of_words, keys in asked if of_words]
+    assert words == sorted({b"", b"a", b"bit", b"of", b"text", b"and", b"more"})
+
+
+def test_ids_of_odd_words(library):
+    code, exact = packing.WordIds(WORDS), library[WORDS]
+    odd = ["", " ", "\t\n\x0b\x0c\r", " a", "b ", "× ÷ ßÉÿ", "x y z İ 中", "<|endoftext|> a<|endoftext|>b <| |>", "it's I'LL!'s ''", "12 3a4é4", "\x00 \x1c \x7f"]
+    texts = odd + [f"{a}  {b}" for a in odd for b in odd]
+    for some in (texts, *([t] for t in texts)):
+        for text, ids in zip(some, code.encode([t.encode() for t in some]), strict=True):
+            assert ids.tolist() == [*exact.encode(text, add_special_tokens=False).ids, packing.END_ID]
