@@ -61,7 +61,7 @@ def sequences(turns: DataFrame) -> DataFrame:
 
 def rebuilt(own: DataFrame) -> DataFrame:
     """Each conversation of ``own`` behind the head of its family's first: h turns, by the checksum of its id."""
-    base = F.col("conv_id") - F.col("conv_id") % FAMILY
+    base = F.col("conv_id") - F.pmod("conv_id", F.lit(FAMILY))  # at or below the id, also where that is negative
     heads = own.filter(base == F.col("conv_id")).select(F.col("conv_id").alias("base"), F.slice("seq", 1, SHARED).alias("head"))
     h = (F.crc32(F.col("conv_id").cast("string")) % (SHARED + 1)).cast("int")
     joined = own.withColumn("base", base).withColumn("h", h).join(heads, "base", "left")
