@@ -40,10 +40,12 @@ CAPACITY = 2048
 END_ID = 1
 #: Words and pieces of words a task remembers the ids of. Words are soon put together again from pieces.
 REMEMBERED, PIECES = 300_000, 700_000
+#: The same where ids are handed on: that stage comes behind those of other operators, which leave it less memory.
+LEAN = 100_000, 300_000
 #: Texts that a worker gets at a time; it remembers a lot besides.
 BATCH_ROWS = 1000
 #: Bytes of texts whose words are looked up together, each once.
-TOGETHER = 4 << 20
+TOGETHER, LEAN_TOGETHER = 4 << 20, 1 << 20
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 100_000
 
@@ -63,9 +65,10 @@ _KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class WordIds:
     """Ids of white-space separated words, for a tokenizer whose pieces never span white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_words: int = REMEMBERED, most_pieces: int = PIECES):
         from tokenizers import Tokenizer
 
+        self.most_words, self.most_pieces = most_words, most_pieces
         with open(path) as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
@@ -98,7 +101,7 @@ class WordIds:
         return plain
 
     def learn(self, words: list[bytes]) -> None:
-        if len(self.piece_places) > PIECES:
+        if len(self.piece_places) > self.most_pieces:
             self.clear_pieces()
         plain = self.plain(words)
         size = np.zeros(len(words), np.int64)
@@ -122,7 +125,7 @@ class WordIds:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of whole texts, with the closing id."""
-        if len(self.places) > REMEMBERED:
+        if len(self.places) > self.most_words:
             self.clear()
         # Arrow cuts at the same six characters as ``bytes.split``; white space at an end leaves an empty word, which has no ids.
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
@@ -144,12 +147,12 @@ def _pattern(spec: dict) -> str | None:
 
 
 @lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def _word_ids(path: str, *most: int) -> WordIds:
+    return WordIds(path, *most)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    coder = _word_ids(path)
+    coder = _word_ids(path, *LEAN) if with_ids else _word_ids(path)
     remembers("packing", _word_ids.cache_clear)
     gc.disable()  # what is remembered has no cycles, and it would be walked again and again
     try:
@@ -164,7 +167,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_id
 def _cut(batches: Iterator[pa.RecordBatch], coder: WordIds, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = text_bytes(batch)
-        for begin, some in grouped(texts, TOGETHER):
+        for begin, some in grouped(texts, LEAN_TOGETHER if with_ids else TOGETHER):
             doc, start, crc, total, parts = [], [], [], [], []
             for i, ids in enumerate(coder.encode(some), begin):
                 for at in range(0, len(ids), capacity):

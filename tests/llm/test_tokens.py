@@ -157,3 +157,11 @@ def test_ids_of_odd_words(library):
     for some in (texts, *([t] for t in texts)):
         for text, ids in zip(some, code.encode([t.encode() for t in some]), strict=True):
             assert ids.tolist() == [*exact.encode(text, add_special_tokens=False).ids, packing.END_ID]
+
+
+def test_remembers_less_where_ids_are_handed_on():
+    few = packing.WordIds(WORDS, 2, 2)
+    some = [b"one two three four", b"five six", b"one two", b"five"]
+    wanted = [x.tolist() for x in packing.WordIds(WORDS).encode(some)]
+    assert [few.encode([t])[0].tolist() for t in some] == wanted
+    assert len(few.places) <= 3 and all(less < most for less, most in zip(packing.LEAN, (packing.REMEMBERED, packing.PIECES), strict=True))
