@@ -30,8 +30,16 @@ from stayscope.streaming.sinks import SumTable
 
 # One store for each partition of the join instead of four.
 STATE = {**ROCKSDB, "spark.sql.streaming.join.stateFormatVersion": "3"}
-# Counting the rows of the state costs a lookup for each row that is put there.
-UNCOUNTED = {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+# Counting the rows of the state costs a lookup for each row that is put there. As no watermark empties a state
+# without bound, a micro-batch without data would only write it again.
+UNBOUNDED = {
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+# A query that ends is started again, and then reads its state back: files of a snapshot are copied, while each
+# row of the changes would be put into the store anew.
+SNAPSHOTS = {"spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false"}
+ENDING = {"availableNow", "once"}
 
 
 def arriving_days(weather: DataFrame, min_tmpr: float = MIN_TMPR) -> DataFrame:
@@ -112,10 +120,13 @@ def start_live(
     """Keep the counts per group at ``path`` up to date; ``popular_so_far`` reads them.
 
     ``options`` are those of ``live_preferences``. The progress of the query has the number of rows in its state
-    only if ``patience`` or ``copies_within`` bounds them.
+    only if ``patience`` or ``copies_within`` bounds them. With a ``trigger`` that ends, the state is written as
+    snapshots, which the next start reads faster; a checkpoint may change between triggers.
     """
     found = live_preferences(bookings, weather, categories=categories, **options)
     sink = counting(counts_table(path, grain, categories), grain, categories)
     bounded = options.get("patience") or options.get("copies_within")
-    state = STATE if bounded else {**STATE, **UNCOUNTED}
+    state = STATE if bounded else {**STATE, **UNBOUNDED}
+    if ENDING.intersection(trigger or ()):
+        state = {**state, **SNAPSHOTS}
     return run_stream(found, sink, checkpoint, "append", trigger, state, partitions)

@@ -166,3 +166,25 @@ def test_state_of_the_join_is_one_store_and_counted_if_bounded(spark, tmp_path,
     assert '"spark.sql.streaming.join.stateFormatVersion":"3"' in (tmp_path / "cp" / "offsets" / "0").read_text()
     assert (state[0]["numRowsTotal"] > 0) == counted
     assert feed.result().first()["erroneous_data_cnt"] == 1
+
+
+def test_an_ending_query_leaves_snapshots_that_others_go_on_from(spark, tmp_path):
+    bookings = bookings_of(spark, [(i, i % 5, DAY, None, 0) for i in range(40)])
+    weather = weather_of(spark, [(i, DAY, 5.0, "A") for i in range(5)])
+    feed = Feed(spark, tmp_path, bookings, weather)
+    state, commits = tmp_path / "cp" / "state", tmp_path / "cp" / "commits"
+    feed.arrive(bookings=bookings.where("id < 10"), weather=weather.where("Id < 2"))
+    feed.run()
+    feed.arrive(bookings=bookings.where("id < 20"))
+    feed.run()
+    assert list(state.rglob("*.zip")) and not list(state.rglob("*.changelog"))
+    assert len(list(commits.glob("[0-9]*"))) == 2  # none without data
+
+    feed.arrive(bookings=bookings.where("id < 30"), weather=weather.where("Id < 4"))
+    query = start_live(*feed.streams(), f"{tmp_path}/out", f"{tmp_path}/cp", "hotel", {"processingTime": "0 seconds"})
+    query.processAllAvailable()
+    query.stop()
+    assert list(state.rglob("*.changelog"))
+    feed.arrive(bookings=bookings, weather=weather)
+    feed.run()
+    same(feed.result(), popular_stays(bookings, weather))
